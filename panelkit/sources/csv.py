@@ -47,46 +47,55 @@ def read_csv_table(
     skip_rows: int = 0,
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = ("",),
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Read header CSV files as text, clean the names, then cast to ``schema``.
 
-    ``schema`` lists the cleaned names and types of all columns in file order;
-    without it every column is a string named by the header. Nothing is
-    inferred from the data. ``skip_rows`` title lines stand above the header:
-    the first lines are looked at once and rows equal to them are filtered
-    out, so files split freely and a folder of such files works too. A missing
-    path is logged and gives an empty table when the schema is known.
+    ``schema`` lists the wanted columns by their cleaned names; others are not
+    read, except those whose name matches an ``optional`` pattern. Without a
+    schema every column is kept as text. Nothing is inferred from the data.
+    ``skip_rows`` title lines stand above the header. The first lines are
+    looked at once, and rows equal to them are filtered out, so files split
+    freely and a folder of such files works too. A missing path is logged and
+    gives an empty table when the schema is known.
     """
     reader = spark.read.option("encoding", encoding).option("header", False)
     try:
-        if schema:
-            width = len(schema.fields)
-        else:
-            # The title line may be shorter than the header, so take the widest line.
-            text = spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "").csv(path)
-            head = text.take(skip_rows + 1)
-            quoted = re.compile(r'"(?:[^"]|"")*"')
-            width = max(quoted.sub("", row[0] or "").count(",") + 1 for row in head)
-        rows = reader.schema(_positional(width)).csv(path)
+        # The title may be shorter than the header: read whole lines and take the widest.
+        lines = reader.option("sep", "\u0001").option("quote", "").schema(_positional(1)).csv(path).take(skip_rows + 1)
+        width = max([len(re.sub(r'"(?:[^"]|"")*"', "", row[0] or "").split(",")) for row in lines], default=1)
+        rows = spark.read.option("encoding", encoding).option("header", False).schema(_positional(width)).csv(path)
         top = rows.take(skip_rows + 1)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err) or schema is None:
             raise
         log.warning("no file at %s, using an empty table", path)
         return spark.createDataFrame([], schema)
+    if len(top) <= skip_rows:
+        raise ValueError(f"no header line in {path}")
 
+    names = [clean_column_name(n or f"column_{i}") for i, n in enumerate(top[-1])]
     for line in top:
         same = F.lit(True)
         for field, text in zip(rows.columns, line):
             same = same & F.col(field).eqNullSafe(F.lit(text))
         rows = rows.where(~same)
 
-    names = [f.name for f in schema.fields] if schema else [clean_column_name(n or f"c{i}") for i, n in enumerate(top[-1])]
-    rows = null_out(rows.toDF(*names), names, null_tokens, nan=False)
-    if schema:
-        rows = rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
-        rows = null_out(rows, [f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))])
-    return rows
+    if schema is None:
+        return null_out(rows.toDF(*names), names, null_tokens, nan=False)
+    wanted = {}
+    for field in schema.fields:
+        if clean_column_name(field.name) not in names:
+            raise ValueError(f"no column {field.name} in {path}; it has {names}")
+        wanted[field.name] = (names.index(clean_column_name(field.name)), field.dataType)
+    for pattern in optional:
+        found = next((i for i, n in enumerate(names) if re.search(pattern, n)), None)
+        if found is not None:
+            wanted.setdefault(names[found], (found, T.StringType()))
+    texts = rows.select(*[F.col(f"_c{i}").alias(name) for name, (i, _) in wanted.items()])
+    texts = null_out(texts, list(wanted), null_tokens, nan=False)
+    typed = texts.select(*[F.col(f"`{name}`").try_cast(t).alias(name) for name, (_, t) in wanted.items()])
+    return null_out(typed, list(wanted))
 
 
 def null_out(df: DataFrame, cols: Sequence[str], tokens: Sequence[str] = (), nan: bool = True) -> DataFrame:
