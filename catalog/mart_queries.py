@@ -192,11 +192,10 @@ def panel_enriched_caveat(spark, sf):
 
 def staged_harms(spark, sf):
     """P3 with the mean over regions as the benchmark, from one grouping-sets aggregate."""
-    both = P.p3(spark, sf).cube("entity", "substance", "harm", "period").agg(
-        F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("_n"),
-        F.grouping_id("entity", "substance", "harm", "period").alias("_level"),
-    ).where("_level in (0, 8)")
-    total = F.col("_level") == 8
+    keys = ["entity", "substance", "harm", "period"]
+    both = P.p3(spark, sf).groupingSets([keys, keys[1:]], *keys).agg(
+        F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("_n"), F.grouping("entity").alias("_total"))
+    total = F.col("_total") == 1
     label = F.when(F.col("harm") == "1-URGENT", "Urgent").when(F.col("harm") == "2-HIGH", "High").when(
         F.col("harm") != "5-LOW", F.col("harm"))
     return both.select(
@@ -254,9 +253,10 @@ def panel_enriched_multikey(spark, sf):
 
 def staged_surveillance(spark, sf):
     """Daily events per type: all regions as the benchmark series, regions as members."""
-    both = P.p2_by_region(spark, sf).cube("r_name", "event_type", "period").agg(
-        F.sum("n").alias("n"), F.grouping_id("r_name", "event_type", "period").alias("_level")).where("_level in (0, 4)")
-    total = F.col("_level") == 4
+    keys = ["r_name", "event_type", "period"]
+    both = P.p2_by_region(spark, sf).groupingSets([keys, keys[1:]], *keys).agg(
+        F.sum("n").alias("n"), F.grouping("r_name").alias("_total"))
+    total = F.col("_total") == 1
     cases = F.col("n").cast("double")
     return both.select(
         F.col("event_type").alias("disease"), F.col("period").alias("ref_year"),

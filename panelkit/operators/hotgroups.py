@@ -4,63 +4,68 @@ A window keeps one partition in one task. When a single period holds billions
 of entities, or a single series billions of rows, the functions here give the
 same answers from pieces:
 
-1. equal values are merged with a count (combined before the shuffle, so a
-   value shared by a third of the rows becomes one row per map task);
-2. each group is cut into value ranges of similar size at sampled cut points;
-   the cut points only balance the work, they never affect the result;
-3. the totals of the ranges are summed per group (one row per range), and
-   inside each range a window adds the running total.
-
-Nothing is dropped, capped or approximated.
+1. rows are range-partitioned by group and order, so that every partition is
+   one stretch of the global order, whatever the sizes of the groups; the
+   partition number is written with the rows and thereby fixed;
+2. the rows of each stretch are counted per group, and the counts of earlier
+   stretches are summed (one row per group and stretch);
+3. a position is that sum plus the place inside the stretch.
+
+Sampling only decides where stretches begin. Nothing is dropped, capped or
+approximated. For ranks and quantiles equal values are merged with a count
+first, combined before the shuffle, so a value shared by a third of the rows
+travels as one row per map task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from panelkit.session import materialise
 
-RANGES = 64
 
+def _stretches(df: DataFrame, by: Sequence[str], order: Column, pieces: int | None) -> DataFrame:
+    """Range-partition by group and order; ``_stretch`` numbers the partitions in that order."""
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(pieces, *by, order).withColumn("_stretch", F.spark_partition_id())
 
-def counts_before(df: DataFrame, by: Sequence[str], order: str, descending: bool = False,
-                  ranges: int = RANGES) -> DataFrame:
-    """Per distinct ``order`` value of a group: ``n`` rows holding it and
-    ``before`` rows of the group that sort ahead of it. NULLs are left out.
-    """
-    values = df.where(F.col(order).isNotNull()).groupBy(*by, order).agg(F.count(F.lit(1)).alias("n"))
-    values = materialise(values, "values")
 
-    points = [i / ranges for i in range(1, ranges)]
-    # The sketch needs numbers; other orderable types are cut by their time in microseconds.
-    numeric = F.col(order)
-    if dict(values.dtypes)[order] in ("timestamp", "date", "timestamp_ntz"):
-        numeric = F.unix_micros(F.col(order).cast("timestamp"))
-    cuts = values.groupBy(*by).agg(F.percentile_approx(numeric, points, 1000).alias("_cuts"))
+def _earlier(by: Sequence[str]) -> WindowSpec:
+    """Earlier stretches of the same group. One row per stretch, so partitions are small."""
+    return Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
 
-    joined = values.join(cuts, list(by)) if by else values.withColumn("_cuts", cuts.scalar())
-    # Number of cut points below the value: monotonic in the value, so ranges follow the order.
-    bucket = F.size(F.filter("_cuts", lambda c: c < numeric))
-    parts = joined.select(*by, order, "n", bucket.alias("_range"))
 
-    totals = parts.groupBy(*by, "_range").agg(F.sum("n").alias("_total"))
-    direction = F.col("_range").desc() if descending else F.col("_range").asc()
-    ahead = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_range", F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_offset"))
+def _merged(df: DataFrame, by: Sequence[str], order: str, descending: bool, pieces: int | None) -> DataFrame:
+    """Distinct values of each group with their counts ``n``, in written stretches. NULLs are left out."""
+    values = df.where(F.col(order).isNotNull()).groupBy(*by, order).agg(F.count(F.lit(1)).alias("n"))
+    step = F.col(order).desc() if descending else F.col(order).asc()
+    return materialise(_stretches(values, by, step, pieces), "values")
+
 
+def _before(values: DataFrame, by: Sequence[str], order: str, descending: bool) -> DataFrame:
+    totals = values.groupBy(*by, "_stretch").agg(F.sum("n").alias("_total"))
+    offsets = totals.select(*by, "_stretch", F.coalesce(F.sum("_total").over(_earlier(by)), F.lit(0)).alias("_offset"))
     step = F.col(order).desc() if descending else F.col(order).asc()
-    inside = Window.partitionBy(*by, "_range").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-    return parts.join(offsets, [*by, "_range"]).select(
+    inside = Window.partitionBy(*by, "_stretch").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    return values.join(offsets, [*by, "_stretch"]).select(
         *by, order, "n", (F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"))
 
 
+def counts_before(df: DataFrame, by: Sequence[str], order: str, descending: bool = False,
+                  pieces: int | None = None) -> DataFrame:
+    """Per distinct ``order`` value of a group: ``n`` rows holding it and
+    ``before`` rows of the group that sort ahead of it. NULLs are left out.
+    """
+    return _before(_merged(df, by, order, descending, pieces), by, order, descending)
+
+
 def rank_desc_hot(df: DataFrame, by: Sequence[str], value: str, out: str = "rank", nulls: str = "first",
-                  ranges: int = RANGES) -> DataFrame:
+                  pieces: int | None = None) -> DataFrame:
     """The result of ``rank_desc`` without one task per cross-section."""
-    ahead = counts_before(df, by, value, descending=True, ranges=ranges).drop("n")
+    ahead = counts_before(df, by, value, descending=True, pieces=pieces).drop("n")
     present = df.where(F.col(value).isNotNull()).join(ahead, [*by, value])
     ranked = present.select(*df.columns, (F.col("before") + 1).cast("bigint").alias(out))
 
@@ -74,56 +79,66 @@ def rank_desc_hot(df: DataFrame, by: Sequence[str], value: str, out: str = "rank
     return ranked.unionByName(missing)
 
 
+# The low bits of a monotonically increasing id count the rows of a partition.
+ROW_BITS = (1 << 33) - 1
+
+
+def number_rows(df: DataFrame, series: Sequence[str], order: str, out: str = "row", pieces: int | None = None) -> DataFrame:
+    """Number the rows of every series from zero in order; ``order`` is unique within a series."""
+    placed = _stretches(df, series, F.col(order).asc(), pieces).sortWithinPartitions(*series, order)
+    placed = materialise(placed.withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))), "rows")
+    parts = placed.groupBy(*series, "_stretch").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+    shift = parts.select(*series, "_stretch", (
+        F.coalesce(F.sum("_rows").over(_earlier(series)), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(shift, [*series, "_stretch"]).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(out))
+
+
 def over_long_series(df: DataFrame, series: Sequence[str], order: str, before: int, after: int,
-                     measures: Callable[[Window], Mapping[str, Column]], rows_per_piece: int = 100_000,
-                     ranges: int = RANGES) -> DataFrame:
+                     measures: Callable[[WindowSpec], Mapping[str, Column]], rows_per_piece: int = 100_000,
+                     pieces: int | None = None) -> DataFrame:
     """Evaluate row frames on series too long for one task.
 
     ``order`` is unique within a series. Rows are numbered, cut into pieces of
-    ``rows_per_piece`` and each piece receives copies of the ``before`` rows
+    ``rows_per_piece``, and each piece receives copies of the ``before`` rows
     ahead of it and the ``after`` rows behind it, so every frame is complete.
     ``measures`` gets the window spec, ordered, and returns the new columns;
     their frames must not reach beyond ``before`` and ``after``.
     """
     if max(before, after) > rows_per_piece:
         raise ValueError("a frame must not be longer than a piece")
-    numbers = counts_before(df, series, order, ranges=ranges).drop("n")
-    rows = df.join(numbers, [*series, order])
-
-    home = F.floor(F.col("before") / rows_per_piece)
-    place = F.col("before") % rows_per_piece
-    pieces = F.array_compact(F.array(
+    rows = number_rows(df, series, order, "_row", pieces)
+    home = F.floor(F.col("_row") / rows_per_piece)
+    place = F.col("_row") % rows_per_piece
+    targets = F.array_compact(F.array(
         home,
         F.when(place < after, home - 1),
         F.when(place >= rows_per_piece - before, home + 1),
     ))
-    copies = rows.withColumn("_home", home).withColumn("_piece", F.explode(pieces))
-    w = Window.partitionBy(*series, "_piece").orderBy("before")
+    copies = rows.select("*", home.alias("_home"), F.explode(targets).alias("_piece"))
+    w = Window.partitionBy(*series, "_piece").orderBy("_row")
     new = measures(w)
     return copies.withColumns(dict(new)).where("_piece = _home").select(*df.columns, *new)
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
-                    ranges: int = RANGES) -> DataFrame:
+                    pieces: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles of every group, one row per group and probability.
 
     Only the values that hold the wanted positions are kept, so neither a
     group nor its distinct values are ever held in one task's memory.
     """
-    positions = materialise(counts_before(df, by, value, ranges=ranges), "positions")
-    sizes = positions.groupBy(*by).agg(F.sum("n").alias("_size"))
-    wanted = sizes.select(*by, "_size", F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("prob"))
-    wanted = wanted.withColumn("_at", F.col("prob") * (F.col("_size") - 1))
-    wanted = wanted.groupBy(*by).agg(F.collect_list(F.struct("prob", "_at")).alias("_wanted"))
-
-    spots = positions.join(wanted, list(by)) if by else positions.withColumn(
-        "_wanted", wanted.select("_wanted").scalar())
-    spots = spots.select(*by, F.col(value).cast("double").alias("_v"), "before", "n", F.explode("_wanted").alias("_w"))
-    first, last = F.col("before"), F.col("before") + F.col("n") - 1
-    low, high = F.floor("_w._at"), F.ceil("_w._at")
-    hit_low, hit_high = (first <= low) & (low <= last), (first <= high) & (high <= last)
-    spots = spots.where(hit_low | hit_high)
-    ends = spots.groupBy(*by, F.col("_w.prob").alias("prob"), F.col("_w._at").alias("_at")).agg(
-        F.max(F.when(hit_low, F.col("_v"))).alias("_low"), F.max(F.when(hit_high, F.col("_v"))).alias("_high"))
+    values = _merged(df, by, value, False, pieces)
+    at = [F.col("_size") * q - q for q in map(float, probs)]
+    spots = F.array(*[F.struct(F.lit(float(q)).alias("prob"), a.alias("at"), end(a).cast("bigint").alias("spot"))
+                      for q, a in zip(probs, at) for end in (F.floor, F.ceil)])
+    wanted = values.groupBy(*by).agg(F.sum("n").alias("_size")).select(*by, spots.alias("_spots"))
+
+    rows = _before(values, by, value, False)
+    rows = rows.join(wanted, list(by)) if by else rows.withColumn("_spots", wanted.scalar())
+    held = F.filter("_spots", lambda s: (s["spot"] >= F.col("before")) & (s["spot"] < F.col("before") + F.col("n")))
+    rows = rows.select(*by, F.col(value).cast("double").alias("_v"), F.explode(held).alias("_s"))
+    # Both ends of a probability: the lower spot holds the smaller value, the upper one the larger.
+    ends = rows.groupBy(*by, F.col("_s.prob").alias("prob"), F.col("_s.at").alias("_at")).agg(
+        F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     fraction = F.col("_at") - F.floor("_at")
     return ends.select(*by, "prob", (F.col("_low") + (F.col("_high") - F.col("_low")) * fraction).alias("quantile"))

@@ -32,7 +32,7 @@ def frame(spark):
 
 
 @pytest.mark.parametrize("nulls", ["first", "last"])
-@pytest.mark.parametrize("ranges", [2, 64])
+@pytest.mark.parametrize("ranges", [None, 2, 64])
 def test_rank_equals_window(frame, rows, nulls, ranges):
     plain = frame.withColumn("k", W.rank_desc(["g"], "v", nulls))
     split = H.rank_desc_hot(frame, ["g"], "v", "k", nulls, ranges)
