@@ -488,7 +488,8 @@ def status(spark, sf):
     """The overview's focus is a nation, the harms' focus a region; everything else is shared."""
     harms = M.harms_report(harms_e(spark, sf), HARMS)
     harms = harms.withColumn("prov_code", F.when(F.col("prov_code") == HARMS.focus, TRADE.focus).otherwise(F.col("prov_code")))
-    return R.status_table(rounded(overview(base(spark, sf))), rounded(harms), rounded(surveillance(spark, sf)), TRADE)
+    wide = materialise(rounded(overview(base(spark, sf))), "overview")
+    return R.status_table(wide, rounded(harms), rounded(surveillance(spark, sf)), TRADE)
 
 
 @query("status_table", sql(f"""
@@ -509,7 +510,7 @@ def status_counts(spark, sf):
 
 @query("worst_status", sql("select * from worst"))
 def worst_status(spark, sf):
-    return R.worst_status(materialise(rounded(surveillance(spark, sf)), "surveillance"), EVENTS)
+    return R.worst_status(rounded(surveillance(spark, sf)), EVENTS)
 
 
 @query("ranking_table", sql(f"""

@@ -1,4 +1,8 @@
-"""Declarative data-quality checks: failing rows, and a count per check."""
+"""Declarative data-quality checks: failing rows, and a count per check.
+
+Conditions are plain predicates, so that looking for failing rows pushes them
+to the scan. A condition that is NULL does not fail.
+"""
 
 from __future__ import annotations
 
@@ -36,7 +40,7 @@ class Accepted:
         return f"accepted:{self.table}.{self.column}"
 
     def broken(self) -> Column:
-        return F.coalesce(~F.col(self.column).isin(*self.values), F.lit(False))
+        return ~F.col(self.column).isin(*self.values)
 
 
 @dataclass(frozen=True)
@@ -54,12 +58,13 @@ class InRange:
         return f"range:{self.table}.{self.column}"
 
     def broken(self) -> Column:
-        c, out = F.col(self.column), F.lit(False)
+        c, bounds = F.col(self.column), []
         if self.low is not None:
-            out = out | (c < self.low)
+            bounds.append(c < self.low)
         if self.high is not None:
-            out = out | (c > self.high)
-        return F.coalesce(F.expr(self.where) & out, F.lit(False))
+            bounds.append(c > self.high)
+        out = reduce(lambda a, b: a | b, bounds, F.lit(False)) if len(bounds) != 1 else bounds[0]
+        return out if self.where == "true" else F.expr(self.where) & out
 
 
 @dataclass(frozen=True)

@@ -55,12 +55,11 @@ def _overview_line(overview: DataFrame, name: str, prefix: str, rate: str, digit
 
 
 def worst_status(surveillance: DataFrame, domain: Domain = DEFAULT) -> DataFrame:
-    """The benchmark's disease with the worst status in the latest period."""
-    national = surveillance.where(F.col("prov_code") == domain.benchmark)
-    latest = latest_period_rows(national, "ref_year")
-    order = F.struct(status_severity("outbreak_status_label"), F.col("disease"))
+    """The benchmark's disease with the worst status in its latest period, in one pass."""
+    order = F.struct(-F.col("ref_year"), status_severity("outbreak_status_label"), F.col("disease"))
     row = F.min_by(F.struct("disease", "ref_year", "rate_per_100k", "outbreak_status_label"), order)
-    return latest.agg(row.alias("r")).where("r is not null").select("r.*")
+    national = surveillance.where(F.col("prov_code") == domain.benchmark)
+    return national.agg(row.alias("r")).where("r is not null").select("r.*")
 
 
 def status_table(overview: DataFrame, harms: DataFrame, surveillance: DataFrame, domain: Domain = DEFAULT) -> DataFrame:
