@@ -457,7 +457,7 @@ def status_line_sql(name: str, prefix: str, rate: str, digits: int, suffix: str,
     return f"""
 select '{name}' as domain, fiscal_year as period, {rate} as value, {shown(rate, digits)} || '{suffix}' as latest_rate, {comp} as comparison,
        {prefix}_trend_direction as trend, '#' || {prefix}_national_rank || '/25' as rank_text,
-       coalesce(case when round(cast({gap} as decimal(38,10)), {digits}) >= 0 then '+' else '' end || {shown(gap, digits)}, 'N/A') as gap_text,
+       coalesce({shown(gap, digits, True)}, 'N/A') as gap_text,
        case when contains(lower({comp}), 'significantly above') then 'red' when contains(lower({comp}), 'above') then 'yellow' else 'green' end as light
 from overview where {rate} is not null and {where}"""
 
@@ -515,7 +515,7 @@ def worst_status(spark, sf):
 
 @query("ranking_table", sql(f"""
 select prov_code, province_name, {shown('rate_value', 1)} as rate_text, national_rank, outcome_rank, burden_category, national_comparison,
-       coalesce(case when round(cast(gap_to_national as decimal(38,10)), 1) >= 0 then '+' else '' end || {shown('gap_to_national', 1)}, 'N/A') as gap_text
+       coalesce({shown('gap_to_national', 1, True)}, 'N/A') as gap_text
 from compared where indicator_name = 'Activity' and rate_value is not null and fiscal_year = (select max(fiscal_year) from compared where indicator_name = 'Activity')
 """))
 def ranking_table(spark, sf):

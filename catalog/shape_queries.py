@@ -18,8 +18,9 @@ from panelkit.session import materialise
 from panelkit.spec import PanelSpec
 
 
-def shown(expr: str, digits: int) -> str:
-    return f"cast(cast(round(cast({expr} as decimal(38,10)), {digits}) as decimal(38,{digits})) as varchar)"
+def shown(expr: str, digits: int, signed: bool = False) -> str:
+    size = f"cast(cast(round(abs(cast({expr} as decimal(38,10))), {digits}) as decimal(38,{digits})) as varchar)"
+    return f"(case when {expr} < 0 then '-' else '{'+' if signed else ''}' end || {size})"
 
 
 @query("combine_strata", sql("""
@@ -48,7 +49,7 @@ def latest_slice(spark, sf):
 select entity, {shown('value / 1000000', 1)} as rate_text, rn as national_rank, members + 1 - rn as outcome_rank,
        case when rn <= 3 then 'High Burden' when rn >= 11 then 'Low Burden' else 'Moderate Burden' end as burden,
        entity = 'NATION_0' as is_focus,
-       case when value - national > 0 then '+' else '' end || {shown('(value - national) / 1000000', 1)} as gap_text
+       {shown('(value - national) / 1000000', 1, True)} as gap_text
 from slice
 """))
 def snapshot_ranking(spark, sf):

@@ -69,10 +69,9 @@ def fold_accents(c: Column | str) -> Column:
 
 
 def show_number(c: Column | str, digits: int = 1, signed: bool = False, missing: str = "N/A") -> Column:
-    """Fixed-decimal text, ``missing`` for NULL. Halves round away from zero."""
+    """Fixed-decimal text, ``missing`` for NULL. Halves round away from zero,
+    and a small negative number keeps its sign."""
     value = as_col(c).try_cast("decimal(38,10)")
-    rounded = F.round(value, digits).cast(f"decimal(38,{digits})")
-    text = rounded.cast("string")
-    if signed:
-        text = F.when(rounded >= 0, F.concat(F.lit("+"), text)).otherwise(text)
-    return F.coalesce(text, F.lit(missing))
+    size = F.round(F.abs(value), digits).cast(f"decimal(38,{digits})").cast("string")
+    sign = F.when(value < 0, "-").otherwise("+" if signed else "")
+    return F.coalesce(F.concat(sign, size), F.lit(missing))

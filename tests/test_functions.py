@@ -51,7 +51,7 @@ def test_fold_accents(spark):
 
 
 @pytest.mark.parametrize("value, digits, signed, text", [
-    (1.25, 1, False, "1.3"), (-0.04, 1, True, "+0.0"), (12.0, 0, True, "+12"), (-3.46, 1, True, "-3.5"), (None, 1, True, "N/A")])
+    (1.25, 1, False, "1.3"), (-0.04, 1, True, "-0.0"), (12.0, 0, True, "+12"), (-3.46, 1, True, "-3.5"), (None, 1, True, "N/A")])
 def test_show_number(spark, value, digits, signed, text):
     assert one(spark, X.show_number("v", digits, signed), v=value) == text
 
