@@ -558,8 +558,7 @@ def findings(spark, sf):
 
 def mart_tables(spark, sf):
     rows = base(spark, sf)
-    return {"overview": materialise(overview(rows), "overview"), "comparison": materialise(comparison(rows), "comparison"),
-            "trends": materialise(trends(rows), "trends")}
+    return {"overview": overview(rows), "comparison": comparison(rows), "trends": trends(rows)}
 
 
 @query("dq_not_null", sql("""

@@ -28,8 +28,13 @@ from panelkit.session import materialise
 
 
 def _stretches(df: DataFrame, by: Sequence[str], order: Column, pieces: int | None) -> DataFrame:
-    """Range-partition by group and order; ``_stretch`` numbers the partitions in that order."""
-    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Range-partition by group and order; ``_stretch`` numbers the partitions in that order.
+
+    There are as many as the session asks of a shuffle before adaptive merging.
+    """
+    conf = df.sparkSession.conf
+    pieces = pieces or int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                           or conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(pieces, *by, order).withColumn("_stretch", F.spark_partition_id())
 
 

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Recording the Python line of every column expression costs more than planning it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
