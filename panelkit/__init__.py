@@ -26,4 +26,4 @@ from panelkit.sources.csv import clean_column_names, filter_total_rows, null_out
 from panelkit.sources.tables import export_csv, read_table, write_table
 from panelkit.spec import PanelSpec
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [name for name, value in list(globals().items()) if callable(value)]

@@ -50,13 +50,17 @@ def _merged(df: DataFrame, by: Sequence[str], order: str, descending: bool, piec
     return materialise(_stretches(values, by, step, pieces), "values")
 
 
-def _before(values: DataFrame, by: Sequence[str], order: str, descending: bool) -> DataFrame:
+def _offsets(values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group and stretch: its rows, and the rows of earlier stretches."""
     totals = values.groupBy(*by, "_stretch").agg(F.sum("n").alias("_total"))
-    offsets = totals.select(*by, "_stretch", F.coalesce(F.sum("_total").over(_earlier(by)), F.lit(0)).alias("_offset"))
+    return totals.withColumn("_offset", F.coalesce(F.sum("_total").over(_earlier(by)), F.lit(0)))
+
+
+def _before(by: Sequence[str], order: str, descending: bool = False) -> Column:
+    """Rows of the group ahead of a value, given the offset of its stretch."""
     step = F.col(order).desc() if descending else F.col(order).asc()
     inside = Window.partitionBy(*by, "_stretch").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-    return values.join(offsets, [*by, "_stretch"]).select(
-        *by, order, "n", (F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"))
+    return F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
 
 
 def counts_before(df: DataFrame, by: Sequence[str], order: str, descending: bool = False,
@@ -64,7 +68,9 @@ def counts_before(df: DataFrame, by: Sequence[str], order: str, descending: bool
     """Per distinct ``order`` value of a group: ``n`` rows holding it and
     ``before`` rows of the group that sort ahead of it. NULLs are left out.
     """
-    return _before(_merged(df, by, order, descending, pieces), by, order, descending)
+    values = _merged(df, by, order, descending, pieces)
+    rows = values.join(_offsets(values, by), [*by, "_stretch"])
+    return rows.select(*by, order, "n", _before(by, order, descending).alias("before"))
 
 
 def rank_desc_hot(df: DataFrame, by: Sequence[str], value: str, out: str = "rank", nulls: str = "first",
@@ -129,19 +135,23 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
                     pieces: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles of every group, one row per group and probability.
 
-    Only the values that hold the wanted positions are kept, so neither a
-    group nor its distinct values are ever held in one task's memory.
+    The positions wanted are compared with the stretches first, and only the
+    few stretches that hold one are sorted.
     """
     values = _merged(df, by, value, False, pieces)
-    at = [F.col("_size") * q - q for q in map(float, probs)]
-    spots = F.array(*[F.struct(F.lit(float(q)).alias("prob"), a.alias("at"), end(a).cast("bigint").alias("spot"))
-                      for q, a in zip(probs, at) for end in (F.floor, F.ceil)])
-    wanted = values.groupBy(*by).agg(F.sum("n").alias("_size")).select(*by, spots.alias("_spots"))
-
-    rows = _before(values, by, value, False)
-    rows = rows.join(wanted, list(by)) if by else rows.withColumn("_spots", wanted.scalar())
-    held = F.filter("_spots", lambda s: (s["spot"] >= F.col("before")) & (s["spot"] < F.col("before") + F.col("n")))
-    rows = rows.select(*by, F.col(value).cast("double").alias("_v"), F.explode(held).alias("_s"))
+    stretches = _offsets(values, by).withColumn("_size", F.sum("_total").over(Window.partitionBy(*by)))
+    at = [(float(q), F.col("_size") * float(q) - float(q)) for q in probs]
+    spots = F.array(*[F.struct(F.lit(q).alias("prob"), a.alias("at"), end(a).cast("bigint").alias("spot"))
+                      for q, a in at for end in (F.floor, F.ceil)])
+
+    def held(spots: Column, first: Column, rows: Column) -> Column:
+        return F.filter(spots, lambda s: (s["spot"] >= first) & (s["spot"] < first + rows))
+
+    wanted = stretches.select(*by, "_stretch", "_offset", held(spots, F.col("_offset"), F.col("_total")).alias("_spots"))
+    rows = values.join(wanted.where(F.size("_spots") > 0), [*by, "_stretch"])
+    rows = rows.withColumn("_first", _before(by, value))
+    rows = rows.select(*by, F.col(value).cast("double").alias("_v"),
+                       F.explode(held(F.col("_spots"), F.col("_first"), F.col("n"))).alias("_s"))
     # Both ends of a probability: the lower spot holds the smaller value, the upper one the larger.
     ends = rows.groupBy(*by, F.col("_s.prob").alias("prob"), F.col("_s.at").alias("_at")).agg(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"))

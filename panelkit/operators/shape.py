@@ -116,19 +116,24 @@ def level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Minimum, quartiles, mean, maximum and missing count of numeric columns, one row each.
 
-    The columns are unpivoted first, so that all of them share one exact
-    distributed quantile pass.
+    The plain measures are one aggregate over the columns as they are. For the
+    quartiles the columns are unpivoted, so that all of them share one exact
+    distributed pass.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
-    long = df.select(pairs.alias("_p")).select("_p.*")
-    basics = long.groupBy("column").agg(
-        F.min("v").alias("min"), F.avg("v").alias("mean"), F.max("v").alias("max"),
-        F.count("v").alias("n"), F.count_if(F.col("v").isNull()).alias("n_missing"))
-    quantiles = exact_quantiles(long, ["column"], "v", (0.25, 0.5, 0.75))
-    wide = quantiles.groupBy("column").agg(
+    measures = {"min": F.min, "mean": F.avg, "max": F.max, "n": F.count, "n_missing": lambda c: F.count_if(c.isNull())}
+    values = [F.col(c).cast("double") for c in cols]
+    wide = df.agg(*[fn(v).alias(f"{m}_{i}") for i, v in enumerate(values) for m, fn in measures.items()])
+    basics = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), *[F.col(f"{m}_{i}").alias(m) for m in measures])
+        for i, c in enumerate(cols)])))
+
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), v.alias("v")) for i, v in enumerate(values)]))
+    quartiles = exact_quantiles(df.select(pairs.alias("_p")).select("_p.*"), ["place"], "v", (0.25, 0.5, 0.75))
+    by_column = quartiles.groupBy("place").agg(
         *[F.max(F.when(F.col("prob") == q, F.col("quantile"))).alias(name)
           for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    return basics.join(wide, "column", "left").select("column", "min", "q1", "median", "mean", "q3", "max", "n", "n_missing")
+    return basics.join(by_column, "place", "left").select(
+        "column", "min", "q1", "median", "mean", "q3", "max", "n", "n_missing")
 
 
 def box_stats(df: DataFrame, by: Sequence[str], value: str, strategy: str = "panel") -> DataFrame:
