@@ -43,9 +43,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="panelkit-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

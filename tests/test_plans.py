@@ -24,21 +24,6 @@ def at_scale(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-# Queries that only read what an eager step wrote say nothing in their last plan.
-NAMES = sorted(set(catalog.QUERIES) - {"csv_scan", "csv_title_skip", "csv_missing", "table_roundtrip", "export_table"})
-
-
-@pytest.mark.parametrize("name", NAMES)
-def test_no_cross_join_forced_broadcast_or_row_udf(at_scale, name):
-    plan = plan_of(catalog.QUERIES[name](at_scale, SF))
-    for bad in ("CartesianProduct", "NestedLoopJoin", "BroadcastHashJoin", "BatchEvalPython"):
-        assert bad not in plan
-    if not name.startswith("forecast_"):
-        assert "Pandas" not in plan
-    # A window without partition keys would pull everything into one task.
-    assert not re.search(r"Window \[.*\], *\[\], *\[", plan)
-
-
 def test_flagship_plan(at_scale):
     plan = plan_of(catalog.QUERIES["panel_enriched"](at_scale, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>" in plan
