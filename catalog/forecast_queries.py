@@ -24,6 +24,15 @@ from p1m group by entity
 STEPS = "(select unnest([1, 2, 3]) as k)"
 
 
+def tail_sql(theta: str, dof: str) -> str:
+    """Two-sided Student t tail at the angle atan(|t| / sqrt(dof)), as the finite sum for whole dof."""
+    return f"""1 - case when {dof} % 2 = 1
+            then 2 / pi() * ({theta} + case when {dof} > 1 then sin({theta}) * list_sum(list_transform(range(0, ({dof} - 1) // 2), lambda j:
+                   sqrt(pi()) / 2 * exp(lgamma(j + 1) - lgamma(j + 1.5)) * cos({theta}) ** (2 * j + 1))) else 0 end)
+            else sin({theta}) * list_sum(list_transform(range(0, {dof} // 2), lambda j:
+                   exp(lgamma(j + 0.5) - lgamma(j + 1)) / sqrt(pi()) * cos({theta}) ** (2 * j))) end"""
+
+
 def millions(spark, sf):
     return P.p1(spark, sf).withColumn("value", F.col("cents").cast("double") / 100000000)
 
@@ -70,11 +79,7 @@ T975 = (12.706204736432095, 4.302652729696142, 3.182446305284263, 2.776445105197
 
 @query("trend_test", sql(f"""
 select entity, n, {r('b', 6)} as slope, {r('se', 6)} as slope_se, {r('t', 6)} as t_stat,
-       {r('''1 - case when (n - 2) % 2 = 1
-            then 2 / pi() * (th + case when n > 3 then sin(th) * list_sum(list_transform(range(0, (n - 3) // 2), lambda j:
-                   sqrt(pi()) / 2 * gamma(j + 1) / gamma(j + 1.5) * cos(th) ** (2 * j + 1))) else 0 end)
-            else sin(th) * list_sum(list_transform(range(0, (n - 2) // 2), lambda j:
-                   gamma(j + 0.5) / gamma(j + 1) / sqrt(pi()) * cos(th) ** (2 * j))) end''', 6)} as p_value,
+       {r(tail_sql('th', '(n - 2)'), 6)} as p_value,
        case when b > 0 then 'increasing' else 'decreasing' end as direction,
        k::integer as step, (last_t + k)::integer as period, {r('yhat', 6)} as yhat,
        {r('yhat - half', 6)} as lo95, {r('yhat + half', 6)} as hi95
@@ -116,11 +121,50 @@ def forecast_compare(spark, sf):
     return rounded(O.forecast_compare(materialise(millions(spark, sf), "p1"), P.P1, H), 3)
 
 
-@query("ols_coefficients")
+cte("xy", "select value as y, period as x1, population as x2, (entity = 'NATION_0')::int as x3 from p1m")
+cte("centre", "select count(*) as n, avg(y) as my, avg(x1) as m1, avg(x2) as m2, avg(x3) as m3 from xy")
+cte("moments", """
+select any_value(n) as n, any_value(my) as my, any_value(m1) as m1, any_value(m2) as m2, any_value(m3) as m3, sum((y - my) ** 2) as yy,
+       sum((x1 - m1) ** 2) as a, sum((x1 - m1) * (x2 - m2)) as b, sum((x1 - m1) * (x3 - m3)) as c, sum((x2 - m2) ** 2) as d,
+       sum((x2 - m2) * (x3 - m3)) as e, sum((x3 - m3) ** 2) as f,
+       sum((x1 - m1) * (y - my)) as y1, sum((x2 - m2) * (y - my)) as y2, sum((x3 - m3) * (y - my)) as y3
+from xy, (select * from centre)
+""")
+cte("solved", """
+select *, i11 * y1 + i12 * y2 + i13 * y3 as b1, i12 * y1 + i22 * y2 + i23 * y3 as b2, i13 * y1 + i23 * y2 + i33 * y3 as b3
+from (select *, (d * f - e * e) / det as i11, (c * e - b * f) / det as i12, (b * e - c * d) / det as i13,
+             (a * f - c * c) / det as i22, (b * c - a * e) / det as i23, (a * d - b * b) / det as i33
+      from (select *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) as det from moments))
+""")
+cte("coefficients", """
+select t.term, t.est, t.se, t.est / t.se as t, n - 4 as dof
+from (select *, (yy - b1 * y1 - b2 * y2 - b3 * y3) / (n - 4) as s2 from solved), lateral (values
+  ('period', b1, sqrt(s2 * i11)), ('population', b2, sqrt(s2 * i22)), ('is_focus', b3, sqrt(s2 * i33)),
+  ('(Intercept)', my - b1 * m1 - b2 * m2 - b3 * m3, sqrt(s2 * (1 / n + m1 * (i11 * m1 + i12 * m2 + i13 * m3)
+     + m2 * (i12 * m1 + i22 * m2 + i23 * m3) + m3 * (i13 * m1 + i23 * m2 + i33 * m3))))) as t(term, est, se)
+""")
+# The 95 percent point by bisection, since the database has no t quantile either.
+OLS_SQL = sql(f"""
+select term, {r('est', 4)} as estimate, {r('se', 4)} as std_error, {r('t', 4)} as statistic,
+       {r(tail_sql('atan(abs(t) / sqrt(dof))', 'dof'), 4)} as p_value, dof,
+       {r('est - half_width * se', 4)} as conf_low, {r('est + half_width * se', 4)} as conf_high
+from coefficients, (select (lo + hi) / 2 as half_width from bisect where i = 60)
+""").replace("with ", "with recursive ", 1)
+OLS_SQL = OLS_SQL.replace("\nselect term,", f""",
+bisect as (
+select 0.0::double as lo, 2000.0::double as hi, 0 as i, any_value(dof) as v from coefficients
+union all
+select case when p > 0.05 then (lo + hi) / 2 else lo end, case when p > 0.05 then hi else (lo + hi) / 2 end, i + 1, v
+from (select *, {tail_sql('atan((lo + hi) / 2 / sqrt(v))', 'v')} as p from bisect where i < 60)
+)
+select term,""", 1)
+
+
+@query("ols_coefficients", OLS_SQL)
 def ols_query(spark, sf):
     """Revenue on year, customers and a flag, with standard errors and limits."""
     df = millions(spark, sf).withColumn("is_focus", (F.col("entity") == P.FOCUS).cast("double"))
-    return rounded(ols_coefficients(materialise(df, "p1"), "value", ["period", "population", "is_focus"]), 6)
+    return rounded(ols_coefficients(materialise(df, "p1"), "value", ["period", "population", "is_focus"]), 4)
 
 
 @query("ols_single", sql(f"""

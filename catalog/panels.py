@@ -121,7 +121,12 @@ def p2_by_region(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3(spark: SparkSession, sf: str) -> DataFrame:
-    """Order value by region, market segment, priority and year."""
+    """Order value by region, market segment, priority and year.
+
+    Orders are close to unique per customer, priority and year, so summing them
+    before the join would shuffle them twice and shrink nothing. A hot
+    customer's rows are split by adaptive execution, and summed per task.
+    """
     orders = table(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("period"))
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     dim = nations(spark, sf)
