@@ -14,7 +14,7 @@ import __spark_entry__ as entry
 from tools.check import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.catalog.QUERIES, entry.catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
