@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import prefix_bpe
+from panelkit.llm import hash_tree, prefix_bpe, quality_rules, swap_packing
 from panelkit.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -21,3 +21,32 @@ def prefix_bpe_digests(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), "ids")
     return prefix_bpe.decode(coded, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op2_quality_trees")
+def quality_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    judged = quality_rules.judge(table(spark, sf, "documents").select("doc_id", "text"),
+                                 table(spark, sf, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "score")
+
+
+@query("op7_hash_tree")
+def hash_tree_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Shards 0 to 15 of all documents, and the shard with one region more."""
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    sized = table(spark, sf, "documents").select(
+        "doc_id", (F.octet_length(raw) + 1).cast("bigint").alias("size"), F.crc32(raw).alias("text_crc32"))
+    placed = hash_tree.descend(sized, ["doc_id"], hash_tree.regular_tree(16))
+    grown = hash_tree.descend(placed, ["doc_id"], hash_tree.regular_tree(17), "grown_shard")
+    return hash_tree.number_within(grown, "shard").select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.col("grown_shard").cast("int").alias("grown_shard"))
+
+
+@query("op8_swap_packing")
+def swap_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 2048 tokens."""
+    pieces = swap_packing.token_pieces(table(spark, sf, "documents").select("doc_id", "text"),
+                                       public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end=0)
+    return swap_packing.pack(pieces, 2048)
