@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
 
@@ -35,6 +35,7 @@ import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # The cut into words of byte-level tokenizers (a fixed value).
 WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -43,7 +44,7 @@ WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
 RUNS = re.compile(r"\s \s")
 
 # Entries of the memo of words before a new one is begun; the last full one is kept beside it.
-MEMO = 1 << 18
+MEMO = 3 << 16
 # Characters whose words are looked up together.
 STRETCH = 1 << 21
 
@@ -246,12 +247,11 @@ class PrefixEncoder:
         return results
 
     def _look_up(self, keys: set[str]) -> dict[str, bytes]:
-        """The ids of stretches of text. A key names the stretch of one space and itself, or, when
-        it starts with two spaces, what stands behind them."""
-        memo, older = self.memo, self.older
+        """The ids of stretches of text that the memo lacks. A key names the stretch of one space and
+        itself, or, when it starts with two spaces, what stands behind them."""
         found, new = {}, {}
         for key in keys:
-            ids = memo.get(key) or older.get(key)
+            ids = self.older.get(key)
             if ids is None:
                 new[key] = self.words(key[2:] if key.startswith("  ") else " " + key)
             else:
@@ -260,9 +260,9 @@ class PrefixEncoder:
         words = sorted(spelled)
         coded = dict(zip(map(spelled.__getitem__, words), self.encode_words(words)))
         for key, words in new.items():
-            found[key] = b"".join([coded[w] for w in words])
-        if len(memo) + len(found) > MEMO:
-            self.older, self.memo = memo, {}
+            found[key] = coded[words[0]] if len(words) == 1 else b"".join([coded[w] for w in words])
+        if len(self.memo) + len(found) > MEMO:
+            self.older, self.memo = self.memo, {}
         self.memo.update(found)
         return found
 
@@ -276,21 +276,39 @@ class PrefixEncoder:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text as packed little-endian 32-bit integers."""
-        cuts = []
+        cuts, missing, look = [], set(), self.memo.get
         for text in texts:
-            if not text:
-                cuts.append([])
-            elif self.cut is None or "<" not in text:
-                cuts.append([self._keys(text)])
-            else:
-                parts, at = [], 0
-                for mark in self.cut.finditer(text):
-                    parts += [self._keys(text[at:mark.start()]), pack([self.special[mark.group()]])]
-                    at = mark.end()
-                cuts.append([*parts, self._keys(text[at:])])
-        found = self._look_up({key for parts in cuts for part in parts if isinstance(part, list) for key in part})
-        return [b"".join([b"".join([found[key] for key in part]) if isinstance(part, list) else part for part in parts])
-                for parts in cuts]
+            parts = []
+            for stretch in self._stretches(text or ""):
+                if isinstance(stretch, bytes):
+                    parts.append(((), [stretch]))
+                    continue
+                keys = self._keys(stretch)
+                ids = list(map(look, keys))
+                if None in ids:
+                    missing.update([k for k, x in zip(keys, ids) if x is None])
+                    parts.append((keys, ids))
+                else:
+                    parts.append(((), ids))
+            cuts.append(parts)
+        found = self._look_up(missing) if missing else {}
+        return [b"".join([b"".join([found[k] if x is None else x for k, x in zip(keys, ids)] if keys else ids)
+                          for keys, ids in parts]) for parts in cuts]
+
+    def _stretches(self, text: str) -> Iterator[str | bytes]:
+        """The text between special tokens, and their packed ids."""
+        if self.cut is None or "<" not in text:
+            if text:
+                yield text
+            return
+        at = 0
+        for mark in self.cut.finditer(text):
+            if mark.start() > at:
+                yield text[at:mark.start()]
+            yield pack([self.special[mark.group()]])
+            at = mark.end()
+        if at < len(text):
+            yield text[at:]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """As ``encode_all``, a bounded stretch of texts at a time."""
@@ -304,6 +322,24 @@ class PrefixEncoder:
         yield from self.encode_all(some)
 
 
+class Vocabulary:
+    """The bytes and the decimal number of every id."""
+
+    def __init__(self, tokens: dict[int, bytes]) -> None:
+        self.spelled = tokens
+        self.decimal = {i: str(i) for i in tokens}
+
+    def decode(self, ids: Sequence[int]) -> str:
+        """The text that ids spell; bytes that are not UTF-8 become U+FFFD."""
+        spelled = self.spelled
+        return b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")
+
+    def numbers(self, ids: Sequence[int]) -> str:
+        """The decimal ids, joined by commas."""
+        decimal = self.decimal
+        return ",".join([decimal[i] for i in ids])
+
+
 _ENCODERS: dict[str, PrefixEncoder] = {}
 
 
@@ -323,29 +359,41 @@ def share_vocabulary(df: DataFrame, path: str) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast((mark, read_vocabulary(path)))
 
 
-def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """Replace column ``text`` by its token ids ``out`` (array of int).
+def encode_to(df: DataFrame, path: str, fields: list[T.StructField], derive: Callable[[bytes, Vocabulary], tuple],
+              text: str = "text") -> DataFrame:
+    """Replace column ``text`` by what ``derive`` makes of a text's ids: one value per field.
 
-    The ids are those of the tokenizer file at ``path`` without added special
-    tokens; special tokens written in a text count as such. A null or empty text
-    has no ids. Other columns pass through; one named ``out`` is refused.
+    ``derive`` gets the ids as packed little-endian 32-bit integers, and the
+    vocabulary, whose ``decode`` gives the text of such ids. See ``encode``.
     """
     rest = [f for f in df.schema.fields if f.name != text]
-    if any(f.name == out for f in rest):
-        raise ValueError(f"the frame already has a column {out}")
+    if clash := {f.name for f in rest} & {f.name for f in fields}:
+        raise ValueError(f"the frame already has columns {sorted(clash)}")
     shared = share_vocabulary(df, path)
+    schema = T.StructType([*rest, *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder_of(shared)
+        vocabulary = Vocabulary(shared.value[1]["tokens"])
+        kinds = [to_arrow_type(f.dataType) for f in fields]
         for batch in batches:
-            found = list(coder.encode(batch.column(text).to_pylist()))
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int64)
-            if ends[-1] >= 1 << 31:
-                raise ValueError("a batch holds over 2^31 tokens; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(found), np.int32)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), ids], [*(f.name for f in rest), out])
+            rows = [derive(ids, vocabulary) for ids in coder.encode(batch.column(text).to_pylist())]
+            new = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), *new], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """Replace column ``text`` by its token ids ``out`` (array of int).
 
-    return df.mapInArrow(run, T.StructType([*rest, T.StructField(out, T.ArrayType(T.IntegerType()))]))
+    The ids are those of the tokenizer file at ``path`` without added special
+    tokens; special tokens written in a text count as such. A null or empty text
+    has no ids. Equal rows stay separate rows, an empty frame stays empty. Other
+    columns pass through; one named ``out`` is refused.
+    """
+    return encode_to(df, path, [T.StructField(out, T.ArrayType(T.IntegerType()))],
+                     lambda ids, _: (np.frombuffer(ids, "<i4"),), text)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -360,13 +408,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
     shared = share_vocabulary(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value[1]["tokens"]
-        spelled = [tokens.get(i) for i in range(max(tokens) + 1)]
+        vocabulary = Vocabulary(shared.value[1]["tokens"])
         for batch in batches:
-            lists = batch.column(ids)
-            ends = [0, *np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)).tolist()]
-            flat = lists.flatten().to_pylist()
-            texts = [b"".join([spelled[i] for i in flat[a:b]]).decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+            texts = [vocabulary.decode(x or ()) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in rest), pa.array(texts, pa.string())], [*(f.name for f in rest), out])
 

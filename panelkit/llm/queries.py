@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+from array import array
+from hashlib import sha256
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelkit.llm import hash_tree, prefix_bpe, quality_rules, swap_packing
+from panelkit.llm import hash_tree, license_voting, prefix_bpe, quality_rules, secret_index, swap_packing
 from panelkit.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def id_digests(ids: bytes, vocabulary: prefix_bpe.Vocabulary) -> tuple[int, str, str]:
+    """Number of ids, and digests of their decimal list and of the text they decode to."""
+    listed = array("i", ids)
+    decoded = vocabulary.decode(listed)
+    return len(listed), sha256(vocabulary.numbers(listed).encode()).hexdigest(), sha256(decoded.encode()).hexdigest()
+
+
 @query("op10_prefix_bpe")
 def prefix_bpe_digests(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids of every document and the text they decode to, as digests."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = prefix_bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), path).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), "ids")
-    return prefix_bpe.decode(coded, path).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+              T.StructField("decoded_sha256", T.StringType())]
+    return prefix_bpe.encode_to(table(spark, sf, "documents").select("doc_id", "text"),
+                                public_tokenizers.path("byte_bpe_50k.json"), fields, id_digests)
 
 
 @query("op2_quality_trees")
@@ -50,3 +59,20 @@ def swap_packed(spark: SparkSession, sf: str) -> DataFrame:
     pieces = swap_packing.token_pieces(table(spark, sf, "documents").select("doc_id", "text"),
                                        public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end=0)
     return swap_packing.pack(pieces, 2048)
+
+
+@query("op3_license_voting", license_voting.summary_sql())
+def license_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """License labels and exact phrases of every document."""
+    return license_voting.summary(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query("op6_secret_index", secret_index.scan_sql(secret_index.RULES))
+def secret_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every document, as digests of their places."""
+    scanned = secret_index.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secret_index.BASE]
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in base]
+    own = F.filter("spans", lambda s: s["rule"] < len(base))
+    return scanned.select("doc_id", *counts, F.sha2(secret_index.shown(own).cast("binary"), 256).alias("base_sha256"),
+                          secret_index.shown(F.col("spans")).alias("spans"))
