@@ -1,16 +1,64 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage takes the documents its predecessor kept and decides over them; all but
+the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelkit.llm import deobfuscation, order_minhash, quality_rules, secret_index, swap_packing
+from panelkit.llm.registry import table
+from panelkit.session import materialise
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not judged toxic."""
+    judged = deobfuscation.judge(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return judged.where("predicted = 0").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules and trees keep."""
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
+    judged = quality_rules.judge(numbered.select("_row", "doc_id", "text"),
+                                 table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return numbered.join(judged.where("kept").select("_row"), "_row", "left_semi").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
+    classes = order_minhash.near_duplicates(numbered, "_row")
+    return numbered.join(classes.where("kept").select("_row"), "_row", "left_semi").select(*docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of every secret and ``n_chars`` to match."""
+    clean = secret_index.redact(secret_index.scan(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 2048 tokens."""
+    pieces = swap_packing.token_pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"),
+                                       capacity=2048, end=0)
+    return swap_packing.pack(pieces, 2048)
+
+
+STAGES = [("toxicity", toxicity), ("quality rules", quality), ("near duplicates", near_duplicates),
+          ("secret scans", secrets), ("packing", packing)]
 
-STAGES = []
+# Fitted models, alignment and a tokenizer have no SQL; the stages are tested against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over the table documents."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages in turn over the table documents, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

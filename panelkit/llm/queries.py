@@ -10,7 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm import hash_tree, license_voting, prefix_bpe, quality_rules, secret_index, swap_packing
+from panelkit.llm import (
+    cap_filters,
+    deobfuscation,
+    hash_tree,
+    license_voting,
+    order_minhash,
+    prefix_bpe,
+    quality_rules,
+    secret_index,
+    site_templates,
+    swap_packing,
+)
 from panelkit.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -76,3 +87,30 @@ def secret_spans(spark: SparkSession, sf: str) -> DataFrame:
     own = F.filter("spans", lambda s: s["rule"] < len(base))
     return scanned.select("doc_id", *counts, F.sha2(secret_index.shown(own).cast("binary"), 256).alias("base_sha256"),
                           secret_index.shown(F.col("spans")).alias("spans"))
+
+
+@query("op1_order_minhash")
+def order_minhash_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """The near-duplicate class of every document, and the one that stays of each class."""
+    return order_minhash.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query("op4_deobfuscation")
+def toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """The toxicity of every document."""
+    judged = deobfuscation.judge(table(spark, sf, "documents").select("doc_id", "text"),
+                                 table(spark, sf, "labels").select("doc_id", "toxic"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op5_site_templates")
+def main_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    return site_templates.extract(table(spark, sf, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op9_cap_filters")
+def vector_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of near-duplicate vectors."""
+    return cap_filters.similar_vectors(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
