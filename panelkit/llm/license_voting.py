@@ -167,15 +167,15 @@ def summary_sql(templates: Sequence[Template] = TEMPLATES, table: str = "documen
     return f"""
         with pairs(template, label, exact, n, slack, tat, gram) as (values {pairs}),
         docs as (select row_number() over () as r, doc_id, list_filter(string_split_regex(
-            translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{SEPARATORS}'), w -> w <> '') as w from {table}),
+            translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{SEPARATORS}'), lambda w: w <> '') as w from {table}),
         rolled as (select r, unnest(range(1, len(w))) as p, w from docs),
         hits as (select r, p - 1 as place, pairs.* from rolled join pairs on w[p] || ' ' || w[p + 1] = gram),
         diagonals as (select r, template, label, exact, n, slack, place - tat as d, bit_or(1::bigint << tat) as bits,
-            min(place) as f, max(place) as l from hits group by all),
+            min(place) as f, max(place) as l from hits group by r, template, label, exact, n, slack, place - tat),
         starts as (select *, coalesce(d - lag(d) over (partition by r, template order by d) > slack, true)::int as s from diagonals),
         stretches as (select *, sum(s) over (partition by r, template order by d rows unbounded preceding) as stretch from starts),
         whole as (select r, template, label, exact, n, stretch, bit_count(bit_or(bits)) / (n - 1) as cover, min(f)::bigint as f,
-            max(l) + 1 as l from stretches group by all),
+            max(l) + 1 as l from stretches group by r, template, label, exact, n, stretch),
         found as (select *, case when exact then cover = 1 else cover >= {COVER} and l - f + 1 <= {STRETCH} * n end as found from whole),
         per_doc as (select r, sum((found and exact)::bigint)::bigint as n_base, min(f) filter (found and exact) as first_word,
             max(f) filter (found and exact) as last_word,

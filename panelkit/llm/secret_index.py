@@ -165,19 +165,19 @@ def scan_sql(rules: Sequence[Rule], table: str = "documents") -> str:
         pattern = rule.pattern.replace("'", "''")
         good = f"length(regexp_extract(m, '{pattern}', {rule.group})) >= {rule.least}" if rule.least else "true"
         kinds.append(f"""
-            list_filter(list_transform(range(2, len(p{i}) + 1), k -> {{'start': coalesce(list_sum(list_transform(p{i}[1:k - 1], x -> length(replace(x, chr(2), '')))), 0)::bigint,
-                'rule': {i}, 'm': split_part(p{i}[k], chr(2), 1), 'kind': '{rule.kind}'}}), s -> {good.replace('(m,', '(s.m,')})""")
+            list_filter(list_transform(range(2, len(p{i}) + 1), lambda k: {{'start': coalesce(list_sum(list_transform(p{i}[1:k - 1], lambda x: length(replace(x, chr(2), '')))), 0)::bigint,
+                'rule': {i}, 'm': split_part(p{i}[k], chr(2), 1), 'kind': '{rule.kind}'}}), lambda e: {good.replace('(m,', '(e.m,')})""")
     parts = ", ".join(f"""string_split(regexp_replace(t, '{r.pattern.replace("'", "''")}', chr(1) || '\\0' || chr(2), 'g'), chr(1)) as p{i}"""
                       for i, r in enumerate(rules))
-    shown_as = "s -> s.kind || ':' || s.start || ':' || (s.start + length(s.m))"
+    shown_as = "lambda e: e.kind || ':' || e.start || ':' || (e.start + length(e.m))"
     return f"""
         with clean as (select doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) as t from {table}),
         split as (select doc_id, {parts} from clean),
         spans as (select doc_id, list_sort(list_concat({', '.join(kinds)})) as s from split)
         select doc_id,
-            len(list_filter(s, x -> x.kind = 'assign'))::bigint as n_assign,
-            len(list_filter(s, x -> x.kind = 'access'))::bigint as n_access,
-            len(list_filter(s, x -> x.kind = 'hex'))::bigint as n_hex,
-            sha256(array_to_string(list_transform(list_filter(s, x -> x.rule < {len(BASE)}), {shown_as}), ',')) as base_sha256,
+            len(list_filter(s, lambda x: x.kind = 'assign'))::bigint as n_assign,
+            len(list_filter(s, lambda x: x.kind = 'access'))::bigint as n_access,
+            len(list_filter(s, lambda x: x.kind = 'hex'))::bigint as n_hex,
+            sha256(array_to_string(list_transform(list_filter(s, lambda x: x.rule < {len(BASE)}), {shown_as}), ',')) as base_sha256,
             array_to_string(list_transform(s, {shown_as}), ',') as spans
         from spans"""

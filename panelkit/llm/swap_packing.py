@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from itertools import combinations
@@ -260,6 +260,13 @@ def pack_group(sizes: list[int], capacity: int) -> list[list[int]]:
     return empty_bins(fill_up(best_fit(sizes, capacity), sizes, capacity), sizes, capacity)
 
 
+def _packer(size: str, capacity: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        return _pack_frame(rows, size, capacity, last)
+
+    return of
+
+
 def _pack_frame(rows: pd.DataFrame, size: str, capacity: int, last: bool) -> pd.DataFrame:
     sizes = rows[size].tolist()
     bins = pack_group(sizes, capacity)
@@ -299,8 +306,7 @@ def pack(df: DataFrame, capacity: int, size: str = "length", sequence: str = "se
         groups = -(-count // group)
         dealt = todo.withColumn("_group", F.pmod(F.xxhash64("_id", F.lit(level)), F.lit(groups)).cast("bigint"))
         last = groups == 1
-        packed = materialise(dealt.groupBy("_group").applyInPandas(
-            lambda part, last=last: _pack_frame(part, size, capacity, last), schema), "packed")
+        packed = materialise(dealt.groupBy("_group").applyInPandas(_packer(size, capacity, last), schema), "packed")
         # Levels and groups share a number with the bin; sequences of one piece have small numbers.
         name = F.lit(level << 58) + F.shiftleft(F.col("_group"), 24) + F.col("_bin")
         done.append(packed.where(~F.col("_open")).select(*columns, name.alias(sequence), F.col("_offset").alias(offset)))
