@@ -57,9 +57,9 @@ for _c in range(0xC0, 0x250):
         TABLE[_c] = OTHER
 
 # Costs of the channel, and what every restored letter earns, so that short words are not favoured.
-SIGN_COST, DROP_SIGN, DROP_DIGIT, DROP_REPEAT, EARNED = 0.5, 1.5, 4.0, 0.5, 2.5
+SIGN_COST, DROP_SIGN, DROP_DIGIT, DROP_REPEAT, EARNED = 0.5, 1.5, 10.0, 0.5, 2.5
 BEAM = 24
-SPACED = re.compile(r"(?<![^\W_])[\w@$!|+](?:[ .\-_*]{1,2}[\w@$!|+]){2,}(?![^\W_])")
+SPACED = re.compile(r"(?<![^\W_])[\w@$!|+]([ .\-_*])[\w@$!|+](?:\1[\w@$!|+])+(?![^\W_])")
 REPEATED = re.compile(r"(.)\1\1")
 
 
@@ -159,9 +159,9 @@ class Restorer:
         return self.decode(core)
 
     def spaced(self, text: str) -> list[str]:
-        """Words whose letters are set apart by spaces or signs."""
-        return [self.decode(re.sub(r"[ .\-_*]", "", m.group().lower())) for m in SPACED.finditer(text)
-                if any(c.isalpha() for c in m.group())]
+        """Words whose letters are set apart by one kind of sign; a word of one letter may stand before them."""
+        found = [m.group().lower().replace(m.group(1), "") for m in SPACED.finditer(text)]
+        return [self.decode(w) for x in found if any(c.isalpha() for c in x) for w in (x, x[1:])]
 
 
 def terms_of(word: str) -> list[str]:
