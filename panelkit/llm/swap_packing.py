@@ -13,6 +13,7 @@ groups, until one group is left. A task holds one group.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -38,7 +39,8 @@ AGAIN = 0.25
 SLACK = 0.02
 # Emptiest bins tried in vain, one after the other, before the search of a group ends.
 PATIENCE = 8
-MEMO = 1 << 18
+# Words of the memo before a new one is begun; the last full one is kept beside it.
+MEMO = 1 << 19
 # Characters whose words are looked up together.
 STRETCH = 1 << 21
 
@@ -61,23 +63,32 @@ class WordTokenizer:
             return [text]
         return text.split()
 
+    def _look_up(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words that the memo lacks."""
+        older = self.older
+        found = {w: older[w] for w in words if w in older}
+        new = [w for w in words if w not in found] if found else list(words)
+        for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            ids = coded.ids
+            found[word] = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self.memo) + len(found) > MEMO:
+            self.older, self.memo = self.memo, {}
+        # Whole texts are not worth keeping.
+        self.memo.update(found if max(map(len, found)) < 64 else {w: ids for w, ids in found.items() if len(w) < 64})
+        return found
+
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        split = [self._words(t) for t in texts]
-        memo, older = self.memo, self.older
-        found, new = {}, []
-        for word in {w for words in split for w in words}:
-            ids = memo.get(word) or older.get(word)
-            if ids is None:
-                new.append(word)
+        look, missing, split = self.memo.get, set(), []
+        for text in texts:
+            words = self._words(text)
+            ids = list(map(look, words))
+            if None in ids:
+                missing.update([w for w, x in zip(words, ids) if x is None])
+                split.append((words, ids))
             else:
-                found[word] = ids
-        for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            found[word] = np.array(coded.ids, "<u4").tobytes()
-        if len(memo) + len(found) > MEMO:
-            self.older, self.memo = memo, {}
-        # Whole texts are not worth keeping.
-        self.memo.update((w, ids) for w, ids in found.items() if len(w) < 64)
-        return [b"".join([found[w] for w in words]) for words in split]
+                split.append((None, ids))
+        found = self._look_up(missing) if missing else {}
+        return [b"".join(ids if words is None else [found[w] if x is None else x for w, x in zip(words, ids)]) for words, ids in split]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Packed little-endian unsigned 32-bit ids of every text, a bounded stretch at a time."""
