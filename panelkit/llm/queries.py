@@ -82,9 +82,8 @@ def license_labels(spark: SparkSession, sf: str) -> DataFrame:
 def secret_spans(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets in every document, as digests of their places."""
     scanned = secret_index.scan(table(spark, sf, "documents").select("doc_id", "text"))
-    base = [r.kind for r in secret_index.BASE]
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in base]
-    own = F.filter("spans", lambda s: s["rule"] < len(base))
+    counts = [secret_index.count_of(r.kind).cast("bigint").alias(f"n_{r.kind}") for r in secret_index.BASE]
+    own = F.filter("spans", lambda s: s["rule"] < len(secret_index.BASE))
     return scanned.select("doc_id", *counts, F.sha2(secret_index.shown(own).cast("binary"), 256).alias("base_sha256"),
                           secret_index.shown(F.col("spans")).alias("spans"))
 

@@ -140,6 +140,11 @@ def shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def count_of(kind: str, spans: str = "spans") -> Column:
+    """The number of spans of one kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def redact(df: DataFrame, text: str = "text", spans: str = "spans", mark: str = "[secret]") -> DataFrame:
     """Replace what the spans cover by ``mark``, overlapping spans by one, and drop column ``spans``.
 
