@@ -50,7 +50,8 @@ SOFT = ".,;:?\"'`()[]{}<>…«»“”‘’-–—*#%&~_=/\\^"
 SIZE = len(LETTERS) + 2  # 0 is the edge of a word, the last any other letter
 OTHER = SIZE - 1
 CODE = {c: i for i, c in enumerate(LETTERS, 1)}
-TABLE = np.zeros(0x250, np.int64)
+# The last entry stands for everything beyond.
+TABLE = np.zeros(0x251, np.int64)
 TABLE[[ord(c) for c in CODE if ord(c) < 0x250]] = [i for c, i in CODE.items() if ord(c) < 0x250]
 for _c in range(0xC0, 0x250):
     if TABLE[_c] == 0 and chr(_c).isalpha():
