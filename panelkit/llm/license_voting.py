@@ -94,21 +94,24 @@ def find(df: DataFrame, templates: Sequence[Template] = TEMPLATES, text: str = "
     """
     hits = votes(df, templates, text)
     rest = [c for c in df.columns if c != text]
-    docs = hits.where("template is null").select("_row", *[F.col(f"`{c}`") for c in rest], "n_words")
+    docs = hits.where("template is null").select("_row", *[F.col(f"_doc.`{c}`").alias(c) for c in [*rest, "n_words"]])
     return docs, merged(hits).where("found").select("_row", "label", "exact", "first", "last", "cover")
 
 
 def votes(df: DataFrame, templates: Sequence[Template], text: str = "text") -> DataFrame:
-    """One row per word pair that a template has, and one per document without a template."""
+    """One row per word pair that a template has, and one per document, without a template but with ``_doc``:
+    its other columns and ``n_words``."""
     rest = [c for c in df.columns if c != text]
-    if clash := {c for c in rest} & {"_row", "_place", "gram", "hash", "n_words", "template", "label", "exact", "n", "slack", "at"}:
-        raise ValueError(f"the frame already has columns {sorted(clash)}")
-    words = df.select(*[F.col(f"`{c}`") for c in rest], F.monotonically_increasing_id().alias("_row"), words_of(F.col(f"`{text}`")).alias("_words"))
+    if "n_words" in rest:
+        raise ValueError("the frame already has a column n_words")
+    words = df.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest") if rest else F.lit(None).alias("_rest"),
+                      F.monotonically_increasing_id().alias("_row"), words_of(F.col(f"`{text}`")).alias("_words"))
     pairs = F.zip_with("_words", F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(1))),
                        lambda a, b: F.concat(a, F.lit(" "), b))
     # The first element stands for the document itself, so that one without finds keeps a row.
-    rolled = words.select(*[F.col(f"`{c}`") for c in rest], "_row", F.size("_words").cast("bigint").alias("n_words"),
-                          F.posexplode(F.concat(F.array(F.lit(None).cast("string")), pairs)).alias("_place", "gram"))
+    doc = F.struct(*[F.col(f"_rest.`{c}`").alias(c) for c in rest], F.size("_words").cast("bigint").alias("n_words"))
+    rolled = words.select("_row", doc.alias("_doc"), F.posexplode(F.concat(F.array(F.lit(None).cast("string")), pairs)).alias("_place", "gram"))
+    rolled = rolled.withColumn("_doc", F.when(F.col("_place") == 0, F.col("_doc")))
     known = F.broadcast(template_pairs(df.sparkSession, templates)).withColumnsRenamed({"gram": "_gram", "hash": "_hash"})
     same = (F.xxhash64("gram") == F.col("_hash")) & (F.col("gram") == F.col("_gram"))
     joined = rolled.join(known, same, "left").where("_place = 0 or template is not null")
@@ -117,9 +120,10 @@ def votes(df: DataFrame, templates: Sequence[Template], text: str = "text") -> D
 
 
 def merged(hits: DataFrame) -> DataFrame:
-    """Stretches of neighbouring diagonals with the template's cover in them."""
+    """Stretches of neighbouring diagonals with the template's cover in them; rows without a template stay as they are."""
     keys = ["_row", "template", "label", "exact", "n", "slack"]
-    diagonals = hits.where("template is not null").groupBy(*keys, (F.col("_place") - F.col("at")).alias("diagonal")).agg(
+    diagonals = hits.groupBy(*keys, (F.col("_place") - F.col("at")).alias("diagonal")).agg(
+        F.first("_doc", ignorenulls=True).alias("_doc"),
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at"))).alias("bits"),
         F.min("_place").alias("first"), F.max("_place").alias("last"))
     order = Window.partitionBy("_row", "template").orderBy("diagonal")
@@ -127,8 +131,8 @@ def merged(hits: DataFrame) -> DataFrame:
     running = diagonals.withColumn("_starts", starts.cast("int")).withColumn(
         "_stretch", F.sum("_starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     whole = running.groupBy(*keys, "_stretch").agg(
-        F.expr("bit_or(bits)").alias("bits"), F.min("first").cast("bigint").alias("first"),
-        (F.max("last") + 1).cast("bigint").alias("last"))
+        F.first("_doc", ignorenulls=True).alias("_doc"), F.bit_or("bits").alias("bits"),
+        F.min("first").cast("bigint").alias("first"), (F.max("last") + 1).cast("bigint").alias("last"))
     cover = F.bit_count("bits") / (F.col("n") - 1)
     short = F.col("last") - F.col("first") + 1 <= STRETCH * F.col("n")
     return whole.withColumn("cover", cover).withColumn(
@@ -139,24 +143,21 @@ def summary(df: DataFrame, templates: Sequence[Template] = TEMPLATES, text: str
     """One row per document in place of its text: words, exact places, labels and the best cover.
 
     ``score`` is the largest share of a template's pairs in one stretch, 0 without
-    any. A null or empty text has no words and no labels. Equal rows stay
-    separate; other columns pass through, with names of the working ones refused.
+    any. A null or empty text has no words and no labels. Equal rows stay separate,
+    an empty frame stays empty. Other columns pass through whatever their names; only
+    ``n_words`` is refused.
     """
     rest = [c for c in df.columns if c != text]
-    hits = votes(df, templates, text)
-    found = merged(hits)
+    found = merged(votes(df, templates, text))
     exact = F.col("found") & F.col("exact")
     per_doc = found.groupBy("_row").agg(
-        F.sum(exact.cast("bigint")).alias("n_base"), F.min(F.when(exact, F.col("first"))).alias("first_word"),
-        F.max(F.when(exact, F.col("first"))).alias("last_word"),
+        F.first("_doc", ignorenulls=True).alias("_doc"), F.coalesce(F.sum(exact.cast("bigint")), F.lit(0)).cast("bigint").alias("n_base"),
+        F.min(F.when(exact, F.col("first"))).alias("first_word"), F.max(F.when(exact, F.col("first"))).alias("last_word"),
         F.array_join(F.array_sort(F.collect_set(F.when(exact, F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("found"), F.col("label")))), ",").alias("labels"),
-        F.max("cover").alias("score"))
-    docs = hits.where("template is null").select("_row", *[F.col(f"`{c}`") for c in rest], "n_words")
-    return docs.join(per_doc, "_row", "left").select(
-        *[F.col(f"`{c}`") for c in rest], "n_words", F.coalesce("n_base", F.lit(0).cast("bigint")).alias("n_base"),
-        "first_word", "last_word", F.coalesce("base_labels", F.lit("")).alias("base_labels"),
-        F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))
+        F.coalesce(F.max("cover"), F.lit(0.0)).alias("score"))
+    return per_doc.select(*[F.col(f"_doc.`{c}`").alias(c) for c in [*rest, "n_words"]], "n_base", "first_word", "last_word",
+                          "base_labels", "labels", "score")
 
 
 def summary_sql(templates: Sequence[Template] = TEMPLATES, table: str = "documents") -> str:

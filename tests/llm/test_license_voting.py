@@ -53,12 +53,12 @@ def test_spans(spark, documents):
 
 
 def test_edge_cases(spark, documents):
-    same = documents([(1, "cc by"), (1, "cc by"), (None, "cc by"), (2, None)]).withColumn("more", F.lit(1))
+    same = documents([(1, "cc by"), (1, "cc by"), (None, "cc by"), (2, None)]).withColumns({"more": F.lit(1), "label": F.lit("x"), "_doc": F.lit(2)})
     rows = license_voting.summary(same).collect()
-    assert sorted(r.n_base for r in rows) == [0, 1, 1, 1] and all(r.more == 1 for r in rows)
+    assert sorted(r.n_base for r in rows) == [0, 1, 1, 1] and all((r.more, r.label, r._doc) == (1, "x", 2) for r in rows)
     assert license_voting.summary(documents([])).collect() == []
-    with pytest.raises(ValueError, match="label"):
-        license_voting.summary(documents([(1, "a")]).withColumn("label", F.lit(1)))
+    with pytest.raises(ValueError, match="n_words"):
+        license_voting.summary(documents([(1, "a")]).withColumn("n_words", F.lit(1)))
 
 
 def test_one_shuffle_of_pairs_and_no_python(spark, documents):
