@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import panels as P
 from catalog.registry import query, rounded
 from catalog.shape_queries import shown
-from catalog.sql import cte, r, sql
+from catalog.sql import cte, exact, r, sql
 from panelkit.operators import quality as Q
 from panelkit.plans import enriched as E
 from panelkit.plans import marts as M
@@ -401,8 +401,8 @@ def mart_trend(spark, sf):
     return rounded(trends(base(spark, sf)))
 
 
-SEVERITY = ("when round(cast({0} as decimal(38,10)), 2) >= 2 then 'Crisis Level' when round(cast({0} as decimal(38,10)), 2) >= 1.5 then 'Severely Elevated' "
-            "when round(cast({0} as decimal(38,10)), 2) >= 1 then 'Above National' when round(cast({0} as decimal(38,10)), 2) < 1 then 'Below National' end")
+SEVERITY = ("when {0} >= 2 then 'Crisis Level' when {0} >= 1.5 then 'Severely Elevated' "
+            "when {0} >= 1 then 'Above National' when {0} < 1 then 'Below National' end")
 
 cte("harms_m", f"""
 select prov_code, region_name, ref_year, ref_year::varchar as year_label, substance, harm_type, harm_type_label,
@@ -410,7 +410,7 @@ select prov_code, region_name, ref_year, ref_year::varchar as year_label, substa
        {r('d')} as yoy_change, {r('pct', 1)} as yoy_pct_change, {r('roll', 1)} as rolling_avg_3yr, rk as national_rank,
        ref_year >= 1999 as is_emergency_period, false as is_suppressed, pop as statscan_population,
        substance || ' — ' || harm_type_label as indicator_label, {trend_sql('d')} as trend_direction,
-       case {SEVERITY.format('ratio')} as severity_vs_national,
+       case {SEVERITY.format(exact('ratio', 2))} as severity_vs_national,
        case when ref_year between 1996 and 1998 then 'Pre-Emergency' when ref_year >= 1999 then 'Post-Emergency' else 'Baseline' end as emergency_period_label,
        'calendar' as year_type, {r('avg(rate) over e')} as mean_rate, {r('min(rate) over e')} as min_rate, {r('max(rate) over e')} as max_rate,
        count(*) over e as data_points
@@ -429,7 +429,7 @@ select {SURVEILLANCE_COLUMNS}, {trend_sql('d')} as trend_direction,
             when z >= 1 then 'Elevated' else 'Normal Range' end as outbreak_status_label,
        case when disease in ('view', 'click') then 'Traffic' when disease = 'purchase' then 'Money' else 'Other' end as disease_category,
        prov_code = 'AS' as is_focus, prov_code in ('AS', 'AM') as is_territory,
-       case when round(cast(ratio as decimal(38,10)), 2) >= 5 then 'Extreme' {SEVERITY.format('ratio')} as severity_vs_national,
+       case when {exact('ratio', 2)} >= 5 then 'Extreme' {SEVERITY.format(exact('ratio', 2))} as severity_vs_national,
        {r('avg(rate) over e')} as mean_rate, {r('min(rate) over e')} as min_rate, {r('max(rate) over e')} as max_rate, count(*) over e as data_points,
        first_value(ref_year) over (partition by prov_code, disease order by rate desc, ref_year) as peak_year
 from surv_e where not cases < 5 window e as (partition by prov_code, disease)

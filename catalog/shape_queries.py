@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog import panels as P
 from catalog.registry import query, rounded
-from catalog.sql import cte, r, sql
+from catalog.sql import cte, exact, r, sql
 from panelkit.functions import classify as C
 from panelkit.functions import numeric as N
 from panelkit.functions.text import show_number
@@ -19,7 +19,7 @@ from panelkit.spec import PanelSpec
 
 
 def shown(expr: str, digits: int, signed: bool = False) -> str:
-    size = f"cast(cast(round(abs(cast({expr} as decimal(38,10))), {digits}) as decimal(38,{digits})) as varchar)"
+    size = f"cast(abs({exact(expr, digits)}) as varchar)"
     return f"(case when {expr} < 0 then '-' else '{'+' if signed else ''}' end || {size})"
 
 

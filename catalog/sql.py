@@ -30,8 +30,13 @@ def sql(body: str) -> str:
 
 
 def r(expr: str, digits: int = 4) -> str:
-    """Round half away from zero on the decimal text."""
-    return f"cast(round(cast({expr} as decimal(38,10)), {digits}) as double)"
+    """Round half away from zero on the 15 significant digits of a double."""
+    return f"cast({exact(expr, digits)} as double)"
+
+
+def exact(expr: str, digits: int) -> str:
+    """As ``r``, but as a decimal."""
+    return f"cast(printf('%.14e', cast({expr} as double)) as decimal(38,{digits}))"
 
 
 cte("p1", """

@@ -16,7 +16,7 @@ def main() -> int:
     args = parser.parse_args()
     spark = build_session()
     for name, rows in warehouse.load(spark, {n: f"{args.raw}/{n}.csv" for n in warehouse.SOURCES}, args.out).items():
-        print(f"{name}: {rows} rows")
+        print(f"{name}: " + ("no file, table kept" if rows is None else f"{rows} rows"))
     tables = warehouse.run(spark, args.out)
     failed = warehouse.check(tables).where("failures > 0").orderBy("check").collect()
     for row in failed:

@@ -10,9 +10,19 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def significant(c: Column | str) -> Column:
+    """A number as a double of 15 significant digits, NULL for NaN.
+
+    Those digits are what a double keeps of any decimal, so what two engines
+    add up in another order is the same number afterwards, at any size.
+    """
+    value = as_col(c).cast("double")
+    return F.when(~F.isnan(value), F.format_string("%.14e", value).try_cast("double"))
+
+
 def round_half_up(c: Column | str, digits: int) -> Column:
-    """Round half away from zero on the decimal text of a double."""
-    return F.round(as_col(c).try_cast("decimal(38,10)"), digits).cast("double")
+    """Round half away from zero on the 15 significant digits of a double, once."""
+    return F.round(significant(c), digits)
 
 
 def maybe_round(c: Column, digits: int | None) -> Column:
@@ -63,18 +73,41 @@ def pct_change(value: Column | str, previous: Column | str, digits: int | None =
     return maybe_round(F.when(allowed, (value - previous) / previous * 100), digits)
 
 
+# Up to so many degrees of freedom the t probability is a finite sum; beyond, the
+# normal transformation is exact to the last digits of a double.
+FINITE_DOF = 400
+
+
+def normal_tail(z: Column) -> Column:
+    """Two-sided normal tail probability of ``z >= 0``: a series up to 3, a continued fraction beyond."""
+    x = z / F.sqrt(F.lit(2.0))
+
+    # erf(x) is exp(-x^2) times a sum of positive terms, each 2x^2 / (2n + 1) times the one before.
+    def add(state, n):
+        term = state["term"] * 2.0 * x * x / (2.0 * n + 1)
+        return F.struct((state["total"] + term).alias("total"), term.alias("term"))
+
+    inner = F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.struct(x.alias("total"), x.alias("term")), add, lambda s: s["total"])
+    outer = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), x, lambda k, n: x + n / 2.0 / k)
+    scale = F.exp(-x * x) / F.sqrt(F.pi())
+    return F.when(z < 3, F.lit(1.0) - 2 * scale * inner).otherwise(scale / outer)
+
+
 def two_sided_p(t: Column | str, dof: Column | str) -> Column:
-    """Two-sided Student t tail probability for whole degrees of freedom.
+    """Two-sided Student t tail probability for whole degrees of freedom, in constant work.
 
     With theta = atan(|t| / sqrt(dof)) the central probability is a finite sum
-    in powers of cos(theta) (Abramowitz and Stegun 26.7.3 and 26.7.4), so it
-    needs neither a special function nor a Python worker.
+    in powers of cos(theta) (Abramowitz and Stegun 26.7.3 and 26.7.4). Its length
+    is half the degrees of freedom, so above ``FINITE_DOF`` t is turned into the
+    normal deviate of the same tail instead (Hill 1970, whose error there is
+    below that of a double).
     """
-    t, dof = F.abs(as_col(t)).cast("double"), as_col(dof).cast("int")
-    theta = F.atan(t / F.sqrt(dof.cast("double")))
+    t, dof = F.abs(as_col(t)).cast("double"), as_col(dof).cast("bigint")
+    few = F.least(dof, F.lit(FINITE_DOF))
+    theta = F.atan(t / F.sqrt(few.cast("double")))
     sin, cos = F.sin(theta), F.cos(theta)
-    odd = dof % 2 == 1
-    terms = F.when(odd, (dof - 1) / 2).otherwise(dof / 2).cast("int")
+    odd = few % 2 == 1
+    terms = F.when(odd, (few - 1) / 2).otherwise(few / 2).cast("int")
 
     # Term j grows from term j-1 by cos^2 times 2j/(2j+1) or (2j-1)/(2j).
     def step(state, j):
@@ -91,17 +124,24 @@ def two_sided_p(t: Column | str, dof: Column | str) -> Column:
     )
     half_turn = F.lit(2.0) / F.pi()
     central = (
-        F.when(dof == 1, half_turn * theta)
+        F.when(few == 1, half_turn * theta)
         .when(odd, half_turn * (theta + sin * series))
         .otherwise(sin * series)
     )
-    return F.when(dof >= 1, F.greatest(F.lit(1.0) - central, F.lit(0.0)))
+    n = dof.cast("double")
+    a = n - 0.5
+    b = 48.0 * a * a
+    y = a * F.log1p(t * t / n)
+    z = F.sqrt(y) * (1.0 + (y + 3.0 + (((-0.4 * y - 3.3) * y - 24.0) * y - 85.5) / (0.8 * y * y + 100.0 + b)) / b)
+    return F.when(dof > FINITE_DOF, normal_tail(z)).when(dof >= 1, F.greatest(F.lit(1.0) - central, F.lit(0.0)))
 
 
-def t_quantile(level: float, dof: Column | str, upper: float = 2000.0, rounds: int = 64) -> Column:
-    """The t with ``level`` of the probability inside (-t, t), by bisection."""
+def t_quantile(level: float, dof: Column | str, rounds: int = 64) -> Column:
+    """The t with ``level`` of the probability inside (-t, t), by doubling and bisection."""
     dof = as_col(dof)
     alpha = 1.0 - level
+    upper = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.lit(1.0),
+                        lambda t, _: F.when(two_sided_p(t, dof) > alpha, t * 2).otherwise(t))
 
     def halve(state, _):
         mid = (state["lo"] + state["hi"]) / 2
@@ -113,7 +153,7 @@ def t_quantile(level: float, dof: Column | str, upper: float = 2000.0, rounds: i
 
     found = F.aggregate(
         F.sequence(F.lit(1), F.lit(rounds)),
-        F.struct(F.lit(0.0).alias("lo"), F.lit(float(upper)).alias("hi")),
+        F.struct(F.lit(0.0).alias("lo"), upper.alias("hi")),
         halve,
         lambda s: (s["lo"] + s["hi"]) / 2,
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelkit.functions.numeric import as_col
+from panelkit.functions.numeric import as_col, round_half_up
 
 # Texts that publishers print in place of a withheld number.
 SUPPRESSION_TOKENS = ("-", "–", "Suppressed", "Suppr.", "N/A", "")
@@ -50,11 +51,12 @@ def partial_period_flag(c: Column | str) -> Column:
 
 
 def _accent_table() -> tuple[str, str]:
-    """Each accented Latin letter and its base letter, by Unicode decomposition."""
+    """Each letter with marks and its base letter, by the canonical decompositions of all of Unicode."""
     accented, base = [], []
-    for point in range(0xC0, 0x250):
-        plain = "".join(x for x in unicodedata.normalize("NFD", chr(point)) if unicodedata.category(x) != "Mn")
-        if len(plain) == 1 and plain != chr(point) and plain.isascii():
+    for point in range(0xC0, sys.maxunicode + 1):
+        parts = unicodedata.normalize("NFD", chr(point))
+        plain = "".join(x for x in parts if unicodedata.category(x) != "Mn")
+        if len(plain) == 1 and len(parts) > 1:
             accented.append(chr(point))
             base.append(plain)
     return "".join(accented), "".join(base)
@@ -64,14 +66,15 @@ _ACCENTED, _BASE = _accent_table()
 
 
 def fold_accents(c: Column | str) -> Column:
-    """Replace accented Latin letters by their base letters and drop combining marks."""
-    return F.regexp_replace(F.translate(as_col(c), _ACCENTED, _BASE), r"[\u0300-\u036f]", "")
+    """Replace letters with marks by their base letters and drop combining marks."""
+    return F.regexp_replace(F.translate(as_col(c), _ACCENTED, _BASE), r"\p{Mn}", "")
 
 
 def show_number(c: Column | str, digits: int = 1, signed: bool = False, missing: str = "N/A") -> Column:
     """Fixed-decimal text, ``missing`` for NULL. Halves round away from zero,
     and a small negative number keeps its sign."""
-    value = as_col(c).try_cast("decimal(38,10)")
-    size = F.round(F.abs(value), digits).cast(f"decimal(38,{digits})").cast("string")
+    value = as_col(c).cast("double")
+    size = F.format_string(f"%.{digits}f", F.abs(round_half_up(value, digits)))
+    size = F.when(value.isNotNull() & ~F.isnan(value), size)
     sign = F.when(value < 0, "-").otherwise("+" if signed else "")
     return F.coalesce(F.concat(sign, size), F.lit(missing))

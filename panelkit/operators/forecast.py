@@ -122,11 +122,11 @@ def trend_test(df: DataFrame, p: PanelSpec, h: int = 3, level: float = 0.95) ->
     fit = fit.withColumns({
         "slope_se": F.sqrt(F.try_divide(s2, F.col("sxx"))),
         "direction": F.when(F.col("slope") > 0, "increasing").otherwise("decreasing"),
-        "t_crit": t_quantile(level, dof.cast("int")),
+        "t_crit": t_quantile(level, dof),
         "residual_sd": F.sqrt(s2),
     })
     fit = fit.withColumn("t_stat", F.try_divide("slope", "slope_se")).withColumn(
-        "p_value", two_sided_p("t_stat", dof.cast("int")))
+        "p_value", two_sided_p("t_stat", dof))
 
     def step(k: int):
         at = F.col("last_t") + k

@@ -12,7 +12,7 @@ same answers from pieces:
 3. a position is that sum plus the place inside the stretch.
 
 Sampling only decides where stretches begin. Nothing is dropped, capped or
-approximated. For ranks and quantiles equal values are merged with a count
+approximated, and rows of a NULL group are kept. For ranks and quantiles equal values are merged with a count
 first, combined before the shuffle, so a value shared by a third of the rows
 travels as one row per map task.
 """
@@ -24,6 +24,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from panelkit.operators.keys import join_keys
 from panelkit.session import materialise
 
 
@@ -69,7 +70,7 @@ def counts_before(df: DataFrame, by: Sequence[str], order: str, descending: bool
     ``before`` rows of the group that sort ahead of it. NULLs are left out.
     """
     values = _merged(df, by, order, descending, pieces)
-    rows = values.join(_offsets(values, by), [*by, "_stretch"])
+    rows = join_keys(values, _offsets(values, by), [*by, "_stretch"])
     return rows.select(*by, order, "n", _before(by, order, descending).alias("before"))
 
 
@@ -77,16 +78,16 @@ def rank_desc_hot(df: DataFrame, by: Sequence[str], value: str, out: str = "rank
                   pieces: int | None = None) -> DataFrame:
     """The result of ``rank_desc`` without one task per cross-section."""
     ahead = counts_before(df, by, value, descending=True, pieces=pieces).drop("n")
-    present = df.where(F.col(value).isNotNull()).join(ahead, [*by, value])
+    present = join_keys(df.where(F.col(value).isNotNull()), ahead, [*by, value])
     ranked = present.select(*df.columns, (F.col("before") + 1).cast("bigint").alias(out))
 
     missing = df.where(F.col(value).isNull())
     totals = df.groupBy(*by).agg(F.count(value).alias("_n"), (F.count(F.lit(1)) - F.count(value)).alias("_nulls"))
     if nulls == "first":
-        ranked = ranked.join(totals, list(by)).withColumn(out, F.col(out) + F.col("_nulls")).select(*df.columns, out)
+        ranked = join_keys(ranked, totals, by).withColumn(out, F.col(out) + F.col("_nulls")).select(*df.columns, out)
         missing = missing.withColumn(out, F.lit(1).cast("bigint"))
     else:
-        missing = missing.join(totals, list(by)).select(*df.columns, (F.col("_n") + 1).cast("bigint").alias(out))
+        missing = join_keys(missing, totals, by).select(*df.columns, (F.col("_n") + 1).cast("bigint").alias(out))
     return ranked.unionByName(missing)
 
 
@@ -101,7 +102,7 @@ def number_rows(df: DataFrame, series: Sequence[str], order: str, out: str = "ro
     parts = placed.groupBy(*series, "_stretch").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
     shift = parts.select(*series, "_stretch", (
         F.coalesce(F.sum("_rows").over(_earlier(series)), F.lit(0)) - F.col("_first")).alias("_shift"))
-    return placed.join(shift, [*series, "_stretch"]).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(out))
+    return join_keys(placed, shift, [*series, "_stretch"]).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(out))
 
 
 def over_long_series(df: DataFrame, series: Sequence[str], order: str, before: int, after: int,
@@ -148,7 +149,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
         return F.filter(spots, lambda s: (s["spot"] >= first) & (s["spot"] < first + rows))
 
     wanted = stretches.select(*by, "_stretch", "_offset", held(spots, F.col("_offset"), F.col("_total")).alias("_spots"))
-    rows = values.join(wanted.where(F.size("_spots") > 0), [*by, "_stretch"])
+    rows = join_keys(values, wanted.where(F.size("_spots") > 0), [*by, "_stretch"])
     rows = rows.withColumn("_first", _before(by, value))
     rows = rows.select(*by, F.col(value).cast("double").alias("_v"),
                        F.explode(held(F.col("_spots"), F.col("_first"), F.col("n"))).alias("_s"))

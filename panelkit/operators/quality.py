@@ -129,7 +129,11 @@ def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check with its number of failures."""
+    """One row per check with its number of failures. A check of a table that is not given is an error."""
+    if unknown := sorted({c.table for c in checks} - set(tables)):
+        raise KeyError(f"checks of tables that are not given: {unknown}")
+    if not checks:
+        raise ValueError("no checks")
     parts = []
     for table, df in tables.items():
         row_checks = [c for c in checks if c.table == table and isinstance(c, RowCheck)]

@@ -34,6 +34,6 @@ def ols_coefficients(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.
         estimates = [*map(float, model.coefficients), float(model.intercept)]
         rows = [(t, e, float(se), float(tv), float(pv), int(s.degreesOfFreedom))
                 for t, e, se, tv, pv in zip(terms, estimates, s.coefficientStandardErrors, s.tValues, s.pValues)]
-    half = t_quantile(level, F.col("dof").cast("int")) * F.col("std_error")
+    half = t_quantile(level, "dof") * F.col("std_error")
     return spark.createDataFrame(rows, SCHEMA).withColumns({
         "conf_low": F.col("estimate") - half, "conf_high": F.col("estimate") + half})

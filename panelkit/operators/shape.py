@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.classify import event_period
 from panelkit.operators.hotgroups import exact_quantiles
+from panelkit.operators.keys import join_keys
 from panelkit.spec import PanelSpec
 
 
@@ -61,9 +62,9 @@ def pre_post(df: DataFrame, p: PanelSpec, rank: str, pre: tuple[int, int], post_
 
 def peak_per_series(df: DataFrame, p: PanelSpec) -> DataFrame:
     """Highest value of each series and its first period, as an aggregate."""
-    best = F.max_by(F.struct(F.col(p.value).alias("peak_value"), F.col(p.period).alias("peak_period")),
-                    F.struct(F.col(p.value), -F.col(p.period)))
-    return df.groupBy(*p.series).agg(best.alias("_b")).select(*p.series, "_b.*")
+    per_value = df.groupBy(*p.series, F.col(p.value).alias("peak_value")).agg(F.min(p.period).alias("peak_period"))
+    best = F.max_by(F.struct("peak_value", "peak_period"), F.struct("peak_value"))
+    return per_value.groupBy(*p.series).agg(best.alias("_b")).select(*p.series, "_b.*")
 
 
 def pivot_heatmap(df: DataFrame, p: PanelSpec, periods: Sequence[int], prefix: str = "p") -> DataFrame:
@@ -171,7 +172,7 @@ def equal_width_bins(df: DataFrame, by: Sequence[str], value: str, n: int = 5, o
 
     The width is a fifth (``1/n``) of the group's maximum, rounded half to
     even at its leading digit and at least one. A value outside every bin goes
-    to the last. Group maxima are aggregated and joined back, so a hot group
+    to the last, and so does a missing one. Group maxima are aggregated and joined back, so a hot group
     is combined before the shuffle.
     """
     top = df.groupBy(*by).agg(F.max(value).cast("double").alias("_max"))
@@ -179,6 +180,6 @@ def equal_width_bins(df: DataFrame, by: Sequence[str], value: str, n: int = 5, o
     raw = F.col("_max") / n
     magnitude = F.pow(F.lit(10.0), F.length(F.floor(raw).cast("bigint").cast("string")) - 1)
     top = top.withColumn("bin_width", F.greatest(F.lit(1.0), F.bround(raw / magnitude, 0) * magnitude))
-    rows = df.join(top, list(by), "left")
+    rows = join_keys(df, top, by, "left")
     reached = reduce(lambda a, b: a + b, [(F.col(value) >= F.col("bin_width") * i).cast("int") for i in range(1, n)])
-    return rows.withColumn(out, F.when(F.col(value) < 0, n - 1).otherwise(reached).cast("bigint")).drop("_max")
+    return rows.withColumn(out, F.coalesce(F.when(F.col(value) < 0, n - 1).otherwise(reached), F.lit(n - 1)).cast("bigint")).drop("_max")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.numeric import maybe_round, pct_change
+from panelkit.operators.keys import join_keys
 from panelkit.spec import PanelSpec
 
 
@@ -67,7 +68,7 @@ def attach_benchmark(df: DataFrame, p: PanelSpec, benchmark: str, columns: Mappi
     if strategy != "join":
         raise ValueError("strategy must be 'window' or 'join'")
     side = df.where(is_benchmark).groupBy(*p.cross).agg(*[F.max(old).alias(new) for old, new in columns.items()])
-    return df.join(side, list(p.cross), "left")
+    return join_keys(df, side, p.cross, "left")
 
 
 def series_stats(df: DataFrame, p: PanelSpec, strategy: str = "window") -> DataFrame:
@@ -83,7 +84,7 @@ def series_stats(df: DataFrame, p: PanelSpec, strategy: str = "window") -> DataF
     if strategy == "window":
         return df.withColumns({name: c.over(p.whole_series()) for name, c in measures.items()})
     stats = df.groupBy(*p.series).agg(*[c.alias(name) for name, c in measures.items()])
-    return df.join(stats, list(p.series), "left")
+    return join_keys(df, stats, p.series, "left")
 
 
 def peak_period(p: PanelSpec) -> Column:

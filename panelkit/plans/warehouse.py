@@ -1,8 +1,8 @@
 """The whole refresh: published CSV files to raw, staged, enriched and mart tables, and their checks.
 
 Every table is written once and read back by the tables that build on it, so
-no step repeats the work of an earlier one, and a refresh that was interrupted
-can be started again from its last finished layer.
+no step repeats the work of an earlier one. ``load`` and ``run`` can be repeated:
+each rebuilds its tables whole.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from panelkit.operators.forecast import forecast_auto
 from panelkit.plans import enriched, marts, reports, staging
 from panelkit.plans.domain import DEFAULT, Domain
 from panelkit.sources.csv import TOTAL_LABELS, filter_total_rows, read_csv_table
-from panelkit.sources.tables import read_table, write_table
+from panelkit.sources.tables import path_exists, read_table, write_table
 from panelkit.spec import PanelSpec
 
 log = logging.getLogger(__name__)
@@ -75,9 +75,21 @@ def scan(spark: SparkSession, name: str, path: str) -> DataFrame:
     return filter_total_rows(df).select(*source.columns) if source.totals_only else df
 
 
-def load(spark: SparkSession, paths: Mapping[str, str], out: str) -> dict[str, int]:
-    """Write the raw tables; returns the rows of each."""
-    return {name: write_table(scan(spark, name, path), f"{out}/raw/{name}") for name, path in paths.items()}
+def load(spark: SparkSession, paths: Mapping[str, str], out: str) -> dict[str, int | None]:
+    """Write the raw tables; returns the rows of each.
+
+    A missing file leaves the raw table of an earlier load as it is and is
+    reported as None. Only where there is none an empty table is written.
+    """
+    rows: dict[str, int | None] = {}
+    for name, path in paths.items():
+        target = f"{out}/raw/{name}"
+        if not path_exists(spark, path) and path_exists(spark, target):
+            log.warning("no file at %s, keeping the table %s", path, target)
+            rows[name] = None
+        else:
+            rows[name] = write_table(scan(spark, name, path), target)
+    return rows
 
 
 def run(spark: SparkSession, out: str, domain: Domain = DEFAULT) -> dict[str, DataFrame]:
@@ -169,6 +181,7 @@ def standard_checks(domain: Domain = DEFAULT) -> list[Q.Check]:
     return [
         *[Q.NotNull(table, column) for table, columns in present.items() for column in columns],
         *[Q.Accepted(table, column, tuple(values)) for table, column, values in accepted],
+        Q.Unique("staging/population", ("prov_code", "ref_year")),
         Q.Unique("marts/focus_overview", ("fiscal_year",)),
         Q.InRange("marts/focus_overview", "acsc_rate", 150, 1000, focus),
         Q.InRange("marts/focus_overview", "mh_readmission_rate", 0, 100),

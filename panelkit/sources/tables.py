@@ -30,6 +30,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at a path of any file system Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def export_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Project to the named columns under their display headers."""
     return df.select(*[F.col(f"`{name}`").alias(header) for name, header in columns.items()])

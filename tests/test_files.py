@@ -81,3 +81,6 @@ def test_checks(spark):
         ("unique:t.k", 1), ("unique:t.v", 0), ("present:t", 1), ("present:t", 0), ("exactly_one:t", 1), ("exactly_one:t", 0)])
     assert Q.failing_rows({"t": df}, checks[4]).collect()[0]["v"] == 200.0
     assert Q.failing_rows({"t": df}, checks[6]).collect()[0]["n"] == 2
+    for check in (Q.NotNull("typo", "v"), Q.Unique("typo", ("v",)), Q.Present("typo")):
+        with pytest.raises(KeyError, match="typo"):
+            Q.run_checks({"t": df}, [checks[0], check])

@@ -51,12 +51,14 @@ def test_fold_accents(spark):
 
 
 @pytest.mark.parametrize("value, digits, signed, text", [
-    (1.25, 1, False, "1.3"), (-0.04, 1, True, "-0.0"), (12.0, 0, True, "+12"), (-3.46, 1, True, "-3.5"), (None, 1, True, "N/A")])
+    (1.25, 1, False, "1.3"), (-0.04, 1, True, "-0.0"), (12.0, 0, True, "+12"), (-3.46, 1, True, "-3.5"), (None, 1, True, "N/A"),
+    (1e29, 0, False, "1" + "0" * 29), (1.00499999999999, 2, False, "1.00"), (float("nan"), 0, False, "N/A")])
 def test_show_number(spark, value, digits, signed, text):
     assert one(spark, X.show_number("v", digits, signed), v=value) == text
 
 
-@pytest.mark.parametrize("value, digits, result", [(1.005, 2, 1.01), (-2.5, 0, -3.0), (2.675, 2, 2.68), (None, 1, None)])
+@pytest.mark.parametrize("value, digits, result", [(1.005, 2, 1.01), (-2.5, 0, -3.0), (2.675, 2, 2.68), (None, 1, None),
+    (1.00499999999999, 2, 1.0), (1e29, 2, 1e29), (1e300, 0, 1e300), (-0.005, 2, -0.01), (float("nan"), 1, None), (0.1 + 0.2, 15, 0.3)])
 def test_round_half_up(spark, value, digits, result):
     assert one(spark, N.round_half_up("v", digits), v=value) == result
 
@@ -92,7 +94,7 @@ def tail(stat, dof):
     return 1 - np.trapezoid(scale * (1 + x * x / dof) ** (-(dof + 1) / 2), x)
 
 
-@pytest.mark.parametrize("dof", [1, 2, 3, 4, 5, 6, 11, 40, 301])
+@pytest.mark.parametrize("dof", [1, 2, 3, 4, 5, 6, 11, 40, 301, 400, 401, 5000, 1_000_000])
 def test_t_distribution(spark, dof):
     for stat in (0.0, 0.3, 2.0, 6.5):
         assert one(spark, N.two_sided_p("s", "d"), s=stat, d=dof) == pytest.approx(tail(stat, dof), abs=1e-8)
@@ -100,6 +102,18 @@ def test_t_distribution(spark, dof):
     assert tail(point, dof) == pytest.approx(0.05, abs=1e-6)
 
 
+def test_t_of_few_and_of_very_many_degrees(spark):
+    assert one(spark, N.t_quantile(0.9999, F.col("d")), d=1) == pytest.approx(6366.1977, abs=1e-3)
+    assert one(spark, N.t_quantile(0.95, F.col("d")), d=3_000_000_000) == pytest.approx(1.959964, abs=1e-6)
+    # The normal tail: 2 * (1 - Phi(4)) and 2 * (1 - Phi(8)).
+    for z, p in ((4.0, 6.334248366623996e-05), (8.0, 1.2441921148543572e-15), (0.0, 1.0)):
+        assert one(spark, N.normal_tail(F.col("z")), z=z) == pytest.approx(p, rel=1e-9)
+
+
+def test_fold_accents_of_all_scripts(spark):
+    assert one(spark, X.fold_accents("s"), s="Hà Nội Ệ Ǻ Ёж e\u0301") == "Ha Noi E A Еж e"
+
+
 def test_ci_comparison_order_and_unknown(spark):
     df = spark.createDataFrame(
         [(12.0, 9.0, 11.0, 10.0), (10.5, 9.0, 11.0, 10.0), (8.0, 9.0, 11.0, 10.0), (9.5, 9.0, 11.0, 10.0), (10.0, 9.0, 11.0, 10.0),

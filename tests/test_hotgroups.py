@@ -95,3 +95,46 @@ def test_series_stats_strategies_agree(frame, rows):
     p = PanelSpec("g", "id", "v")
     cols = ["id", F.round("mean_rate", 9), "min_rate", "max_rate", "data_points"]
     assert rows(W.series_stats(frame, p), *cols) == rows(W.series_stats(frame, p, "join"), *cols)
+
+
+@pytest.fixture(scope="module")
+def with_nulls(spark):
+    """Groups, series and values that are missing."""
+    data = [(i, None if i % 4 == 0 else "a" if i % 4 == 1 else "b", None if i % 7 == 0 else float(i % 13)) for i in range(200)]
+    return spark.createDataFrame(data, "id int, g string, v double").cache()
+
+
+@pytest.mark.parametrize("nulls", ["first", "last"])
+def test_null_group_keeps_its_ranks(with_nulls, rows, nulls):
+    plain = with_nulls.withColumn("k", W.rank_desc(["g"], "v", nulls))
+    assert rows(H.rank_desc_hot(with_nulls, ["g"], "v", "k", nulls, 3), "id", "k") == rows(plain, "id", "k")
+
+
+def test_null_series_keeps_its_frames(with_nulls, rows):
+    from pyspark.sql import Window
+
+    def measures(w):
+        return {"s": F.sum("v").over(w.rowsBetween(-2, 1))}
+
+    plain = with_nulls.withColumns(measures(Window.partitionBy("g").orderBy("id")))
+    assert rows(H.over_long_series(with_nulls, ["g"], "id", 2, 1, measures, rows_per_piece=9), "id", "s") == rows(plain, "id", "s")
+
+
+def test_null_group_has_box_stats(with_nulls, rows):
+    assert rows(shape.box_stats(with_nulls, ["g"], "v", "hot")) == rows(shape.box_stats(with_nulls, ["g"], "v"))
+
+
+def test_join_forms_equal_window_forms_on_null_keys(with_nulls, rows):
+    p = PanelSpec("g", "id", "v", ("c",))
+    panel = with_nulls.withColumn("c", F.when(F.col("id") % 3 == 0, "x")).withColumn("id", F.col("id") % 10)
+    for fn in (lambda s: W.attach_benchmark(panel, p, "a", {"v": "bm"}, s), lambda s: W.series_stats(panel, p, s)):
+        cols = [F.round(F.col(c), 9) if c == "mean_rate" else F.col(c) for c in fn("window").columns]
+        window, joined = fn("window"), fn("join")
+        assert rows(joined, *cols) == rows(window, *cols)
+
+
+def test_bins_of_a_null_group_and_of_null_values(with_nulls):
+    got = shape.equal_width_bins(with_nulls, ["g"], "v").collect()
+    assert len(got) == 200 and all(r.bin_width is not None for r in got)
+    assert all(r.bin == 4 for r in got if r.v is None)
+    assert {r.bin for r in got if r.g is None and r.v is not None} > {0, 1}

@@ -92,7 +92,8 @@ def test_loaded_rows(refreshed):
 def test_all_78_checks(refreshed):
     # The comparison with the focus entity counts as one check over three tables.
     checks = warehouse.standard_checks()
-    assert len(checks) == 57 + 15 + 1 + 5 + 2
+    # One more than published: that no entity and year has two populations.
+    assert len(checks) == 57 + 15 + 1 + 5 + 2 + 1
     failed = {r["check"]: r["failures"] for r in warehouse.check(refreshed[1]).collect() if r["failures"]}
     assert failed == {}
 
@@ -156,3 +157,16 @@ def test_report(refreshed):
 
 def test_missing_source_gives_empty_tables(spark, tmp_path):
     assert warehouse.scan(spark, "harms", str(tmp_path / "none.csv")).count() == 0
+
+
+def test_missing_file_keeps_the_earlier_table(spark, tmp_path):
+    csv, out = tmp_path / "population.csv", str(tmp_path / "out")
+    csv.write_text("GEO,REF_DATE,VALUE\nManitoba,2020,5\n")
+    assert warehouse.load(spark, {"population": str(csv)}, out) == {"population": 1}
+    assert warehouse.load(spark, {"population": str(tmp_path / "none.csv")}, out) == {"population": None}
+    assert spark.read.parquet(f"{out}/raw/population").count() == 1
+    assert warehouse.load(spark, {"harms": str(tmp_path / "none.csv")}, out) == {"harms": 0}
+
+
+def test_population_keys_are_checked_for_copies():
+    assert warehouse.Q.Unique("staging/population", ("prov_code", "ref_year")) in warehouse.standard_checks()
