@@ -61,7 +61,8 @@ def queries_of(rules: Sequence[Rule]) -> tuple[list[str], list[list[Clause]]]:
 
 def postings(df: DataFrame, grams: Sequence[str], doc: Column, text: str = "text") -> DataFrame:
     """Rows ``gram`` (its number) and ``doc``: the index of ``grams`` over lower-case texts."""
-    low = df.select(doc.alias("doc"), F.lower(text).alias("_low"))
+    # Exploded, the lower-case text is a column of its own and not computed again for every trigram.
+    low = df.select(doc.alias("doc"), F.explode(F.array(F.lower(text))).alias("_low"))
     held = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]))
     return low.select("doc", F.explode(held).alias("gram"))
 
