@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 import re
 from collections.abc import Mapping, Sequence
@@ -36,8 +37,44 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_column_name(c) for c in df.columns])
 
 
-def _positional(width: int) -> T.StructType:
-    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+# A line all of whose quoted fields end on it.
+WHOLE_LINE = r'^(?:"[^"]*(?:""[^"]*)*"[^,]*|[^",][^,]*|)(?:,(?:"[^"]*(?:""[^"]*)*"[^,]*|[^",][^,]*|))*+$'
+
+
+def _placed_lines(spark: SparkSession, path: str | Sequence[str], skip_rows: int, encoding: str) -> DataFrame:
+    """``_file``, ``_line`` and ``_at``: the lines of all files, with their number in the first ``skip_rows + 1``.
+
+    Blank lines count. A file's first lines are those of its first split, in
+    the order of the scan; other splits know nothing of the file's top and do not need to.
+    """
+    raw = F.col("value")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_top"),
+        F.monotonically_increasing_id().alias("_id"),
+        (raw if encoding.upper() in ("UTF-8", "UTF8") else F.decode(raw.cast("binary"), encoding)).alias("_line"))
+    first = lines.where("_top").groupBy("_file").agg(F.min("_id").alias("_first"))
+    place = F.when(F.col("_top") & (F.col("_id") - F.col("_first") <= skip_rows), F.col("_id") - F.col("_first"))
+    return lines.join(first, "_file", "left").select("_file", "_line", place.alias("_at"))
+
+
+def _placed_records(spark: SparkSession, path: str | Sequence[str], skip_rows: int, encoding: str, width: int) -> DataFrame:
+    """As ``_placed_lines``, with the fields ``_c0`` ... of records that may hold line breaks; blank lines are no records."""
+    fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    rows = spark.read.option("encoding", encoding).option("header", False).option("multiLine", True).option("escape", "\"").schema(fields).csv(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"), *fields.names)
+    first = rows.groupBy("_file").agg(F.min("_id").alias("_first"))
+    place = F.when(F.col("_id") - F.col("_first") <= skip_rows, F.col("_id") - F.col("_first"))
+    return rows.join(first, "_file").select("_file", place.alias("_at"), *fields.names)
+
+
+def _one_header(headers: Sequence[Sequence[str | None]], path: str | Sequence[str]) -> list[str]:
+    """The cleaned names of all files, which must agree."""
+    cleaned = {tuple(clean_column_name(n or f"column_{i}") for i, n in enumerate(h)) for h in headers}
+    if not cleaned:
+        raise ValueError(f"no header line in {path}")
+    if len(cleaned) > 1:
+        raise ValueError(f"files in {path} have different headers: {sorted(cleaned)}")
+    return list(cleaned.pop())
 
 
 def read_csv_table(
@@ -48,38 +85,46 @@ def read_csv_table(
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = ("",),
     optional: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read header CSV files as text, clean the names, then cast to ``schema``.
 
     ``schema`` lists the wanted columns by their cleaned names; others are not
     read, except those whose name matches an ``optional`` pattern. Without a
     schema every column is kept as text. Nothing is inferred from the data.
-    ``skip_rows`` title lines stand above the header. The first lines are
-    looked at once, and rows equal to them are filtered out, so files split
-    freely and a folder of such files works too. A missing path is logged and
-    gives an empty table when the schema is known.
+
+    ``skip_rows`` title lines, blank ones counted, stand above the header of
+    every file; title and header are left out by their place in the file, never by
+    their content. Files of one folder must have the same cleaned header.
+    Files are split by lines, in any encoding that holds ASCII as it is; a quoted
+    field with a line break is an error then. ``multi_line`` reads such files, one
+    task each, and counts records instead of lines. A missing path is logged and gives an
+    empty table when the schema is known.
     """
-    reader = spark.read.option("encoding", encoding).option("header", False)
     try:
-        # The title may be shorter than the header: read whole lines and take the widest.
-        lines = reader.option("sep", "\u0001").option("quote", "").schema(_positional(1)).csv(path).take(skip_rows + 1)
-        width = max([len(re.sub(r'"(?:[^"]|"")*"', "", row[0] or "").split(",")) for row in lines], default=1)
-        rows = spark.read.option("encoding", encoding).option("header", False).schema(_positional(width)).csv(path)
-        top = rows.take(skip_rows + 1)
+        if multi_line:
+            widest = _placed_records(spark, path, skip_rows, encoding, 1000).where(F.col("_at") == skip_rows).select(
+                "_file", F.array(*[f"_c{i}" for i in range(1000)]).alias("_h"))
+            heads = [r["_h"] for r in widest.collect()]
+            width = max((max((i + 1 for i, x in enumerate(h) if x is not None), default=1) for h in heads), default=1)
+            names = _one_header([h[:width] for h in heads], path)
+            placed = _placed_records(spark, path, skip_rows, encoding, width)
+            files, rows = placed, placed.where("_at is null").select(*[f"_c{i}" for i in range(width)])
+        else:
+            placed = files = _placed_lines(spark, path, skip_rows, encoding)
+            heads = placed.where(F.col("_at") == skip_rows).select("_file", "_line").collect()
+            names = _one_header([next(csv.reader([r["_line"]]), []) for r in heads], path)
+            fields = ", ".join(f"_c{i} string" for i in range(len(names)))
+            line = F.when(F.regexp_like("_line", F.lit(WHOLE_LINE)), F.col("_line")).otherwise(F.raise_error(
+                F.concat(F.lit("a quoted field goes on behind this line; read with multi_line: "), F.col("_line"))))
+            rows = placed.where("_at is null and _line <> ''").select(F.from_csv(line, fields, {"escape": "\""}).alias("_r")).select("_r.*")
+        if len(heads) < files.select("_file").distinct().count():
+            raise ValueError(f"a file without header line in {path}")
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err) or schema is None:
             raise
         log.warning("no file at %s, using an empty table", path)
         return spark.createDataFrame([], schema)
-    if len(top) <= skip_rows:
-        raise ValueError(f"no header line in {path}")
-
-    names = [clean_column_name(n or f"column_{i}") for i, n in enumerate(top[-1])]
-    for line in top:
-        same = F.lit(True)
-        for field, text in zip(rows.columns, line):
-            same = same & F.col(field).eqNullSafe(F.lit(text))
-        rows = rows.where(~same)
 
     if schema is None:
         return null_out(rows.toDF(*names), names, null_tokens, nan=False)

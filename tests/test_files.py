@@ -84,3 +84,56 @@ def test_checks(spark):
     for check in (Q.NotNull("typo", "v"), Q.Unique("typo", ("v",)), Q.Present("typo")):
         with pytest.raises(KeyError, match="typo"):
             Q.run_checks({"t": df}, [checks[0], check])
+
+
+def table_of(spark, folder, **options):
+    return sorted((tuple(r) for r in csv.read_csv_table(spark, str(folder), **options).collect()), key=str)
+
+
+def test_titles_and_headers_go_by_place(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Table 2019\nk,v\nTable 2019,\nk,v\nx,1\n")
+    (tmp_path / "b.csv").write_text("Table 2020\nK,V\nx,1\nTable 2019,2\n")
+    assert table_of(spark, tmp_path, skip_rows=1) == sorted([("Table 2019", None), ("k", "v"), ("x", "1"), ("x", "1"), ("Table 2019", "2")], key=str)
+
+
+def test_blank_title_line_counts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\nk,v\n\nx,1\n")
+    assert table_of(spark, tmp_path, skip_rows=1) == [("x", "1")]
+
+
+def test_files_with_other_columns_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\nx,1\n")
+    (tmp_path / "b.csv").write_text("v,k\n2,y\n")
+    with pytest.raises(ValueError, match="different headers"):
+        csv.read_csv_table(spark, str(tmp_path))
+    (tmp_path / "b.csv").write_text("")
+    assert table_of(spark, tmp_path) == [("x", "1")]
+    (tmp_path / "b.csv").write_text("title\n")
+    with pytest.raises(ValueError, match="different headers|without header"):
+        csv.read_csv_table(spark, str(tmp_path))
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n"two\nlines",1\n"say ""hi"", you",2\n5" pipe,3\n')
+    with pytest.raises(Exception, match="multi_line"):
+        csv.read_csv_table(spark, str(tmp_path)).collect()
+    assert ("two\nlines", "1") in table_of(spark, tmp_path, multi_line=True)
+    assert len(table_of(spark, tmp_path, multi_line=True)) == 3
+
+
+def test_many_splits_of_one_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title\nk,v\n" + "".join(f"r{i},{i}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = csv.read_csv_table(spark, str(tmp_path / "a.csv"), skip_rows=1)
+        assert got.rdd.getNumPartitions() > 5
+        assert sorted(int(r.v) for r in got.collect()) == list(range(5000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_latin_1_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("Größe\nName,é%\nÄ,1\n".encode("latin-1"))
+    got = csv.read_csv_table(spark, str(tmp_path), skip_rows=1, encoding="ISO-8859-1")
+    assert got.columns == ["name", "épct"] and got.first()[0] == "Ä"
