@@ -79,18 +79,19 @@ def forecast_linear(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = M
         return [F.lit(k).alias("step"), at.cast("int").alias("period"), *_bands(yhat, sigma * F.sqrt(1 + k / F.col("n")))]
 
     return fit.select(*p.series, enough.alias("success"), _steps(h, enough, step).alias("_s")).select(
-        *p.series, "_s.*", F.lit(LINEAR_NAME).alias("model"), "success").select(*p.series, *FORECAST_COLUMNS)
+        *p.series, "_s.*", F.when(F.col("success"), LINEAR_NAME).otherwise("None").alias("model"), "success").select(*p.series, *FORECAST_COLUMNS)
 
 
 def forecast_arima110(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = MIN_POINTS) -> DataFrame:
     """First-order autoregression of the first differences, without constant.
 
-    The coefficient is the conditional least-squares estimate. The forecast
+    Several values of a period count as their mean. The coefficient is the
+    conditional least-squares estimate. The forecast
     adds the decaying sum of the last difference; its variance sums the
     squared partial sums of the coefficient's powers.
     """
     w = PanelSpec(p.entity, "t", "v", p.category).over_time()
-    steps = _observed(df, p).where(F.col("v").isNotNull() & F.col("t").isNotNull())
+    steps = _observed(df, p).where(F.col("t").isNotNull()).groupBy(*p.series, "t").agg(F.avg("v").alias("v")).where(F.col("v").isNotNull())
     steps = steps.withColumn("d", F.col("v") - F.lag("v").over(w)).withColumn("d1", F.lag("d").over(w))
     paired = F.col("d1").isNotNull()
     fit = steps.groupBy(*p.series).agg(
@@ -111,7 +112,7 @@ def forecast_arima110(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int =
         return [F.lit(k).alias("step"), (F.col("last_t") + k).cast("int").alias("period"), *_bands(yhat, spread)]
 
     return fit.select(*p.series, enough.alias("success"), _steps(h, enough, step).alias("_s")).select(
-        *p.series, "_s.*", F.lit(ARIMA_NAME).alias("model"), "success").select(*p.series, *FORECAST_COLUMNS)
+        *p.series, "_s.*", F.when(F.col("success"), ARIMA_NAME).otherwise("None").alias("model"), "success").select(*p.series, *FORECAST_COLUMNS)
 
 
 def trend_test(df: DataFrame, p: PanelSpec, h: int = 3, level: float = 0.95) -> DataFrame:
@@ -142,41 +143,56 @@ def trend_test(df: DataFrame, p: PanelSpec, h: int = 3, level: float = 0.95) ->
 
 # --- exponential smoothing, per series --------------------------------------
 
-def smooth(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray | None):
-    """Fit level (and trend) smoothing for many parameter pairs at once.
+def _smoothing_steps(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray | None):
+    """The recursion on the data and on unit starts, point by point.
 
-    One-step errors are linear in the initial level and trend. Running the
-    recursion on the data and on unit starts gives that linear map, and least
-    squares gives the best start for each pair. Returns the sum of squares,
-    residuals, last level and last trend per pair.
+    One-step errors are linear in the initial level and trend; the rows of what
+    is yielded are that linear map: errors, level and trend for the data from a zero
+    start, then for each unit start without data.
     """
     trend = beta is not None
     starts = 2 if trend else 1
-    pairs = len(alpha)
-    level = np.zeros((starts + 1, pairs))
-    slope = np.zeros((starts + 1, pairs))
+    level = np.zeros((starts + 1, len(alpha)))
+    slope = np.zeros((starts + 1, len(alpha)))
     level[1] = 1.0
     if trend:
         slope[2] = 1.0
-    errors = np.empty((starts + 1, pairs, len(y)))
-    for i, value in enumerate(y):
+    target = np.zeros((starts + 1, 1))
+    for value in y:
         ahead = level + slope
-        target = np.zeros((starts + 1, 1))
         target[0] = value
-        e = target - ahead
-        errors[:, :, i] = e
-        new_level = ahead + alpha * e
+        error = target - ahead
+        new_level = ahead + alpha * error
         if trend:
             slope = slope + beta * (new_level - level - slope)
         level = new_level
-    # errors = errors[0] + start . errors[1:]
-    a = np.moveaxis(errors[1:], 0, -1)
-    gram = np.einsum("pni,pnj->pij", a, a) + 1e-12 * np.eye(starts)
-    start = -np.linalg.solve(gram, np.einsum("pni,pn->pi", a, errors[0])[..., None])[..., 0]
-    resid = errors[0] + np.einsum("pni,pi->pn", a, start)
-    last_level = level[0] + np.einsum("ip,pi->p", level[1:], start)
-    last_slope = slope[0] + np.einsum("ip,pi->p", slope[1:], start)
-    return (resid ** 2).sum(axis=1), resid, last_level, last_slope
+        yield error, level, slope
+
+
+def smooth(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray | None):
+    """Fit level (and trend) smoothing for many parameter pairs at once.
+
+    Sums of products of the errors give, by least squares, the best start for
+    each pair, so the memory does not depend on the length of the series.
+    Returns the sum of squares, start, last level and last trend per pair.
+    """
+    starts = 2 if beta is not None else 1
+    products = np.zeros((len(alpha), starts + 1, starts + 1))
+    error = level = slope = np.zeros((starts + 1, len(alpha)))
+    for error, level, slope in _smoothing_steps(y, alpha, beta):
+        products += error.T[:, :, None] * error.T[:, None, :]
+    gram, cross = products[:, 1:, 1:], products[:, 1:, 0]
+    start = -np.linalg.solve(gram + 1e-12 * np.eye(starts), cross[..., None])[..., 0]
+    whole = np.concatenate([np.ones((len(alpha), 1)), start], axis=1)
+    sse = np.maximum(np.einsum("pi,pij,pj->p", whole, products, whole), 0.0)
+    return sse, start, np.einsum("ip,pi->p", level, whole), np.einsum("ip,pi->p", slope, whole)
+
+
+def residuals(y: np.ndarray, alpha: float, beta: float | None, start: np.ndarray) -> np.ndarray:
+    """The one-step errors of one fitted pair."""
+    whole = np.concatenate([[1.0], start])
+    steps = _smoothing_steps(y, np.array([alpha]), None if beta is None else np.array([beta]))
+    return np.array([float(whole @ error[:, 0]) for error, _, _ in steps])
 
 
 def best_smooth(y: np.ndarray, trend: bool, points: int = 21, rounds: int = 3) -> dict:
@@ -194,12 +210,15 @@ def best_smooth(y: np.ndarray, trend: bool, points: int = 21, rounds: int = 3) -
             alpha, beta = (g.ravel() for g in np.meshgrid(alphas, betas))
         else:
             alpha, beta = alphas, None
-        sse, resid, level, slope = smooth(y, alpha, beta)
+        sse, start, level, slope = smooth(y, alpha, beta)
         i = int(np.argmin(sse))
         if best is None or sse[i] < best["sse"]:
-            best = {"sse": float(sse[i]), "resid": resid[i], "level": float(level[i]), "slope": float(slope[i]),
+            best = {"sse": float(sse[i]), "start": start[i], "level": float(level[i]), "slope": float(slope[i]),
                     "alpha": float(alpha[i]), "beta": float(beta[i]) if trend else 0.0}
         centre, width = (best["alpha"], best["beta"] if trend else 0.5), 2 * width / (points - 1)
+    # The sums lose digits where the fit is close; the errors themselves do not.
+    best["resid"] = residuals(y, best["alpha"], best["beta"] if trend else None, best["start"])
+    best["sse"] = float(best["resid"] @ best["resid"])
     return best
 
 

@@ -1,8 +1,9 @@
 """Staged panels to enriched panels: population, benchmark, change, ranks.
 
-Every plan computes the statistics over time first and the comparisons across
-entities second, so that a panel is shuffled twice however many columns are
-added. Benchmark rows stay in the panel until their values were read.
+Every plan makes the comparisons across entities first and the statistics over
+time second, so that a panel is shuffled twice however many columns are added,
+and a filter on entities reaches the second shuffle. Benchmark rows stay in the
+panel until their values were read.
 """
 
 from __future__ import annotations
@@ -46,11 +47,15 @@ def link_admissions(staged: DataFrame, population: DataFrame, domain: Domain = D
 
 def _enrich(rows: DataFrame, p: PanelSpec, domain: Domain, members: Column, rolled: tuple[str, Column],
             change_digits: int | None = None, pct_digits: int | None = None, bounds: bool = True) -> DataFrame:
-    """Change and moving average over time, then benchmark and rank across entities."""
-    rows = yoy(rows, p, change_digits, pct_digits).withColumn(*rolled)
+    """Benchmark and rank across entities, then change and moving average of the members over time.
+
+    A member's series has no benchmark rows, so these may go before its windows;
+    entities are a key of those, so a filter on them goes below.
+    """
     read = {p.value: "national_rate", **(NATIONAL if bounds else {})}
     rows = attach_benchmark(rows, p, domain.benchmark, read)
-    return rows.where(members).withColumn("rate_rank_desc", rank_desc(p.cross, p.value))
+    rows = rows.where(members).withColumn("rate_rank_desc", rank_desc(p.cross, p.value))
+    return yoy(rows, p, change_digits, pct_digits).withColumn(*rolled)
 
 
 def admissions_change(linked: DataFrame, domain: Domain = DEFAULT, missing_benchmark: str = "zero") -> DataFrame:
@@ -145,7 +150,9 @@ def surveillance_enriched(staged: DataFrame, domain: Domain = DEFAULT, baseline:
     rows = attach_benchmark(rows, p, domain.benchmark, {
         p.value: "national_rate", "is_outbreak_signal": "national_outbreak_active"})
     rows = rows.withColumn("_member_rank", rank_desc(["disease", "ref_year", "_national"], p.value))
-    rows = rows.withColumn("_national_rank", rank_desc(["ref_year", "_national"], p.value))
+    # Only benchmark rows need this rank; members are spread, so that no task holds those of a period.
+    rows = rows.withColumn("_alone", F.when(~F.col("_national"), F.concat_ws("|", "prov_code", "disease")))
+    rows = rows.withColumn("_national_rank", rank_desc(["ref_year", "_alone"], p.value))
     member = ~F.col("_national")
     return rows.select(
         "disease", "ref_year", "prov_code", "region_name", "total_cases", "rate_per_100k", "data_source", "year_type",

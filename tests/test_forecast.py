@@ -71,7 +71,8 @@ def test_best_smooth_beats_any_pair():
 
 def test_smooth_follows_the_recursion():
     y, a, b = np.array([3.0, 8, 5, 9, 4]), 0.4, 0.3
-    sse, resid, level, slope = O.smooth(y, np.array([a]), np.array([b]))
+    sse, fitted, level, slope = O.smooth(y, np.array([a]), np.array([b]))
+    resid = O.residuals(y, a, b, fitted[0])
     # Recover the start from the first two errors, then run the textbook recursion.
     design = []
     for start in ((0.0, 0.0), (1.0, 0.0), (0.0, 1.0)):
@@ -84,7 +85,8 @@ def test_smooth_follows_the_recursion():
         design.append(errs)
     base, d1, d2 = map(np.array, design)
     start, *_ = np.linalg.lstsq(-np.column_stack([d1, d2]), base, rcond=None)
-    assert resid[0] == pytest.approx(base + d1 * start[0] + d2 * start[1], abs=1e-6)
+    assert resid == pytest.approx(base + d1 * start[0] + d2 * start[1], abs=1e-6)
+    assert sse[0] == pytest.approx(resid @ resid, abs=1e-6)
 
 
 def test_chain_falls_back(monkeypatch):
@@ -148,3 +150,31 @@ def test_group_is_one_row_per_period(spark):
     plan = O.forecast_ets(frame(spark, a=[1, 2, 3, 4]), p)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "HashAggregate" in plan
     assert F is not None
+
+
+def test_memory_of_smoothing_does_not_grow_with_the_series():
+    import tracemalloc
+
+    y = np.cumsum(np.random.default_rng(0).normal(0.1, 1, 4000))
+    peaks = []
+    for n in (400, 4000):
+        tracemalloc.start()
+        O.smooth(y[:n], np.full(441, 0.3), np.full(441, 0.1))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0]
+
+
+def test_too_short_series_name_no_model(spark):
+    p = PanelSpec("e", "t", "v")
+    short = spark.createDataFrame([("a", i, float(i)) for i in range(3)], "e string, t int, v double")
+    for fn in (O.forecast_linear, O.forecast_arima110, O.forecast_auto):
+        assert [(r.model, r.success, r.yhat) for r in fn(short, p).collect()] == [("None", False, None)]
+
+
+def test_autoregression_merges_copies_of_a_period(spark):
+    p = PanelSpec("e", "t", "v")
+    data = [("a", i, v) for i, v in enumerate([1.0, 3.0, 2.0, 5.0, 4.0, 7.0])]
+    plain = O.forecast_arima110(spark.createDataFrame(data, "e string, t int, v double"), p).collect()
+    doubled = O.forecast_arima110(spark.createDataFrame([*data, ("a", 3, 4.0), ("a", 3, 6.0)], "e string, t int, v double"), p).collect()
+    assert plain == doubled
