@@ -11,15 +11,18 @@ bit-parallel inside the band of diagonals that the wanted similarity allows,
 over the length of the union. Documents are linked from 0.8 on. Classes are the
 connected components of links.
 
-Exact copies are merged first. In a bucket every text is compared with one of its
-texts; what that leaves in one component needs no further comparison, all other
-pairs of the bucket are compared as well. So no link is lost and a bucket of
-copies costs one comparison a text.
+Exact copies are merged first, and buckets with the same members. The texts of a
+bucket are compared in cells of a bounded number of them; a larger bucket has a cell
+for each pair of its blocks. In a cell the shingles that all pairs share are counted
+by a product of 0-1 matrices, which bounds their similarity from above; only pairs that
+can be similar and that no earlier link connects are aligned. A cell gives the links
+that connect its texts, at most one a text, so no pairs are written out and no
+connection is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,8 +39,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 # Smallest shingles a function takes, functions of a band, and bands. At similarity 0.8 a function agrees
 # with probability 0.64, a band with 0.41, and no band with 3 in a million.
 TAKEN, ROWS, BANDS = 2, 2, 24
-# Hashes computed at once.
+# Hashes or matrix elements computed at once.
 STEP = 1 << 21
+# Texts and shingles of a block, and rows of a task's group of cells.
+BLOCK, WEIGHT, GROUP = 512, 1 << 20, 2000
 
 # Words are runs of ASCII letters and digits and of everything beyond ASCII, lower case.
 WORDS = ByteWords(bytes(b for b in range(128) if not chr(b).isalnum()))
@@ -177,22 +182,89 @@ def sketches(df: DataFrame, text: str = "text", maker: OrderMinHash | None = Non
     return df.mapInArrow(run, schema)
 
 
-def aligned(pairs: DataFrame, texts: DataFrame, least: float, maker: OrderMinHash) -> DataFrame:
-    """The pairs ``a``, ``b`` of copy keys whose texts are similar; ``texts`` has one row per key."""
-    @F.pandas_udf(T.BooleanType())
-    def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        last: tuple[str | None, np.ndarray] = (None, np.empty(0, np.uint64))
-        for lefts, rights in batches:
-            out = []
-            for left, right in zip(lefts, rights):
-                if last[0] != left:
-                    last = (left, maker.shingles(left))
-                out.append(similarity(last[1], maker.shingles(right), least) >= least)
-            yield pd.Series(out, dtype=bool)
-
-    left = pairs.join(texts.select(F.col("copy").alias("a"), F.col("_text").alias("_left")), "a")
-    both = left.join(texts.select(F.col("copy").alias("b"), F.col("_text").alias("_right")), "b")
-    return both.where(similar("_left", "_right")).select("a", "b")
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """The number of shared elements of all pairs of sets, by products of 0-1 matrices a stretch of elements at a time."""
+    sizes = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, element, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = often[element] > 1
+    owner, (_, element) = owner[shared], np.unique(element[shared], return_inverse=True)
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    counts = np.zeros((len(sets), len(sets)), np.float32)
+    step = max(1, STEP // max(len(sets), 1))
+    for first in range(0, int(element[-1]) + 1 if len(element) else 0, step):
+        low, high = np.searchsorted(element, [first, first + step])
+        held = np.zeros((len(sets), step), np.float32)
+        held[owner[low:high], element[low:high] - first] = 1
+        counts += held @ held.T
+    return counts
+
+
+def spanning_links(texts: list[np.ndarray], sets: list[np.ndarray], sides: list[int], least: float) -> list[tuple[int, int]]:
+    """Links that connect whatever is connected by pairs of similar texts; with two sides, pairs across only.
+
+    The share of labelled shingles in common is an upper bound of the
+    similarity. Pairs that reach it are aligned, the likeliest first, unless
+    earlier links connect them.
+    """
+    sizes = np.array([len(x) for x in sets])
+    common = common_counts(sets)
+    total = sizes[:, None] + sizes[None, :]
+    good = np.triu(common >= np.ceil(least / (1 + least) * total - 1e-9), 1)
+    if len(set(sides)) > 1:
+        side = np.array(sides)
+        good &= side[:, None] != side[None, :]
+    first, second = np.nonzero(good)
+    best = np.argsort(-(common[first, second] / (total[first, second] - common[first, second])), kind="stable")
+    root, out = list(range(len(texts))), []
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(first[best].tolist(), second[best].tolist()):
+        x, y = find(i), find(j)
+        if x != y and similarity(texts[i], texts[j], least) >= least:
+            root[y] = x
+            out.append((i, j))
+    return out
+
+
+def _linker(maker: OrderMinHash, least: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        made: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for copy, text in zip(rows["copy"], rows["_text"]):
+            if copy not in made:
+                shingles = maker.shingles(text)
+                made[copy] = shingles, maker.labelled(shingles)
+        links = set()
+        for _, cell in rows.groupby(["band", "low", "high"], sort=False):
+            copies, sides = cell["copy"].tolist(), cell["side"].tolist()
+            for i, j in spanning_links([made[c][0] for c in copies], [made[c][1] for c in copies], sides, least):
+                links.add((min(copies[i], copies[j]), max(copies[i], copies[j])))
+        return pd.DataFrame(sorted(links), columns=["a", "b"])
+
+    return of
+
+
+def bucket_cells(buckets: DataFrame, block: int = BLOCK, weight: int = WEIGHT) -> DataFrame:
+    """Rows ``band``, ``low``, ``high``, ``side`` and ``copy``: the texts to be compared in one cell.
+
+    Buckets with the same members are one. A bucket of more than ``block`` texts, or with more
+    than ``weight`` shingles, is cut into blocks by the hash of the text, and has a cell for
+    each pair of blocks, so a cell is bounded whatever the bucket.
+    """
+    shared = buckets.groupBy("band").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.sum(F.xxhash64("copy").cast("decimal(38,0)")).alias("members"))
+    shared = shared.where("size > 1").groupBy("size", "members", "weight").agg(F.min("band").alias("band"))
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("weight") / weight)).cast("int")
+    entries = buckets.join(shared.select("band", blocks.alias("blocks")), "band").select(
+        "band", "copy", "blocks", F.pmod(F.xxhash64("copy", "band"), F.col("blocks")).cast("int").alias("side"))
+    spread = entries.select("band", "copy", "side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return spread.select("band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "copy")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY,
@@ -210,38 +282,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rows = materialise(sketches(keyed, "_text", maker).withColumn("_row", F.monotonically_increasing_id()), "sketches")
     # Copies are merged before their bands are spread; of equal texts all bands are equal.
     texts = rows.groupBy("copy").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    buckets = texts.select("copy", "n", F.explode("bands").alias("band"))
-    shared = buckets.groupBy("band").agg(F.min("copy").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    entries = materialise(buckets.join(shared.drop("size"), "band"), "buckets")
-
-    source = docs.select(copy_key(F.col(f"`{text}`")).alias("copy"), F.col(f"`{text}`").alias("_text"))
-    sized = F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b")
-
-    def compare(pairs: DataFrame) -> DataFrame:
-        wanted = materialise(pairs, "pairs")
-        ends = wanted.select(F.col("a").alias("copy")).union(wanted.select("b")).distinct()
-        # Copies meet in their task first, so that the shuffle carries a text once a task at most.
-        needed = source.groupBy("copy").agg(F.first("_text").alias("_text")).join(ends, "copy", "left_semi")
-        return materialise(aligned(wanted, materialise(needed, "texts"), least, maker), "links")
-
-    lead = entries.where(F.col("copy") == F.col("leader")).select("leader", F.col("n").alias("n_a")).distinct()
-    first = entries.where(F.col("copy") != F.col("leader")).select("leader", F.col("copy").alias("b"), F.col("n").alias("n_b")).distinct()
-    first = first.join(lead, "leader").where(sized).select(F.col("leader").alias("a"), "b")
-    links = compare(first)
-    groups = components(links)
-
-    named = entries.join(groups, entries.copy == groups.node, "left").select(
-        "band", "leader", "copy", "n", F.coalesce("component", "copy").alias("component"))
-    mixed_up = named.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high")
-    open_ = materialise(named.join(mixed_up.select("band"), "band"), "open")
-    one, two = open_.alias("one"), open_.alias("two")
-    rest = one.join(two, (F.col("one.band") == F.col("two.band")) & (F.col("one.component") < F.col("two.component"))
-                    & (F.col("one.copy") != F.col("one.leader")) & (F.col("two.copy") != F.col("two.leader")))
-    rest = rest.select(F.least("one.copy", "two.copy").alias("a"), F.greatest("one.copy", "two.copy").alias("b"),
-                       F.col("one.n").alias("n_a"), F.col("two.n").alias("n_b")).where(sized).select("a", "b").distinct()
-    more = compare(rest.join(first, ["a", "b"], "left_anti"))
-    links = links.union(more)
-    groups = components(links)
+    cells = materialise(bucket_cells(texts.select("copy", "n", F.explode("bands").alias("band"))), "cells")
+    groups = max(1, cells.count() // GROUP)
+    # Copies meet in their task first, so that the shuffle carries a text once a task at most.
+    source = docs.select(copy_key(F.col(f"`{text}`")).alias("copy"), F.col(f"`{text}`").alias("_text")).groupBy("copy").agg(
+        F.first("_text").alias("_text"))
+    loaded = cells.join(source, "copy").withColumn("_group", F.pmod(F.xxhash64("band", "low", "high"), F.lit(groups)))
+    links = loaded.groupBy("_group").applyInPandas(_linker(maker, least), "a string, b string")
+    groups = components(materialise(links, "links"))
 
     place = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row"))
     per_text = rows.groupBy("copy").agg(F.min(place).alias("_first"))

@@ -121,6 +121,43 @@ def test_chains_and_strangers_in_one_bucket(spark, documents):
     assert {r.doc_id: r.class_id for r in rows} == want and len(set(want.values())) == 4
 
 
+def test_blocks_of_a_large_bucket_lose_no_link(spark, documents, monkeypatch):
+    pick, texts = random.Random(6), {}
+    words = [f"w{i}" for i in range(100)]
+    for i in range(160):
+        own = list(words)
+        for _ in range(pick.randint(0, 5)):
+            own[pick.randrange(100)] = f"n{i}x{pick.random()}"
+        texts[i] = " ".join(own)
+    want = plain_classes(texts)
+    monkeypatch.setattr(o.bucket_cells, "__defaults__", (20, 1 << 20))
+    rows = o.near_duplicates(documents(list(texts.items()))).collect()
+    assert {r.doc_id: r.class_id for r in rows} == want and 1 < len(set(want.values())) < 160
+
+
+def test_cells_are_bounded_and_hold_every_pair(spark):
+    buckets = spark.createDataFrame([(b, f"c{i}", 10) for b, n in ((1, 2), (2, 90), (3, 1), (4, 2)) for i in range(n)],
+                                    "band long, copy string, n long")
+    cells = o.bucket_cells(buckets, block=20).collect()
+    held = {}
+    for r in cells:
+        held.setdefault((r.band, r.low, r.high), []).append((r.copy, r.side))
+    # Buckets 1 and 4 have the same members, bucket 3 has one.
+    assert {k[0] for k in held} == {1, 2} and max(map(len, held.values())) < 70
+    pairs = {frozenset((a, b)) for rows in held.values() for a, s in rows for b, u in rows if a < b and (s != u or len({x for _, x in rows}) == 1)}
+    assert len(pairs) == 90 * 89 // 2
+
+
+def test_common_counts(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64)) for _ in range(20)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for step in (1 << 21, 64):
+        monkeypatch.setattr(o, "STEP", step)
+        got = o.common_counts(sets)
+        assert all(got[i, j] == want[i][j] for i in range(20) for j in range(20) if i != j)
+
+
 def test_edge_cases(spark, documents):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = documents([(1, None), (2, ""), (3, "?!"), (4, "!?"), (5, "one two"), (6, "One, two"), (7, "one three"), (None, "one two"),
