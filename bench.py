@@ -22,7 +22,7 @@ HEADLINE = (
     "population_link", "pre_post", "profile", "box_stats_hot", "coverage_grid", "combine_strata", "stack_indicators",
     "stage_levels", "stage_two_sources", "outbreak_signal", "surveillance_enriched", "mart_comparison", "mart_harms",
     "mart_surveillance", "focus_overview", "forecast_linear", "forecast_arima", "trend_test", "forecast_auto",
-    "dq_unique", "dq_range",
+    "dq_unique", "dq_range", "status_table", "ols_lines",
 )
 
 

@@ -177,3 +177,17 @@ def ols_single(spark, sf):
     """With one regressor the closed form is known, which checks the regression."""
     df = ols_coefficients(materialise(millions(spark, sf), "p1"), "value", ["population"])
     return rounded(df.where("term = 'population'").select(F.col("estimate").alias("slope"), "std_error", "dof"), 4)
+
+
+@query("ols_lines", sql(f"""
+select {r('b', 4)} as slope, {r('se', 4)} as std_error, n - 2 as dof, true as limits
+from (select regr_slope(l_extendedprice, l_quantity) as b, count(*) as n,
+        sqrt((regr_syy(l_extendedprice, l_quantity) - regr_slope(l_extendedprice, l_quantity) * regr_sxy(l_extendedprice, l_quantity))
+             / (count(*) - 2) / regr_sxx(l_extendedprice, l_quantity)) as se
+      from lineitem)
+"""))
+def ols_lines(spark, sf):
+    """Price on quantity over all lines, with as many degrees of freedom as lines, where t is close to normal."""
+    df = ols_coefficients(P.table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"]).where("term = 'l_quantity'")
+    half = (F.col("conf_high") - F.col("conf_low")) / 2 / F.col("std_error")
+    return rounded(df.select(F.col("estimate").alias("slope"), "std_error", "dof", (F.abs(half - 1.96) < 0.01).alias("limits")), 4)

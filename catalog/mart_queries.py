@@ -9,6 +9,7 @@ from catalog.registry import query, rounded
 from catalog.shape_queries import shown
 from catalog.sql import cte, exact, r, sql
 from panelkit.operators import quality as Q
+from panelkit.operators.windows import attach_benchmark
 from panelkit.plans import enriched as E
 from panelkit.plans import marts as M
 from panelkit.plans import reports as R
@@ -423,6 +424,16 @@ def mart_harms(spark, sf):
     return rounded(M.harms_report(harms_e(spark, sf), HARMS))
 
 
+@query("slice_reference", sql(f"""
+select 'cases per year' as rate_unit, {r("max(value)")} as national_rate from pt where entity = 'ALL' and period = 1998
+"""))
+def slice_reference(spark, sf):
+    """The benchmark that all rows of one year's slice show."""
+    panel = attach_benchmark(P.with_total(P.p1(spark, sf)), P.P1, P.ALL, {"value": "national_rate"})
+    rows = panel.where((F.col("period") == 1998) & (F.col("entity") != P.ALL)).withColumn("rate_unit", F.lit("cases per year"))
+    return rounded(R.slice_reference(rows))
+
+
 cte("surv_m", f"""
 select {SURVEILLANCE_COLUMNS}, {trend_sql('d')} as trend_direction,
        case when prov_code = 'CA' and nat_signal and z >= 3 then 'Severe Outbreak' when prov_code = 'CA' and nat_signal then 'Outbreak Detected'

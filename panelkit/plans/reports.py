@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.classify import alarm_light, gap_narrative, light_label, traffic_light
 from panelkit.functions.text import show_number
-from panelkit.operators.clean import latest_period_rows
+from panelkit.operators.clean import latest_period_rows, map_code_folded
 from panelkit.operators.forecast import trend_test
 from panelkit.operators.shape import region_average
-from panelkit.plans.domain import DEFAULT, Domain
+from panelkit.plans.domain import DEFAULT, ENTITY_ALIASES, ENTITY_CODES, Domain
 from panelkit.plans.marts import unit_rate
 from panelkit.spec import PanelSpec
 
@@ -125,6 +125,12 @@ def gap_list(rows: DataFrame) -> DataFrame:
         "prov_code", "gap_to_national", gap_narrative("gap_to_national").alias("narrative")).orderBy("gap_to_national")
 
 
+def geo_codes(shapes: DataFrame, name: str, out: str = "prov_code", min_matches: int = 10) -> DataFrame:
+    """Codes of the names a map file uses: published names and their aliases, with or without accents."""
+    spellings = shapes.sparkSession.createDataFrame([*ENTITY_CODES.items(), *ENTITY_ALIASES.items()], "name string, code string")
+    return map_code_folded(shapes, name, out, spellings, min_matches)
+
+
 def slice_reference(rows: DataFrame) -> DataFrame:
     """The unit and the benchmark value that all rows of a slice share."""
     return rows.agg(F.max("rate_unit").alias("rate_unit"), F.max("national_rate").alias("national_rate"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,14 +50,37 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_SCOPE: ContextVar[str] = ContextVar("panelkit_scratch", default="")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Frames materialised inside are written under one folder, which is removed at the end.
+
+    Use it around a job that ends with a write: frames that were materialised
+    inside can not be read afterwards.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where one frame feeds several consumers, so that the fact tables
     behind it are scanned and shuffled once. A lost executor costs a re-read,
-    not a re-run, and later readers prune columns and know the real size.
+    not a re-run, and later readers prune columns and know the real size. The
+    files stay until the ``scratch`` block around the call ends; without one,
+    clean the folder by age.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = _SCOPE.get() or shared_folder(spark)
+    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -47,3 +47,26 @@ def test_materialise_cuts_lineage_and_keeps_rows(spark):
 def test_settings_of_a_real_session(spark):
     folder = shared_folder(spark)
     assert folder == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+
+
+def test_scratch_removes_what_was_materialised(spark):
+    import os
+
+    from panelkit.session import materialise, scratch
+
+    with scratch(spark) as folder:
+        kept = materialise(spark.range(5), "numbers")
+        assert kept.count() == 5
+        place = folder.removeprefix("file:")
+        assert os.listdir(place)
+    assert not os.path.exists(place)
+    assert materialise(spark.range(3)).count() == 3
+
+
+def test_map_names_find_codes_by_alias(spark):
+    from panelkit.plans.reports import geo_codes
+
+    names = ["Newfoundland", "Yukon Territory", "Quebec", "Québec", "Manitoba", "Elsewhere"]
+    got = geo_codes(spark.createDataFrame([(n,) for n in names], "name string"), "name", min_matches=3)
+    assert {r.name: r.prov_code for r in got.collect()} == {
+        "Newfoundland": "NL", "Yukon Territory": "YT", "Quebec": "QC", "Québec": "QC", "Manitoba": "MB", "Elsewhere": None}
