@@ -28,14 +28,28 @@ from panelkit.operators.keys import join_keys
 from panelkit.session import materialise
 
 
-def _stretches(df: DataFrame, by: Sequence[str], order: Column, pieces: int | None) -> DataFrame:
-    """Range-partition by group and order; ``_stretch`` numbers the partitions in that order.
+# Bytes of input that one piece stands for.
+PIECE_BYTES = 128 << 20
+
+
+def pieces_for(df: DataFrame) -> int:
+    """How many pieces a frame is cut into: one for each 128 MB of the files it reads, and
+    at least as many as the session asks of a shuffle before adaptive merging.
 
-    There are as many as the session asks of a shuffle before adaptive merging.
+    Sizes are those of the plan's leaves, since no estimate grows beyond them by a join.
     """
     conf = df.sparkSession.conf
-    pieces = pieces or int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-                           or conf.get("spark.sql.shuffle.partitions"))
+    least = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                or conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    # Leaves that are not files have no size, for which Spark puts the largest number.
+    return max(least, -(-sum(s for s in sizes if s < 1 << 60) // PIECE_BYTES))
+
+
+def _stretches(df: DataFrame, by: Sequence[str], order: Column, pieces: int | None) -> DataFrame:
+    """Range-partition by group and order; ``_stretch`` numbers the partitions in that order."""
+    pieces = pieces or pieces_for(df)
     return df.repartitionByRange(pieces, *by, order).withColumn("_stretch", F.spark_partition_id())
 
 

@@ -138,3 +138,11 @@ def test_bins_of_a_null_group_and_of_null_values(with_nulls):
     assert len(got) == 200 and all(r.bin_width is not None for r in got)
     assert all(r.bin == 4 for r in got if r.v is None)
     assert {r.bin for r in got if r.g is None and r.v is not None} > {0, 1}
+
+
+def test_pieces_grow_with_the_files(spark, monkeypatch):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_quantity")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert H.pieces_for(lines) == H.pieces_for(spark.range(5)) == least
+    monkeypatch.setattr(H, "PIECE_BYTES", 1000)
+    assert H.pieces_for(lines) > 10 * least
