@@ -11,18 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import deobfuscation, order_minhash, quality_rules, secret_index, swap_packing
-from panelkit.llm.registry import table
+from panelkit.llm.registry import ship, table
 from panelkit.session import materialise
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not judged toxic."""
+    ship(spark)
     judged = deobfuscation.judge(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return judged.where("predicted = 0").select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and trees keep."""
+    ship(spark)
     numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
     judged = quality_rules.judge(numbered.select("_row", "doc_id", "text"),
                                  table(spark, sf_dir, "labels").select("doc_id", "quality"))
@@ -31,6 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
+    ship(spark)
     numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
     classes = order_minhash.near_duplicates(numbered, "_row")
     return numbered.join(classes.where("kept").select("_row"), "_row", "left_semi").select(*docs.columns)
@@ -44,6 +47,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 tokens."""
+    ship(spark)
     pieces = swap_packing.token_pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"),
                                        capacity=2048, end=0)
     return swap_packing.pack(pieces, 2048)
