@@ -101,22 +101,99 @@ def forecast_history(spark, sf):
     return rounded(O.bind_history(df, O.forecast_linear(df, P.P1, H), P.P1), 6)
 
 
-@query("forecast_ets")
+cte("ets_points", """
+select entity, row_number() over (partition by entity order by period) as i, period, value as y,
+       count(*) over (partition by entity) as n, sum(value * value) over (partition by entity) as yy from p1m
+""")
+# The panel has at most so many periods, and the search so many rounds over a grid of so many weights.
+POINTS, ROUNDS, GRID = 7, 3, 21
+PRODUCTS = [(i, j) for i in range(3) for j in range(i, 3)]
+
+
+def weights(centre: str, rnd: int) -> str:
+    """The grid of one weight around a centre."""
+    width = f"0.4999 * 0.1 ** {rnd}"
+    return f"least(greatest({centre} - {width} + k * (2 * {width} / {GRID - 1}), 0.0001), 0.9999)"
+
+
+def ets(x: str, trend: bool) -> None:
+    """CTEs whose last, ``x``, has the best smoothing weights of every entity and what they lead to.
+
+    The recursion is unrolled over the points for the data and the unit starts at once; the
+    sums of products of the errors give the best start and its sum of squares.
+    """
+    ks = f"(select unnest(range({GRID})) as k)"
+    for rnd in range(ROUNDS):
+        at = f"{x}{rnd}"
+        centre = ("0.5", "0.5", "ets_points where i = 1") if rnd == 0 else ("alpha", "beta", f"{x}{rnd - 1}_best")
+        cte(f"{at}_alpha", f"select entity, n, yy, {weights(centre[0], rnd)} as alpha, {centre[1]} as middle from "
+            + (f"{ks}, (select * from {centre[2]})" if rnd == 0 else f"{centre[2]}, {ks}"))
+        beta = f"{weights('middle', rnd)}" if trend else "0.0"
+        cte(f"{at}_0", f"select entity, n, yy, alpha, {beta} as beta, 0.0::double as l0, 0.0::double as s0, 1.0::double as l1, 0.0::double as s1, "
+            f"0.0::double as l2, {float(trend)}::double as s2, " + ", ".join(f"0.0::double as g{i}{j}" for i, j in PRODUCTS)
+            + ", " + ", ".join(f"0.0::double as m{i}" for i in range(3)) + f" from {at}_alpha" + (f", {ks}" if trend else ""))
+        for i in range(1, POINTS + 1):
+            cte(f"{at}_{i}", "select entity, n, yy, alpha, beta, "
+                + ", ".join(f"if(y is null, l{c}, l{c} + s{c} + alpha * e{c}) as l{c}, if(y is null, s{c}, s{c} + beta * alpha * e{c}) as s{c}" for c in range(3))
+                + ", " + ", ".join(f"g{a}{b} + coalesce(e{a} * e{b}, 0) as g{a}{b}" for a, b in PRODUCTS)
+                + ", " + ", ".join(f"m{c} + coalesce(e{c}, 0) as m{c}" for c in range(3))
+                + f" from (select r.*, y, y - l0 - s0 as e0, y * 0 - l1 - s1 as e1, y * 0 - l2 - s2 as e2 from {at}_{i - 1} as r"
+                + f" left join ets_points as p on p.entity = r.entity and p.i = {i})")
+        start = ("-((g22 + 1e-12) * g01 - g12 * g02) / ((g11 + 1e-12) * (g22 + 1e-12) - g12 * g12)",
+                 "-((g11 + 1e-12) * g02 - g12 * g01) / ((g11 + 1e-12) * (g22 + 1e-12) - g12 * g12)") if trend else (
+                 "-g01 / (g11 + 1e-12)", "0.0")
+        cte(f"{at}_fit", f"""select entity, n, yy, alpha, beta, {rnd} as rnd, l0 + a * l1 + b * l2 as level, s0 + a * s1 + b * s2 as slope,
+            m0 + a * m1 + b * m2 as total, sse, cast(printf('%.7e', sse + 1e-6 * yy) as double) as key
+            from (select *, greatest(g00 + 2 * a * g01 + 2 * b * g02 + a * a * g11 + 2 * a * b * g12 + b * b * g22, 0) as sse
+                  from (select *, {start[0]} as a, {start[1]} as b from {at}_{POINTS}))""")
+        earlier = f" union all select * exclude (place) from {x}{rnd - 1}_best" if rnd else ""
+        cte(f"{at}_best", f"""select * from (select *, row_number() over (partition by entity order by key, rnd, beta, alpha) as place
+            from (select * from {at}_fit{earlier})) where place = 1""")
+    cte(x, f"select b.*, last_t from {x}{ROUNDS - 1}_best as b join (select entity, max(period) as last_t from ets_points group by entity) using (entity)")
+
+
+ets("ets_trend", True)
+ets("ets_level", False)
+
+ETS_SQL = f"""
+select entity, k::integer as step, (last_t + k)::integer as period,
+       {band_sql('(level + slope * k)', '(sqrt((sse - total * total / n) / (n - 1)) * sqrt(k))', 3)},
+       'Exponential Smoothing (additive trend)' as model, true as success
+from ets_trend, {STEPS}
+"""
+cte("aicc", f"""
+select *, sqrt(sse / greatest(n - terms + 1, 1) * (1 + (k - 1) * (alpha * alpha + alpha * alpha * beta * k + (alpha * beta) ** 2 * k * (2 * k - 1) / 6))) as spread
+from (select *, row_number() over (partition by entity order by n * ln(greatest(sse, 1e-300) / n) + 2 * terms + 2 * terms * (terms + 1) / (n - terms - 1), terms) as choice
+      from (select *, 3 as terms, 'ETS(A,N,N)' as model from ets_level union all by name select *, 5 as terms, 'ETS(A,A,N)' as model from ets_trend)), {STEPS}
+where choice = 1
+""")
+
+
+@query("forecast_ets", sql(ETS_SQL))
 def forecast_ets(spark, sf):
     return rounded(O.forecast_ets(millions(spark, sf), P.P1, H), 3)
 
 
-@query("forecast_auto")
+@query("forecast_auto", sql(ETS_SQL))
 def forecast_auto(spark, sf):
     return rounded(O.forecast_auto(millions(spark, sf), P.P1, H), 3)
 
 
-@query("forecast_auto_aicc")
+@query("forecast_auto_aicc", sql(f"""
+select entity, k::integer as step, (last_t + k)::integer as period, {band_sql('(level + slope * k)', 'spread', 3)}, model, true as success from aicc
+"""))
 def forecast_auto_aicc(spark, sf):
     return rounded(O.forecast_auto(millions(spark, sf), P.P1, H, choose="aicc"), 3)
 
 
-@query("forecast_compare")
+@query("forecast_compare", sql(f"""
+select entity, (aicc.last_t + k)::integer as period,
+       {", ".join(f"{r(f'level + slope * k + {z} * spread', 3)} as ets_{c}" for c, z in (("yhat", "0"), ("lo80", "-1.28"), ("hi80", "1.28"), ("lo95", "-1.96"), ("hi95", "1.96")))},
+       {r("mv + b * (line.last_t + k - mt)", 3)} as linear_yhat,
+       {r(f"mv + b * (line.last_t + k - mt) - [{', '.join(map(str, T975))}][line.n - 2] * sqrt(line.sse / (line.n - 2)) * sqrt(1 + 1 / line.n + (line.last_t + k - mt) ** 2 / sxx)", 3)} as linear_lo95,
+       {r(f"mv + b * (line.last_t + k - mt) + [{', '.join(map(str, T975))}][line.n - 2] * sqrt(line.sse / (line.n - 2)) * sqrt(1 + 1 / line.n + (line.last_t + k - mt) ** 2 / sxx)", 3)} as linear_hi95
+from aicc join line using (entity)
+"""))
 def forecast_compare(spark, sf):
     return rounded(O.forecast_compare(materialise(millions(spark, sf), "p1"), P.P1, H), 3)
 

@@ -198,10 +198,12 @@ def residuals(y: np.ndarray, alpha: float, beta: float | None, start: np.ndarray
 def best_smooth(y: np.ndarray, trend: bool, points: int = 21, rounds: int = 3) -> dict:
     """Grid search over the smoothing weights, refined around the best cell.
 
-    The trend weight applies to changes of the level, and lies in (0, 1).
+    The trend weight applies to changes of the level, and lies in (0, 1). Sums of
+    squares that agree to eight digits are equal; then the earlier round, the
+    smaller trend weight and the smaller level weight win.
     """
     centre, width = (0.5, 0.5), 0.4999
-    best = None
+    best, noise = None, 1e-6 * float(y @ y)
     for _ in range(rounds):
         axis = np.linspace(-width, width, points)
         alphas = np.clip(centre[0] + axis, 1e-4, 0.9999)
@@ -211,9 +213,10 @@ def best_smooth(y: np.ndarray, trend: bool, points: int = 21, rounds: int = 3) -
         else:
             alpha, beta = alphas, None
         sse, start, level, slope = smooth(y, alpha, beta)
-        i = int(np.argmin(sse))
-        if best is None or sse[i] < best["sse"]:
-            best = {"sse": float(sse[i]), "start": start[i], "level": float(level[i]), "slope": float(slope[i]),
+        keys = [float(f"{x:.7e}") for x in sse + noise]
+        i = int(np.argmin(keys))
+        if best is None or keys[i] < best["key"]:
+            best = {"key": keys[i], "start": start[i], "level": float(level[i]), "slope": float(slope[i]),
                     "alpha": float(alpha[i]), "beta": float(beta[i]) if trend else 0.0}
         centre, width = (best["alpha"], best["beta"] if trend else 0.5), 2 * width / (points - 1)
     # The sums lose digits where the fit is close; the errors themselves do not.
