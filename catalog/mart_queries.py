@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import panels as P
+from catalog.forecast_queries import T975, tail_sql
 from catalog.registry import query, rounded
 from catalog.shape_queries import shown
 from catalog.sql import cte, exact, r, sql
@@ -545,15 +546,20 @@ def region_table(spark, sf):
 @query("findings", sql(f"""
 select l.indicator, l.latest_period, {r('focus_value', 3)} as focus_value, {r('benchmark_value', 3)} as benchmark_value,
        {r('focus_value - benchmark_value', 3)} as gap, (last_t + 3)::integer as forecast_period, {r('mv + b * (last_t + 3 - mt)', 3)} as yhat, {r('b', 3)} as slope,
-       case when b > 0 then 'increasing' else 'decreasing' end as direction,
+       {r('mv + b * (last_t + 3 - mt) - half', 3)} as lo95, {r('mv + b * (last_t + 3 - mt) + half', 3)} as hi95,
+       {r(tail_sql('th', '(n - 2)'), 3)} as p_value, case when b > 0 then 'increasing' else 'decreasing' end as direction,
        'Latest ' || latest_period || ': ' || {shown('focus_value', 1)} || ', benchmark ' || {shown('benchmark_value', 1)} || ' (gap '
          || {shown('focus_value - benchmark_value', 1)} || '); trend ' || case when b > 0 then 'increasing' else 'decreasing' end || ' at ' || {shown('b', 2)} || ' per period' as sentence
-from (select indicator, max(period) filter (entity = 'N0') as latest_period, arg_max(v, period) filter (entity = 'N0') as focus_value,
+from (select *, [{', '.join(map(str, T975))}][n - 2] * sqrt(sse / (n - 2)) * sqrt(1 + 1 / n + (last_t + 3 - mt) ** 2 / sxx) as half,
+             atan(abs(b / sqrt(sse / (n - 2) / sxx)) / sqrt(n - 2)) as th
+      from (select *, greatest(syy - b * sxy, 0) as sse from (select indicator, max(period) filter (entity = 'N0') as latest_period, arg_max(v, period) filter (entity = 'N0') as focus_value,
              arg_max(v, period) filter (entity = 'CA') as benchmark_value,
              max(period) filter (entity = 'N0') as last_t, regr_slope(v, period) filter (entity = 'N0') as b,
-             avg(v) filter (entity = 'N0') as mv, avg(period) filter (entity = 'N0') as mt
+             avg(v) filter (entity = 'N0') as mv, avg(period) filter (entity = 'N0') as mt, count(v) filter (entity = 'N0') as n,
+             regr_sxx(v, period) filter (entity = 'N0') as sxx, regr_syy(v, period) filter (entity = 'N0') as syy,
+             regr_sxy(v, period) filter (entity = 'N0') as sxy
       from (select prov_code as entity, period, 'Revenue' as indicator, value as v from base
-            union all select prov_code, period, 'Activity', cast(n_rows as double) / population from base) group by indicator) l
+            union all select prov_code, period, 'Activity', cast(n_rows as double) / population from base) group by indicator))) l
 """))
 def findings(spark, sf):
     rows = base(spark, sf)
@@ -562,7 +568,7 @@ def findings(spark, sf):
         (rows, {"entity": "prov_code", "period": "period", "value": F.col("n_rows").cast("double") / F.col("population")}, {"indicator": "Activity"}),
     ])
     out = R.findings(stacked, PanelSpec("entity", "period", "value", ("indicator",)), "N0", "CA")
-    return rounded(out.drop("lo95", "hi95", "p_value"), 3)
+    return rounded(out, 3)
 
 
 # --- quality --------------------------------------------------------------------

@@ -140,21 +140,22 @@ def t_quantile(level: float, dof: Column | str, rounds: int = 64) -> Column:
     """The t with ``level`` of the probability inside (-t, t), by doubling and bisection."""
     dof = as_col(dof)
     alpha = 1.0 - level
-    upper = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.lit(1.0),
-                        lambda t, _: F.when(two_sided_p(t, dof) > alpha, t * 2).otherwise(t))
 
-    def halve(state, _):
-        mid = (state["lo"] + state["hi"]) / 2
-        too_low = two_sided_p(mid, dof) > alpha
+    # Until a point beyond is found the upper end is tried and doubled, afterwards the middle.
+    def narrow(state, _):
+        lo, hi, closed = state["lo"], state["hi"], state["closed"]
+        probe = F.when(closed, (lo + hi) / 2).otherwise(hi)
+        too_low = two_sided_p(probe, dof) > alpha
         return F.struct(
-            F.when(too_low, mid).otherwise(state["lo"]).alias("lo"),
-            F.when(too_low, state["hi"]).otherwise(mid).alias("hi"),
+            F.when(too_low, probe).otherwise(lo).alias("lo"),
+            F.when(too_low & ~closed, hi * 2).when(too_low, hi).otherwise(probe).alias("hi"),
+            (closed | ~too_low).alias("closed"),
         )
 
     found = F.aggregate(
-        F.sequence(F.lit(1), F.lit(rounds)),
-        F.struct(F.lit(0.0).alias("lo"), upper.alias("hi")),
-        halve,
+        F.sequence(F.lit(1), F.lit(2 * rounds)),
+        F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"), F.lit(False).alias("closed")),
+        narrow,
         lambda s: (s["lo"] + s["hi"]) / 2,
     )
     return F.when(dof >= 1, found)
