@@ -17,15 +17,22 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Rows that go to a Python worker at once; whole texts are long.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once a session.
 
     Workers keep what they have built (automata, memos) in its modules, so its
-    functions are sent by name.
+    functions are sent by name. Batches are made smaller where the session has
+    Spark's default, as both sides hold a batch in memory.
     """
     context = spark.sparkContext
     if getattr(context, "_panelkit_shipped", False):
         return
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "2000")
     root = Path(panelkit.__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="panelkit-")).resolve() / "panelkit.zip"
     with zipfile.ZipFile(archive, "w") as out:
