@@ -3,8 +3,9 @@
 A character language model of letter trigrams is counted over all documents. A
 word that looks disguised becomes a lattice: a digit or sign stands for one of
 its letters or for nothing, a letter repeated three times or more for fewer of
-it, letters set apart by spaces or signs for one word. Viterbi decoding takes the
-likeliest restored word under the language model and the costs of the channel.
+it, letters set apart by spaces or signs for one word or several. Viterbi decoding
+takes the likeliest restored words under the language model and the costs of the
+channel; a number or a mark at the end of a sentence competes as what it is.
 
 Restored words and their openings get weights from a bounded sample of labelled
 documents: how much more often they occur in toxic ones. A logistic model then
@@ -59,9 +60,17 @@ for _c in range(0xC0, 0x250):
 
 # Costs of the channel, and what every restored letter earns, so that short words are not favoured.
 SIGN_COST, DROP_SIGN, DROP_DIGIT, DROP_REPEAT, EARNED = 0.5, 1.5, 10.0, 0.5, 2.5
+# Leaving out "!" before a word, where plain writing has none; a digit of a possible number.
+DROP_FIRST, PLAIN_DIGIT = 4.0, 1.5
+# How much less likely than the best a cut into words may be that still gives words, of so many letters at most.
+NEAR, LONGEST = 3.0, 32
 BEAM = 24
 SPACED = re.compile(r"(?<![^\W_])[\w@$!|+]([ .\-_*])[\w@$!|+](?:\1[\w@$!|+])+(?![^\W_])")
 REPEATED = re.compile(r"(.)\1\1")
+# Marks that end a sentence, and numbers with separators: as what they are they cost nothing.
+ENDING = re.compile(r"[!|+]+\Z")
+NUMERAL = re.compile(r"[+$€£¥]?\d+(?:[ .,:/_*×+-]\d+)+[%€£¥$+!]*")
+READABLE = frozenset(SIGNS)
 
 
 def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -122,12 +131,18 @@ class Restorer:
         found = [(x, SIGN_COST) for x in SIGNS.get(char, "")]
         return [*found, ("", DROP_DIGIT if char.isdigit() else DROP_SIGN if found else 0.0)]
 
-    def decode(self, word: str) -> str:
-        """The likeliest restored form of a word in lower case."""
+    def decode(self, word: str, several: bool = False) -> str:
+        """The likeliest restored form of a word in lower case; with ``several``, of words written without a break."""
+        return self.best(word, several)[1]
+
+    def best(self, word: str, several: bool = False, first: float | None = None) -> tuple[float, str]:
+        """The likeliest form and its score; ``first`` is the cost of leaving out a sign at the start."""
         model = self.model
         paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         for i, char in enumerate(word):
             arcs = self.arcs(char)
+            if first is not None and i == 0:
+                arcs = [(x, cost if x else first) for x, cost in arcs]
             run = char == word[i - 1] if i else False
             long = run and (word[i + 1:i + 2] == char or word[i - 2:i - 1] == char)
             new: dict[tuple[int, int], tuple[float, str]] = {}
@@ -143,26 +158,100 @@ class Restorer:
                         key, value = (a, b), (score - cost, out)
                     if key not in new or value > new[key]:
                         new[key] = value
+            if several and i + 1 < len(word):
+                # The edge of a word, then a new one.
+                for (a, b), (score, out) in list(new.items()):
+                    if b:
+                        key, value = (b, 0), (score + model[a][b][0], out + " ")
+                        if key not in new or value > new[key]:
+                            new[key] = value
             if len(new) > BEAM:
                 new = dict(sorted(new.items(), key=lambda p: p[1], reverse=True)[:BEAM])
             paths = new
-        return max((score + model[a][b][0], out) for (a, b), (score, out) in paths.items())[1]
+        # After a break the edge is there already.
+        return max((score + (model[a][b][0] if b or not out else 0.0), out) for (a, b), (score, out) in paths.items())
 
     def restore(self, word: str) -> str:
-        """A word without white space as it was meant; empty if it has no letters."""
+        """A word without white space as it was meant; empty if it is a number or no word."""
+        return self.readings(word)[0]
+
+    def readings(self, word: str) -> list[str]:
+        """The word as it was meant, and its reading with marks at the end as letters where that scores higher."""
         low = word.lower()
         core = low.strip(PUNCTUATION)
-        if core.isalpha() and len(core) == len(low.strip(SOFT + "!")) and not REPEATED.search(core):
-            return core
-        core = low.strip(SOFT).rstrip("!|+")
-        if not any(c.isalpha() for c in core):
+        whole = low.strip(SOFT)
+        bare = ENDING.sub("", whole)
+        if not any(c.isalpha() for c in whole):
+            return [self.unlettered(whole)]
+        first = self.first(whole)
+        if core.isalpha() and len(core) == len(bare) and not REPEATED.search(core):
+            if bare == whole:
+                return [core]
+            score, plain = self.best(core)[0], core
+        else:
+            score, plain = self.best(bare, first=first)
+        if bare != whole:
+            read = self.best(whole, first=first)
+            if read[0] > score and read[1] != plain:
+                return [plain, read[1]]
+        return [plain]
+
+    @staticmethod
+    def first(word: str) -> float | None:
+        """What leaving out the first sign costs, if not the same as elsewhere."""
+        return DROP_FIRST if word[0] == "!" else None
+
+    def unlettered(self, word: str) -> str:
+        """What signs and digits spell, unless they are likelier a number or marks."""
+        if not any(c in READABLE for c in word):
             return ""
-        return self.decode(core)
+        free = ENDING.sub("", word)
+        plain = 0.0 if NUMERAL.fullmatch(word) else -sum(PLAIN_DIGIT if c.isdigit() else DROP_SIGN for c in free if c in READABLE)
+        score, out = max(self.best(free), self.best(word)) if free else self.best(word)
+        return out if score > plain + self.model[0][0][0] else ""
+
+    def near_words(self, letters: str) -> list[str]:
+        """Words of every cut of ``letters`` that is about as likely as the best one."""
+        model, n = self.model, len(letters)
+        codes = [CODE.get(x, OTHER) for x in letters]
+
+        def words_from(i: int) -> Iterator[tuple[int, float]]:
+            """Ends and scores of the words that start at ``i``."""
+            score, a, b = 0.0, codes[i - 1] if i else 0, 0
+            for j in range(i, min(n, i + LONGEST)):
+                score, a, b = score + model[a][b][codes[j]], b, codes[j]
+                yield j + 1, score + model[a][b][0]
+
+        # Words are scored again for each use, as a list of all would be long for a long run.
+        before, after = [0.0] + [-np.inf] * n, [-np.inf] * n + [0.0]
+        for i in range(n):
+            for j, score in words_from(i):
+                before[j] = max(before[j], before[i] + score)
+        for i in range(n - 1, -1, -1):
+            after[i] = max(score + after[j] for j, score in words_from(i))
+        return [letters[i:j] for i in range(n) for j, score in words_from(i) if before[i] + score + after[j] >= before[n] - NEAR]
 
     def spaced(self, text: str) -> list[str]:
-        """Words whose letters are set apart by one kind of sign; a word of one letter may stand before them."""
-        found = [m.group().lower().replace(m.group(1), "") for m in SPACED.finditer(text)]
-        return [self.decode(w) for x in found if any(c.isalpha() for c in x) for w in (x, x[1:])]
+        """Words whose letters are set apart by one kind of sign.
+
+        A run counts as one word, as one after a word of one letter, and as several
+        words in all likely cuts; what more than one reading has counts once.
+        """
+        out: list[str] = []
+        for m in SPACED.finditer(text):
+            x = m.group().lower().replace(m.group(1), "")
+            if any(c.isalpha() for c in x):
+                readings = [self.best(w, several, self.first(w))[1].split() for w in (x, x[1:]) for several in (False, True)]
+                readings.append(self.near_words("".join(readings[1])))
+            elif NUMERAL.fullmatch(m.group()):
+                continue
+            else:
+                readings = [[self.unlettered(x)]]
+            found: Counter[str] = Counter()
+            for words in readings:
+                found |= Counter(w for w in words if w)
+            out += found.elements()
+        return out
 
 
 def terms_of(word: str) -> list[str]:
@@ -201,7 +290,7 @@ class Reader:
         if None in found:
             for i, w in enumerate(found):
                 if w is None:
-                    found[i] = weight = self.weigh(self.restorer.restore(words[i]))
+                    found[i] = weight = max(map(self.weigh, self.restorer.readings(words[i])))
                     if len(self.memo) >= MEMO:
                         self.memo.clear()
                     if len(words[i]) < 64:
@@ -235,7 +324,7 @@ def term_weights(sample: DataFrame, model: Broadcast) -> dict[str, float]:
             seen: Counter[tuple[str, int]] = Counter()
             docs: Counter[tuple[str, int]] = Counter()
             for text, label in zip(batch.column("_text").to_pylist(), batch.column("_label").to_pylist()):
-                words = [restorer.restore(w) for w in (text or "").split()] + (restorer.spaced(text) if text else [])
+                words = [r for w in (text or "").split() for r in restorer.readings(w)] + (restorer.spaced(text) if text else [])
                 own = Counter(t for w in words if w for t in terms_of(w))
                 own[""] = len(words)
                 for term, n in own.items():

@@ -89,6 +89,56 @@ def test_disguised_words(model):
     assert restorer.spaced("plain words only") == []
 
 
+def test_signs_at_edges_and_words_without_letters(model):
+    restorer = d.Restorer(model)
+    assert [restorer.restore(w) for w in ("!diot", "(!diot)", "!DIOT!!", "57up!d", "1d107")] == ["idiot", "idiot", "idiot", "stupid", "idiot"]
+    assert [restorer.restore(w) for w in ("$7@73", "+83", "17", "70")] == ["state", "be", "it", "to"]
+    assert [restorer.restore(w) for w in ("idiot!", "real!", "cool!!", "hell!", "!important", "m0r0n!")] == ["idiot", "real", "cool", "hell", "important", "moron"]
+    assert "be" in restorer.readings("b3!") and "well" in restorer.readings("wel!") and restorer.readings("idiot!") == ["idiot"]
+    assert [restorer.restore(w) for w in ("1234", "455", "2015", "12:30", "4.55", "$100", "100%", "$$$", "!!!", "+", "|")] == [""] * 11
+
+
+def test_spaced_words_without_a_break(model):
+    """The input is unaltered: no comma or wider space between the words."""
+    restorer = d.Restorer(model)
+    for text in ("y o u a r e a n i d i o t", "w h a t a n i d i o t y o u a r e", "i d i o t s t u p i d", "i.d.i.o.t.s.t.u.p.i.d", "a i d i o t", "y 0 u a r e a 1 d 1 0 t"):
+        assert "idiot" in restorer.spaced(text), text
+    assert "stupid" in restorer.spaced("i d i o t s t u p i d") and "moron" in restorer.spaced("t h e m o r o n i s h e r e")
+    assert restorer.spaced("i d i o t").count("idiot") == 1 and restorer.spaced("i d i o t i d i o t").count("idiot") == 2
+    assert restorer.spaced("1 2 3 4 5 6") == [] and "idiot" in restorer.spaced("! d i o t")
+
+
+def plain_several(restorer, word):
+    """All ways to cut a word of letters, with the same scores."""
+    best = None
+    for cuts in product((False, True), repeat=len(word) - 1):
+        score, state, out = 0.0, (0, 0), ""
+        for i, char in enumerate(word):
+            code = d.CODE[char]
+            score += d.EARNED + restorer.model[state[0]][state[1]][code]
+            state, out = (state[1], code), out + char
+            if i == len(word) - 1 or cuts[i]:
+                score += restorer.model[state[0]][state[1]][0]
+                state, out = (state[1], 0), out + " "
+        best = max(best, (score, out[:-1])) if best else (score, out[:-1])
+    return best[1]
+
+
+@pytest.mark.parametrize("word", ["idiotstupid", "youareanidiot", "theword", "anidiot", "themoron"])
+def test_viterbi_finds_the_best_cut(model, word):
+    restorer = d.Restorer(model)
+    assert restorer.decode(word, several=True) == plain_several(restorer, word)
+
+
+def test_disguise_in_runs_and_signs_does_not_hide(spark, documents):
+    labels, docs = table(spark, "/root/testdata/sf0.1", "labels"), table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    base = " ".join(["there", "was", "thing", "and", "that", "other", "nothing", "for", "them"] * 6)
+    planted = [(10 ** 9 + i, f"{base} {w} {base}") for i, w in enumerate(["i d i o t s t u p i d", "y o u a r e a n i d i o t s t u p i d", "!diot 57up!d"])]
+    planted += [(10 ** 9 + 8, f"{base} 1 2 3 4 5 6 7 455 2015 100% {base}"), (10 ** 9 + 9, f"{base} real! cool! t h e w o r d i s h e r e {base}")]
+    rows = d.judge(docs.union(documents(planted)), labels.select("doc_id", "toxic")).where("doc_id >= 1000000000").orderBy("doc_id").collect()
+    assert [r.predicted for r in rows] == [1, 1, 1, 0, 0]
+
+
 def test_held_out_accuracy(spark):
     labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
     rows = d.judge(table(spark, SF, "documents").select("doc_id", "text"), table(spark, SF, "labels").select("doc_id", "toxic")).collect()
