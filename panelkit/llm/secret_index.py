@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.trigram_query import Clause, trigram_query
 
 # Put around a match while its place is found; a text's own are replaced first by
-# a third character that no rule matches.
+# a third character, which rules treat as any other control character.
 OPEN, CLOSE, STAND_IN = "\u0001", "\u0002", "\u0003"
 
 
@@ -39,16 +39,24 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
+# A key runs to its END line, over anything but another line of five dashes. One that is cut off runs over its
+# headers and base64 lines; lines joined by blanks are told from prose by their length. Repeats of
+# groups are bounded, as Java's matcher takes stack for each.
+_KEY = r"[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_LINE = r"[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\\\r\n]*"
+_JOINED = r"(?:[ \t>]+[A-Za-z0-9+/=]{40}[A-Za-z0-9+/=\\\r\n]*){0,24}"
+_TO_END = r"[^-]*(?:-{1,4}[^-]+){0,200}-----END " + _KEY
+_CUT_OFF = r"(?:(?:[ \t\r\n]*[A-Za-z][A-Za-z-]{1,30}: [^\r\n]*){0,8}(?:[ \t\r\n>]|\\[nr]){0,8}" + _LINE + _JOINED * 8 + ")?"
 RULES = (
     *BASE,
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", f"-----BEGIN {_KEY}(?:{_TO_END}|{_CUT_OFF})"),
     Rule("github", r"gh[opsru]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]{20,}"),
-    Rule("url_login", r"[a-z]{3,10}://[A-Za-z0-9._-]{1,64}:[A-Za-z0-9._~%!-]{6,64}@"),
+    Rule("url_login", r"""[A-Za-z][A-Za-z0-9+.-]{1,30}://[^ \t\r\n/?#@:"'<>]*:[^ \t\r\n/@"'<>]+@"""),
 )
 
 

@@ -79,6 +79,44 @@ def test_redaction_removes_all_spans(spark, documents, scanned):
         assert rows[i] == out + text[at:]
 
 
+BODY = "\n".join(["MIIEpAIBAAKCAQEA" + "Ab+/" * 12] * 60 + ["q9Zw=="])
+KEYS = {
+    f"a -----BEGIN RSA PRIVATE KEY-----\n{BODY}\n-----END RSA PRIVATE KEY----- z": "a [secret] z",
+    f"a -----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n{BODY}\n-----END RSA PRIVATE KEY-----\nz": "a [secret]\nz",
+    f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{BODY}\n-----END PGP PRIVATE KEY BLOCK-----.": "[secret].",
+    f"-----BEGIN PRIVATE KEY-----\n{BODY}\n\n(cut off)": "[secret](cut off)",
+    f"-----BEGIN PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{BODY}": "[secret]",
+    "-----BEGIN PRIVATE KEY----- " + " ".join(["Ab+/" * 16] * 100) + " and prose": "[secret] and prose",
+    "the line -----BEGIN PRIVATE KEY----- stands first, well-known": "the line [secret] stands first, well-known",
+    "'-----BEGIN PRIVATE KEY-----\\n" + "Ab+/" * 16 + "\\n" + "Ab+/" * 16 + "\\n', next": "'[secret]', next",
+    f"-----BEGIN PRIVATE KEY-----\n-----BEGIN PRIVATE KEY-----\n{BODY}\n-----END PRIVATE KEY-----": "[secret]\n[secret]",
+    "redis://:p@h": "[secret]h", "postgresql+psycopg2://u:pa$+=*&#:w@host/db": "[secret]host/db", "https://me:" + "x" * 300 + "@host": "[secret]host",
+    "https://me:abc@host": "[secret]host", "http://host:8080/@user": "http://host:8080/@user", "http://host/a:b@c": "http://host/a:b@c",
+}
+
+
+def test_redaction_leaves_nothing_of_keys_and_logins(spark, documents):
+    rows = {r.doc_id: r.text for r in secret_index.redact(secret_index.scan(documents(list(enumerate(KEYS))))).collect()}
+    assert [rows[i] for i in range(len(KEYS))] == list(KEYS.values())
+
+
+def test_long_text_after_a_header(spark, documents):
+    """Neither many lines nor many dashes exhaust the matcher's stack."""
+    texts = ["-----BEGIN PRIVATE KEY-----" + ("\n" + "Ab+/" * 16) * 20_000, "-----BEGIN PRIVATE KEY----- " + "a-b " * 50_000, "://" * 20_000]
+    rows = {r.doc_id: len(r.text) for r in secret_index.redact(secret_index.scan(documents(list(enumerate(texts))))).collect()}
+    assert rows == {0: 8, 1: 9 + 200_000, 2: 60_000}
+
+
+@pytest.mark.parametrize("text", KEYS)
+def test_sql_finds_the_same_spans(text):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("create table documents as select 1::bigint as doc_id, ?::varchar as text", [text])
+    want = sorted((m.start(), k, m.end()) for k, r in enumerate(RULES) for m in re.finditer(r.pattern, text) if len(m.group(r.group)) >= r.least)
+    shown = con.execute(f"select spans from ({secret_index.scan_sql(RULES)})").fetchone()[0]
+    assert shown == ",".join(f"{RULES[k].kind}:{a}:{b}" for a, k, b in want)
+
+
 def test_digest_of_nothing(spark, documents):
     none = secret_index.scan(documents([(1, None)])).select(F.sha2(secret_index.shown(F.col("spans")).cast("binary"), 256)).first()[0]
     assert none == sha256(b"").hexdigest()
