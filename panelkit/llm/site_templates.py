@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A subtree is a template's when it is on this many pages of its host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 5, 0.05
+# A subtree is a template's when it is on this many different pages of its host, and on this share of them or on enough.
+LEAST_PAGES, LEAST_SHARE, ENOUGH_PAGES = 5, 0.05, 100
 # Rows of a subtree that very many pages have are dealt by this many salts.
 SALTS = 64
 
@@ -77,6 +77,7 @@ class Page:
     def __init__(self, html: str, template: frozenset[str] | set[str] = frozenset()) -> None:
         self.template = template
         self.hashes: list[str] = []
+        self.links: list[str] = []
         self.blocks: list[tuple[int, str]] = []
         self._buffer: list[str] = []
         self._stack = [_Element("", 0, False, 0, 0)]
@@ -185,6 +186,8 @@ class Page:
         links = done.level and done.tag in BLOCK and done.tag not in ("article", "main") and 2 * done.link_chars >= done.chars
         if done.chars and (outside or links):
             self.hashes.append(name)
+            if links:
+                self.links.append(name)
             if name in self.template:
                 begun = len(self.blocks) == done.start
                 del self.blocks[done.start:]
@@ -198,7 +201,13 @@ def host_of(url: Column) -> Column:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _subtrees(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: sorted(set(Page(h).hashes)) if h else [])
+    """Distinct hashes of every page; those of link lists inside an article are marked by a leading ``~``."""
+    def of(h: str) -> list[str]:
+        read = Page(h)
+        links = set(read.links)
+        return sorted({f"~{x}" if x in links else x for x in read.hashes})
+
+    return html.map(lambda h: of(h) if h else [])
 
 
 @F.pandas_udf(T.StringType())
@@ -206,19 +215,32 @@ def _main_text(html: pd.Series, template: pd.Series) -> pd.Series:
     return pd.Series([Page(h, frozenset(t) if t is not None else frozenset()).text if h else "" for h, t in zip(html, template)], dtype=object)
 
 
+def content_of(html: str) -> Column:
+    """What tells pages of one host apart: copies under several URLs are one page."""
+    return F.xxhash64(F.col(f"`{html}`"))
+
+
 def subtrees(pages: DataFrame, page: Column, url: str = "url", html: str = "html") -> DataFrame:
-    """Rows ``page``, ``host`` and ``hash``: the distinct subtrees of each page that can be a template's."""
-    return pages.select(page.alias("page"), host_of(F.col(f"`{url}`")).alias("host"), F.explode(_subtrees(F.col(f"`{html}`"))).alias("hash"))
+    """Rows ``page``, ``content``, ``host`` and ``hash``: the distinct subtrees of each page that can be a template's.
+
+    Link lists inside an article are no prose, so they count on every page of a copied article.
+    """
+    nodes = pages.select(page.alias("page"), content_of(html).alias("content"), host_of(F.col(f"`{url}`")).alias("host"),
+                         F.explode(_subtrees(F.col(f"`{html}`"))).alias("hash"))
+    return nodes.select("page", F.when(F.col("hash").startswith("~"), F.col("page")).otherwise(F.col("content")).alias("content"), "host",
+                        F.ltrim("hash", F.lit("~")).alias("hash"))
 
 
 def site_templates(nodes: DataFrame, hosts: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """Rows ``host`` and ``hash`` of subtrees on many pages; ``hosts`` has ``host`` and its number ``pages``.
+    """Rows ``host`` and ``hash`` of subtrees on many different pages; ``hosts`` has ``host`` and its number ``pages``.
 
-    Counts are summed in the tasks before they are shuffled, so a host with a third
-    of all pages arrives as a row per task and subtree.
+    Copies of a page are merged in the tasks and by a shuffle, then counts are summed
+    in the tasks before they are shuffled.
     """
-    often = nodes.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
-    return often.join(hosts, "host").where(F.col("n") >= F.col("pages") * least_share).select("host", "hash")
+    different = nodes.select("host", "hash", "content").distinct()
+    often = different.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
+    needed = F.least(F.col("pages") * least_share, F.lit(float(ENOUGH_PAGES)))
+    return often.join(hosts, "host").where(F.col("n") >= needed).select("host", "hash")
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", out: str = "text", least_pages: int = LEAST_PAGES,
@@ -235,7 +257,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", out: str = "
     # Pages with one key have the same rows, or get the other's templates as well, of which they hold none.
     keyed = pages.withColumn("_page", F.xxhash64(F.col(f"`{url}`"), F.col(f"`{html}`")))
     nodes = subtrees(keyed, F.col("_page"), url, html)
-    hosts = pages.groupBy(host_of(F.col(f"`{url}`")).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
+    different = pages.select(host_of(F.col(f"`{url}`")).alias("host"), content_of(html).alias("content")).distinct()
+    hosts = different.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     shared = site_templates(nodes, hosts, least_pages, least_share)
     salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = nodes.withColumn("salt", F.pmod("page", F.lit(SALTS)).cast("int")).join(salted, ["host", "hash", "salt"])

@@ -70,6 +70,21 @@ def test_copies_of_an_article_stay(spark):
     assert sorted(set(got)) == [f"Same\n\nShared story.\n\n{i}" for i in range(3)]
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    """Repeated rows and copies under other URLs, without an article, among others of the host."""
+    rows = [page(1, "<div>said often</div>")] * 30 + [page(i, "<div>copied</div>") for i in range(100, 130)]
+    rows += [page(i, f"<div>All about us</div><div>story {i}</div>") for i in range(200, 220)]
+    got = {r.page_id: r.text for r in s.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {1: "said often", **dict.fromkeys(range(100, 130), "copied"), **{i: f"story {i}" for i in range(200, 220)}}
+
+
+def test_template_does_not_depend_on_the_size_of_the_host(spark):
+    for others in (1_000, 4_000):
+        rows = [page(i, f"<div>Our sidebar</div><p>story {i}</p>") for i in range(s.ENOUGH_PAGES)]
+        rows += [page(i, f"<p>story {i}</p>") for i in range(s.ENOUGH_PAGES, others)]
+        assert all(r.text == f"story {r.page_id}" for r in s.extract(spark.createDataFrame(rows, PAGES)).collect())
+
+
 def test_few_pages_are_no_template(spark):
     rows = [page(i, "<div>said twice</div>") for i in range(s.LEAST_PAGES - 1)]
     assert {r.text for r in s.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"said twice"}
