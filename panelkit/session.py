@@ -70,6 +70,11 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder of the ``scratch`` block around the call, or else the shared folder."""
+    return (_SCOPE.get() or shared_folder(spark)).rstrip("/")
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -80,7 +85,6 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     clean the folder by age.
     """
     spark = df.sparkSession
-    folder = _SCOPE.get() or shared_folder(spark)
-    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
