@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from array import array
 from hashlib import sha256
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.llm import (
+    binary_records,
     cap_filters,
     deobfuscation,
     hash_tree,
@@ -23,6 +27,7 @@ from panelkit.llm import (
     swap_packing,
 )
 from panelkit.llm.registry import ORACLES, QUERIES, query, table
+from panelkit.session import scratch_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -113,3 +118,18 @@ def main_texts(spark: SparkSession, sf: str) -> DataFrame:
 def vector_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Links and components of near-duplicate vectors."""
     return cap_filters.similar_vectors(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def id_crc(_: int | None, ids: np.ndarray) -> tuple[int, int]:
+    """Number of ids and their CRC-32 as little-endian unsigned 32-bit integers."""
+    return len(ids), zlib.crc32(ids.tobytes())
+
+
+@query("op13_binary_records")
+def binary_records_back(spark: SparkSession, sf: str) -> DataFrame:
+    """The ids of all documents, written as records in order of their key and read back."""
+    folder = f"{scratch_folder(spark)}/records-{uuid.uuid4().hex}"
+    index = binary_records.write_records(table(spark, sf, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
+    back = binary_records.read_to(binary_records.with_start(index), folder, fields, id_crc, ["key", "start"])
+    return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
