@@ -19,9 +19,11 @@ from panelkit.llm import (
     deobfuscation,
     hash_tree,
     license_voting,
+    merge_alignment,
     order_minhash,
     prefix_bpe,
     quality_rules,
+    ranked_search,
     secret_index,
     site_templates,
     swap_packing,
@@ -133,3 +135,16 @@ def binary_records_back(spark: SparkSession, sf: str) -> DataFrame:
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
     back = binary_records.read_to(binary_records.with_start(index), folder, fields, id_crc, ["key", "start"])
     return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query("op12_merge_alignment")
+def alignment_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document, and how common its links are."""
+    return merge_alignment.link_statistics(table(spark, sf, "documents").select("doc_id", "text"),
+                                           public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_ranked_search", ranked_search.search_sql())
+def benchmark_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=50)
