@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog import panels as P
 from catalog.registry import query, rounded
 from catalog.sql import cte, r, sql
+from panelkit.functions.numeric import round_half_up, t_quantile
 from panelkit.operators import forecast as O
 from panelkit.operators.regression import ols_coefficients
 from panelkit.session import materialise
@@ -69,6 +70,29 @@ select entity, k::integer as step, (last_t + k)::integer as period,
 from ar, {STEPS}
 """))
 def forecast_arima(spark, sf):
+    return rounded(O.forecast_arima110(millions(spark, sf), P.P1, H, method="least_squares"), 6)
+
+
+# The root of the slope of the likelihood, a halving of (-1, 1) at a time: it is positive left of the root.
+cte("ar_likely", f"""
+select *, list_reduce(list_concat([-1.0::double], [0.5::double ** k for k in range(55)]), lambda x, s:
+         x + case when m * (c - (x + s) * b) * (1 - (x + s) ** 2) - (x + s) * (a - 2 * (x + s) * c + (x + s) ** 2 * b) > 0 then s else 0 end) as phi
+from (select entity, max(period) as last_t, arg_max(value, period) as last_v, arg_max(d, period) as last_d, count(d) as m,
+             sum(d * d) as a, sum(d * d1) as c, coalesce(sum(d * d) filter (d1 is not null and d2 is not null), 0) as b
+      from (select *, lag(d) over (partition by entity order by period) as d1, lead(d) over (partition by entity order by period) as d2
+            from (select *, value - lag(value) over (partition by entity order by period) as d from p1m))
+      group by entity)
+""")
+
+
+@query("forecast_arima_likelihood", sql(f"""
+select entity, k::integer as step, (last_t + k)::integer as period,
+       {band_sql('(last_v + last_d * phi * (case k when 1 then 1 when 2 then 1 + phi else 1 + phi + phi * phi end))',
+                 'sqrt((a - 2 * phi * c + phi * phi * b) / m * (1 + case when k >= 2 then (1 + phi) * (1 + phi) else 0 end + case when k >= 3 then (1 + phi + phi * phi) * (1 + phi + phi * phi) else 0 end))')},
+       'ARIMA(1,1,0)' as model, true as success
+from ar_likely, {STEPS}
+"""))
+def forecast_arima_likelihood(spark, sf):
     return rounded(O.forecast_arima110(millions(spark, sf), P.P1, H), 6)
 
 
@@ -220,21 +244,32 @@ from (select *, (yy - b1 * y1 - b2 * y2 - b3 * y3) / (n - 4) as s2 from solved),
   ('(Intercept)', my - b1 * m1 - b2 * m2 - b3 * m3, sqrt(s2 * (1 / n + m1 * (i11 * m1 + i12 * m2 + i13 * m3)
      + m2 * (i12 * m1 + i22 * m2 + i23 * m3) + m3 * (i13 * m1 + i23 * m2 + i33 * m3))))) as t(term, est, se)
 """)
-# The 95 percent point by bisection, since the database has no t quantile either.
-OLS_SQL = sql(f"""
-select term, {r('est', 4)} as estimate, {r('se', 4)} as std_error, {r('t', 4)} as statistic,
-       {r(tail_sql('atan(abs(t) / sqrt(dof))', 'dof'), 4)} as p_value, dof,
-       {r('est - half_width * se', 4)} as conf_low, {r('est + half_width * se', 4)} as conf_high
-from coefficients, (select (lo + hi) / 2 as half_width from bisect where i = 60)
-""").replace("with ", "with recursive ", 1)
-OLS_SQL = OLS_SQL.replace("\nselect term,", f""",
+
+
+def with_limits(body: str, dofs: str) -> str:
+    """``body`` beside the 95 percent point ``half_width`` of each ``dof`` of ``dofs``, by bisection, as the database has no t quantile either."""
+    tail = tail_sql("atan((lo + hi) / 2 / sqrt(v))", "v")
+    halved = f"""
 bisect as (
-select 0.0::double as lo, 2000.0::double as hi, 0 as i, any_value(dof) as v from coefficients
+select 0.0::double as lo, 2000.0::double as hi, 0 as i, dof as v from (select distinct dof from ({dofs}))
 union all
 select case when p > 0.05 then (lo + hi) / 2 else lo end, case when p > 0.05 then hi else (lo + hi) / 2 end, i + 1, v
-from (select *, {tail_sql('atan((lo + hi) / 2 / sqrt(v))', 'v')} as p from bisect where i < 60)
-)
-select term,""", 1)
+from (select *, {tail} as p from bisect where i < 60)
+),
+limits as (select v as dof, (lo + hi) / 2 as half_width from bisect where i = 60)
+"""
+    body = body.strip()
+    above = sql(body).removesuffix(body).strip()
+    return (above.replace("with ", "with recursive ", 1) + "," if above else "with recursive") + halved + body
+
+
+OLS_BODY = f"""
+select term, {r('est', 4)} as estimate, {r('se', 4)} as std_error, {r('t', 4)} as statistic,
+       {r(tail_sql('atan(abs(t) / sqrt(dof))', 'dof'), 4)} as p_value, dof,
+       {r('est - half_width * se', 4)} as conf_low, {r('est + half_width * se', 4)} as conf_high
+from coefficients join limits using (dof)
+"""
+OLS_SQL = with_limits(OLS_BODY, "select dof from coefficients")
 
 
 @query("ols_coefficients", OLS_SQL)
@@ -256,15 +291,57 @@ def ols_single(spark, sf):
     return rounded(df.where("term = 'population'").select(F.col("estimate").alias("slope"), "std_error", "dof"), 4)
 
 
-@query("ols_lines", sql(f"""
-select {r('b', 4)} as slope, {r('se', 4)} as std_error, n - 2 as dof, true as limits
-from (select regr_slope(l_extendedprice, l_quantity) as b, count(*) as n,
+# An aliased term has its name and the degrees of freedom, nothing else.
+ALIASED_BODY = OLS_BODY.rstrip() + """
+union all select term, null, null, null, null, dof, null, null from (select distinct dof from coefficients), (values ('twice'), ('constant')) as t(term)
+"""
+
+
+@query("ols_aliased", with_limits(ALIASED_BODY, "select dof from coefficients"))
+def ols_aliased(spark, sf):
+    """The same regression with a constant and a combination of two regressors, which change nothing but their own rows."""
+    df = millions(spark, sf).withColumns({
+        "is_focus": (F.col("entity") == P.FOCUS).cast("double"), "constant": F.lit(7.5),
+        "twice": 2.0 * F.col("population") - 3 * F.col("period") + 1})
+    return rounded(ols_coefficients(materialise(df, "p1"), "value", ["period", "constant", "population", "twice", "is_focus"]), 4)
+
+
+cte("entity_lines", """
+select entity, term, est, se, est / se as t, dof
+from (select entity, b, mv - b * mt as base, n - 2 as dof, sqrt(sse / (n - 2) / sxx) as slope_se,
+             sqrt(sse / (n - 2) * (1.0 / n + mt * mt / sxx)) as base_se from line),
+     lateral (values ('period', b, slope_se), ('(Intercept)', base, base_se)) as t(term, est, se)
+""")
+BY_ENTITY_BODY = f"""
+select entity, term, {r('est', 4)} as estimate, {r('se', 4)} as std_error, {r('t', 4)} as statistic,
+       {r(tail_sql('atan(abs(t) / sqrt(dof))', 'dof'), 4)} as p_value, dof,
+       {r('est - half_width * se', 4)} as conf_low, {r('est + half_width * se', 4)} as conf_high
+from entity_lines join limits using (dof)
+union all select entity, 'shifted', null, null, null, null, n - 2, null, null from line
+"""
+
+
+@query("ols_by_entity", with_limits(BY_ENTITY_BODY, "select dof from entity_lines"))
+def ols_by_entity(spark, sf):
+    """A line and an aliased copy of its regressor for every entity, all in one pass."""
+    df = millions(spark, sf).withColumn("shifted", F.col("period") - 1990)
+    return rounded(ols_coefficients(df, "value", ["period", "shifted"], min_rows=4, by=["entity"]), 4)
+
+
+LINES_BODY = f"""
+select {r('b', 4)} as slope, {r('se', 4)} as std_error, dof, {r('half_width', 9)} as half_width,
+       {r('b - half_width * se', 4)} as conf_low, {r('b + half_width * se', 4)} as conf_high
+from (select regr_slope(l_extendedprice, l_quantity) as b, count(*) - 2 as dof,
         sqrt((regr_syy(l_extendedprice, l_quantity) - regr_slope(l_extendedprice, l_quantity) * regr_sxy(l_extendedprice, l_quantity))
              / (count(*) - 2) / regr_sxx(l_extendedprice, l_quantity)) as se
-      from lineitem)
-"""))
+      from lineitem) join limits using (dof)
+"""
+
+
+@query("ols_lines", with_limits(LINES_BODY, "select count(*) - 2 as dof from lineitem"))
 def ols_lines(spark, sf):
     """Price on quantity over all lines, with as many degrees of freedom as lines, where t is close to normal."""
     df = ols_coefficients(P.table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"]).where("term = 'l_quantity'")
-    half = (F.col("conf_high") - F.col("conf_low")) / 2 / F.col("std_error")
-    return rounded(df.select(F.col("estimate").alias("slope"), "std_error", "dof", (F.abs(half - 1.96) < 0.01).alias("limits")), 4)
+    df = df.select(F.col("estimate").alias("slope"), "std_error", "dof", round_half_up(t_quantile(0.95, "dof"), 9).alias("half_width"),
+                   "conf_low", "conf_high")
+    return rounded(df, 4, skip=("half_width",))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.numeric import t_quantile, two_sided_p
+from panelkit.functions.numeric import bound, t_quantile, two_sided_p
 from panelkit.spec import PanelSpec
 
 # Send the grouped-map functions below to the workers by value: executors then
@@ -82,27 +82,69 @@ def forecast_linear(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = M
         *p.series, "_s.*", F.when(F.col("success"), LINEAR_NAME).otherwise("None").alias("model"), "success").select(*p.series, *FORECAST_COLUMNS)
 
 
-def forecast_arima110(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = MIN_POINTS) -> DataFrame:
+def likeliest_phi(total: Column, cross: Column, inside: Column, m: Column) -> Column:
+    """The coefficient of a stationary first-order autoregression without mean by exact likelihood.
+
+    ``total`` and ``inside`` are the sums of squares of all ``m`` values and of those
+    between the first and the last, ``cross`` the sum of products of neighbours. The
+    slope of the likelihood is a cubic with one root in each of (-inf, -1), (-1, 1)
+    and (1, inf); the middle one is wanted. Zero where all values are.
+    """
+    def at(s: Column) -> Column:
+        m, b, c = s["m"], s["b"], s["c"]
+        lead = (m - 1) * b
+
+        def root(k: Column) -> Column:
+            depth = F.sqrt(-k["p"] / 3)
+            turn = F.greatest(F.least(-k["q"] / 2 / (depth * depth * depth), F.lit(1.0)), F.lit(-1.0))
+            return k["shift"] + 2 * depth * F.cos((F.acos(turn) - 2 * F.pi()) / 3)
+
+        second, first, none = -(m - 2) * c / lead, -(1 + m * b) / lead, m * c / lead
+        middle = bound(F.struct((first - second * second / 3).alias("p"), (-second / 3).alias("shift"),
+                                (2 * second * second * second / 27 - second * first / 3 + none).alias("q")), root)
+
+        # Large outer roots cost digits of the middle one, which Newton steps bring back.
+        def polish(x: Column) -> Column:
+            slope = (3 * lead * x - 2 * (m - 2) * c) * x - (1 + m * b)
+            return x - F.coalesce(F.try_divide(((lead * x - (m - 2) * c) * x - (1 + m * b)) * x + m * c, slope), F.lit(0.0))
+
+        start = F.when(lead > 1e-9, middle).otherwise(m * c / (1 + m * b))
+        return F.greatest(F.least(bound(bound(bound(start, polish), polish), polish), F.lit(1.0)), F.lit(-1.0))
+
+    shares = F.struct(m.cast("double").alias("m"), (inside / total).alias("b"), (cross / total).alias("c"))
+    return F.when(total > 0, bound(shares, at)).when(total == 0, 0.0)
+
+
+def forecast_arima110(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = MIN_POINTS, method: str = "likelihood") -> DataFrame:
     """First-order autoregression of the first differences, without constant.
 
-    Several values of a period count as their mean. The coefficient is the
-    conditional least-squares estimate. The forecast
+    Several values of a period count as their mean. The coefficient has the
+    highest exact likelihood, or is the conditional least-squares estimate
+    (``method="least_squares"``). The forecast
     adds the decaying sum of the last difference; its variance sums the
     squared partial sums of the coefficient's powers.
     """
+    if method not in ("likelihood", "least_squares"):
+        raise ValueError("method must be 'likelihood' or 'least_squares'")
     w = PanelSpec(p.entity, "t", "v", p.category).over_time()
     steps = _observed(df, p).where(F.col("t").isNotNull()).groupBy(*p.series, "t").agg(F.avg("v").alias("v")).where(F.col("v").isNotNull())
-    steps = steps.withColumn("d", F.col("v") - F.lag("v").over(w)).withColumn("d1", F.lag("d").over(w))
-    paired = F.col("d1").isNotNull()
+    steps = steps.withColumns({"d": F.col("v") - F.lag("v").over(w), "_next": F.lead("v").over(w)}).withColumn("d1", F.lag("d").over(w))
+    paired, square = F.col("d1").isNotNull(), F.col("d") * F.col("d")
     fit = steps.groupBy(*p.series).agg(
         F.count(F.lit(1)).alias("n"), F.max("t").alias("last_t"),
         F.max_by("v", "t").alias("last_v"), F.max_by("d", "t").alias("last_d"),
         F.sum(F.col("d") * F.col("d1")).alias("cross"), F.sum(F.when(paired, F.col("d1") * F.col("d1"))).alias("past"),
-        F.sum(F.when(paired, F.col("d") * F.col("d"))).alias("now"), F.count("d1").alias("pairs"),
+        F.sum(F.when(paired, square)).alias("now"), F.count("d1").alias("pairs"),
+        F.sum(square).alias("total"), F.coalesce(F.sum(F.when(paired & F.col("_next").isNotNull(), square)), F.lit(0.0)).alias("inside"),
     )
-    fit = fit.withColumn("phi", F.coalesce(F.try_divide("cross", "past"), F.lit(0.0)))
-    rss = F.col("now") - 2 * F.col("phi") * F.col("cross") + F.col("phi") * F.col("phi") * F.col("past")
-    fit = fit.withColumn("sigma2", F.greatest(F.try_divide(rss, F.col("pairs")), F.lit(0.0)))
+    cross = F.col("cross")
+    if method == "likelihood":
+        fit = fit.withColumn("phi", F.coalesce(likeliest_phi(F.col("total"), cross, F.col("inside"), F.col("n") - 1), F.lit(0.0)))
+        rss, of = F.col("total") - 2 * F.col("phi") * cross + F.col("phi") * F.col("phi") * F.col("inside"), F.col("n") - 1
+    else:
+        fit = fit.withColumn("phi", F.coalesce(F.try_divide("cross", "past"), F.lit(0.0)))
+        rss, of = F.col("now") - 2 * F.col("phi") * cross + F.col("phi") * F.col("phi") * F.col("past"), F.col("pairs")
+    fit = fit.withColumn("sigma2", F.greatest(F.try_divide(rss, of), F.lit(0.0)))
     enough = F.col("n") >= min_points
 
     def step(k: int):
@@ -255,11 +297,15 @@ def aicc_steps(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray, str]:
 
 
 def arima_steps(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forecast and spread of one series by exact likelihood, as in ``forecast_arima110``."""
     d = np.diff(y)
-    past = float(d[:-1] @ d[:-1])
-    phi = float(d[1:] @ d[:-1]) / past if past else 0.0
+    m, total, cross, inside = len(d), float(d @ d), float(d[1:] @ d[:-1]), float(d[1:-1] @ d[1:-1])
+    phi = 0.0
+    if total:
+        roots = np.roots([(m - 1) * inside / total, -(m - 2) * cross / total, -1 - m * inside / total, m * cross / total])
+        phi = float(np.clip(min(roots.real, key=abs), -1, 1)) if len(roots) else 0.0
     partial = np.cumsum(phi ** np.arange(h))
-    sigma2 = float(np.mean((d[1:] - phi * d[:-1]) ** 2))
+    sigma2 = max((total - 2 * phi * cross + phi * phi * inside) / m, 0.0)
     yhat = y[-1] + d[-1] * phi * partial
     if not np.all(np.isfinite(yhat)):
         raise ArithmeticError("autoregression did not converge")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import csv
+import io
 import logging
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,30 +43,102 @@ def clean_column_names(df: DataFrame) -> DataFrame:
 WHOLE_LINE = r'^(?:"[^"]*(?:""[^"]*)*"[^,]*|[^",][^,]*|)(?:,(?:"[^"]*(?:""[^"]*)*"[^,]*|[^",][^,]*|))*+$'
 
 
-def _placed_lines(spark: SparkSession, path: str | Sequence[str], skip_rows: int, encoding: str) -> DataFrame:
-    """``_file``, ``_line`` and ``_at``: the lines of all files, with their number in the first ``skip_rows + 1``.
+# Bytes of a file's top that are read at once, until its title and header are whole.
+TOP_BYTES = 1 << 16
 
-    Blank lines count. A file's first lines are those of its first split, in
-    the order of the scan; other splits know nothing of the file's top and do not need to.
+
+def _top(spark: SparkSession, file: str, whole: Callable[[bytes, bool], list | None]) -> list | None:
+    """What ``whole`` makes of a file's first bytes; it gets more until it returns something or the file ends."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    try:
+        data = b""
+        while True:
+            more = bytes(stream.readNBytes(TOP_BYTES))
+            data += more
+            found = whole(data, len(more) < TOP_BYTES)
+            if found is not None or len(more) < TOP_BYTES:
+                return found
+    finally:
+        stream.close()
+
+
+def _records(text: str) -> list[list[str]]:
+    """The records of a text without blank lines; a field may be as long as the text."""
+    limit = csv.field_size_limit(max(len(text) + 1, 1 << 17))
+    try:
+        return [r for r in csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")) if r]
+    finally:
+        csv.field_size_limit(limit)
+
+
+def _first_line(data: bytes, ended: bool, skip_rows: int, encoding: str) -> list[str] | None:
+    """The fields of the header line below ``skip_rows`` title lines, if it is whole."""
+    lines = re.split(rb"\r\n|\r|\n", data)
+    if len(lines) < skip_rows + 2 and not (ended and len(lines) == skip_rows + 1 and lines[-1]):
+        return None
+    return next(iter(_records(lines[skip_rows].decode(encoding))), [])
+
+
+def _first_record(data: bytes, ended: bool, skip_rows: int, encoding: str) -> list[str] | None:
+    """As ``_first_line`` for records that may hold line breaks; blank lines are no records."""
+    records = _records(data.decode(encoding, "ignore"))
+    # The last record of what was read may go on behind it.
+    return records[skip_rows] if len(records) > skip_rows + (not ended) else None
+
+
+def _heads(spark: SparkSession, scan: DataFrame, first: Callable[..., list | None], skip_rows: int, encoding: str,
+           path: str | Sequence[str]) -> list[list[str]]:
+    """The header of every file of a scan that is not empty, read by the driver from the file's first bytes."""
+    heads = []
+    for file in sorted(set(scan.inputFiles())):
+        size = []
+
+        def whole(data: bytes, ended: bool) -> list | None:
+            size.append(len(data))
+            return first(data, ended, skip_rows, encoding)
+
+        head = _top(spark, file, whole)
+        if head is not None:
+            heads.append(head)
+        elif size[-1]:
+            raise ValueError(f"a file without header line in {path}")
+    return heads
+
+
+def _below_top(rows: DataFrame, skip: int) -> DataFrame:
+    """The rows of a scan without the first ``skip`` of every file, by their place.
+
+    A task has the rows of a split in order, and the split at a file's start has the file's
+    first rows. So one pass that counts is enough, as Arrow batches that are mostly handed on.
     """
-    raw = F.col("value")
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_top"),
-        F.monotonically_increasing_id().alias("_id"),
-        (raw if encoding.upper() in ("UTF-8", "UTF8") else F.decode(raw.cast("binary"), encoding)).alias("_line"))
-    first = lines.where("_top").groupBy("_file").agg(F.min("_id").alias("_first"))
-    place = F.when(F.col("_top") & (F.col("_id") - F.col("_first") <= skip_rows), F.col("_id") - F.col("_first"))
-    return lines.join(first, "_file", "left").select("_file", "_line", place.alias("_at"))
-
-
-def _placed_records(spark: SparkSession, path: str | Sequence[str], skip_rows: int, encoding: str, width: int) -> DataFrame:
-    """As ``_placed_lines``, with the fields ``_c0`` ... of records that may hold line breaks; blank lines are no records."""
-    fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    rows = spark.read.option("encoding", encoding).option("header", False).option("multiLine", True).option("escape", "\"").schema(fields).csv(path).select(
-        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"), *fields.names)
-    first = rows.groupBy("_file").agg(F.min("_id").alias("_first"))
-    place = F.when(F.col("_id") - F.col("_first") <= skip_rows, F.col("_id") - F.col("_first"))
-    return rows.join(first, "_file").select("_file", place.alias("_at"), *fields.names)
+    kept = rows.columns
+    marked = rows.select(*[F.col(f"`{c}`") for c in kept], F.xxhash64("_metadata.file_path").alias("_file"),
+                         (F.col("_metadata.file_block_start") == 0).alias("_top"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seen = None, 0
+        for batch in batches:
+            at, out = 0, batch.select(kept)
+            files, tops = batch.column("_file").to_numpy(), batch.column("_top").to_numpy(zero_copy_only=False)
+            # Where another split begins.
+            edges = [*((files[1:] != files[:-1]) | (tops[1:] != tops[:-1])).nonzero()[0] + 1, len(files)]
+            for end in edges:
+                if at < end:
+                    place = (files[at], tops[at])
+                    if place != current:
+                        current, seen = place, 0
+                    drop = min(max(skip - seen, 0), end - at) if tops[at] else 0
+                    seen += int(end - at)
+                    if at + drop < end:
+                        yield out.slice(at + drop, end - at - drop)
+                at = end
+
+    return marked.mapInArrow(run, rows.schema)
 
 
 def _one_header(headers: Sequence[Sequence[str | None]], path: str | Sequence[str]) -> list[str]:
@@ -95,7 +169,8 @@ def read_csv_table(
 
     ``skip_rows`` title lines, blank ones counted, stand above the header of
     every file; title and header are left out by their place in the file, never by
-    their content. Files of one folder must have the same cleaned header.
+    their content. Files of one folder must have the same cleaned header. The driver reads
+    the headers from the files' first bytes; the body is one scan.
     Files are split by lines, in any encoding that holds ASCII as it is; a quoted
     field with a line break is an error then. ``multi_line`` reads such files, one
     task each, and counts records instead of lines. A missing path is logged and gives an
@@ -103,23 +178,22 @@ def read_csv_table(
     """
     try:
         if multi_line:
-            widest = _placed_records(spark, path, skip_rows, encoding, 1000).where(F.col("_at") == skip_rows).select(
-                "_file", F.array(*[f"_c{i}" for i in range(1000)]).alias("_h"))
-            heads = [r["_h"] for r in widest.collect()]
-            width = max((max((i + 1 for i, x in enumerate(h) if x is not None), default=1) for h in heads), default=1)
-            names = _one_header([h[:width] for h in heads], path)
-            placed = _placed_records(spark, path, skip_rows, encoding, width)
-            files, rows = placed, placed.where("_at is null").select(*[f"_c{i}" for i in range(width)])
+            probe = spark.read.option("encoding", encoding).text(path)
+            names = _one_header(_heads(spark, probe, _first_record, skip_rows, encoding, path), path)
+            fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+            records = spark.read.option("encoding", encoding).option("header", False).option("multiLine", True).option(
+                "escape", "\"").option("maxColumns", max(len(names) + 1, 20480)).schema(fields).csv(path)
+            rows = _below_top(records, skip_rows + 1)
         else:
-            placed = files = _placed_lines(spark, path, skip_rows, encoding)
-            heads = placed.where(F.col("_at") == skip_rows).select("_file", "_line").collect()
-            names = _one_header([next(csv.reader([r["_line"]]), []) for r in heads], path)
+            lines = spark.read.text(path)
+            names = _one_header(_heads(spark, lines, _first_line, skip_rows, encoding, path), path)
+            raw = F.col("value")
+            text = raw if encoding.upper() in ("UTF-8", "UTF8") else F.decode(raw.cast("binary"), encoding)
+            below = _below_top(lines, skip_rows + 1).select(text.alias("_line")).where("_line <> ''")
             fields = ", ".join(f"_c{i} string" for i in range(len(names)))
             line = F.when(F.regexp_like("_line", F.lit(WHOLE_LINE)), F.col("_line")).otherwise(F.raise_error(
                 F.concat(F.lit("a quoted field goes on behind this line; read with multi_line: "), F.col("_line"))))
-            rows = placed.where("_at is null and _line <> ''").select(F.from_csv(line, fields, {"escape": "\""}).alias("_r")).select("_r.*")
-        if len(heads) < files.select("_file").distinct().count():
-            raise ValueError(f"a file without header line in {path}")
+            rows = below.select(F.from_csv(line, fields, {"escape": "\"", "maxColumns": str(max(len(names) + 1, 20480))}).alias("_r")).select("_r.*")
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err) or schema is None:
             raise

@@ -137,3 +137,39 @@ def test_latin_1_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("Größe\nName,é%\nÄ,1\n".encode("latin-1"))
     got = csv.read_csv_table(spark, str(tmp_path), skip_rows=1, encoding="ISO-8859-1")
     assert got.columns == ["name", "épct"] and got.first()[0] == "Ä"
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_very_many_columns(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text(",".join(f"c{i}" for i in range(1200)) + "\n" + ",".join(str(i) for i in range(1200)) + "\n")
+    got = csv.read_csv_table(spark, str(tmp_path), multi_line=multi_line)
+    assert got.columns == [f"c{i}" for i in range(1200)] and list(got.first()) == [str(i) for i in range(1200)]
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_one_scan(spark, tmp_path, multi_line):
+    for name in "abc":
+        (tmp_path / f"{name}.csv").write_text(f"title {name}\nk,v\n" + "".join(f"{name}{i},{i}\n" for i in range(50)))
+    got = csv.read_csv_table(spark, str(tmp_path), skip_rows=1, multi_line=multi_line)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
+    assert got.count() == 150
+
+
+def test_titles_are_counted_in_every_file_of_a_task(spark, tmp_path):
+    """Small files share a task and batches; compressed ones and names with spaces are read alike."""
+    import gzip
+
+    for i in range(40):
+        (tmp_path / f"f {i}.csv").write_text("same\nk,v\n" + "same\nk,v\nx,1\n" * (i % 3))
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write("same\r\nk,v\r\nx,1\r\n")
+    got = table_of(spark, tmp_path, skip_rows=1)
+    n = sum(i % 3 for i in range(40))
+    assert got == sorted([("x", "1")] * (n + 1) + [("k", "v")] * n + [("same", None)] * n, key=str)
+
+
+def test_long_titles(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("t" * 200_000 + "\nk,v\nx,1\n")
+    assert table_of(spark, tmp_path, skip_rows=1) == [("x", "1")]
+    assert table_of(spark, tmp_path, skip_rows=1, multi_line=True) == [("x", "1")]

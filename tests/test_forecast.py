@@ -178,3 +178,70 @@ def test_autoregression_merges_copies_of_a_period(spark):
     plain = O.forecast_arima110(spark.createDataFrame(data, "e string, t int, v double"), p).collect()
     doubled = O.forecast_arima110(spark.createDataFrame([*data, ("a", 3, 4.0), ("a", 3, 6.0)], "e string, t int, v double"), p).collect()
     assert plain == doubled
+
+
+def test_exact_likelihood_is_highest(spark):
+    """No coefficient of a fine grid is likelier than the one of the cubic, and the spread is that of the likelihood."""
+    rng = np.random.default_rng(8)
+    series = {f"s{i}": np.cumsum(rng.normal(0, 1, 4 + i % 9)) for i in range(30)} | {"line": np.arange(8.0) * 2, "flat": np.ones(6), "zigzag": [0, 1, 0, 1, 0, 1, 0.0]}
+    got = {r.e: r for r in O.forecast_arima110(frame(spark, **series), p, h=2).where("step = 1").collect()}
+    grid = np.linspace(-0.99999, 0.99999, 200_001)
+    for e, y in series.items():
+        d = np.diff(np.asarray(y, float))
+        m, total, cross, inside = len(d), d @ d, d[1:] @ d[:-1], d[1:-1] @ d[1:-1]
+        if not total:
+            assert got[e].yhat == y[-1]
+            continue
+        with np.errstate(divide="ignore"):
+            gain = -m / 2 * np.log(np.maximum(total - 2 * grid * cross + grid ** 2 * inside, 1e-300) / m) + np.log(1 - grid ** 2) / 2
+        phi = grid[np.argmax(gain)]
+        assert got[e].yhat == pytest.approx(y[-1] + d[-1] * phi, abs=1e-4 * max(1, abs(d[-1])))
+        yhat, spread = O.arima_steps(np.asarray(y, float), 2)
+        assert got[e].yhat == pytest.approx(yhat[0], abs=1e-7) and (got[e].hi95 - got[e].yhat) / 1.96 == pytest.approx(spread[0], abs=1e-6)
+
+
+def test_least_squares_stays_an_option(spark):
+    y = np.array([3.0, 8, 5, 9, 4, 11, 6])
+    d = np.diff(y)
+    got = O.forecast_arima110(frame(spark, a=y), p, h=1, method="least_squares").first()
+    assert got.yhat == pytest.approx(y[-1] + d[-1] * (d[1:] @ d[:-1]) / (d[:-1] @ d[:-1]))
+    with pytest.raises(ValueError):
+        O.forecast_arima110(frame(spark, a=y), p, method="moments")
+
+
+def test_aliased_regressors(spark):
+    """A constant, a copy, a sum and a scaled copy have empty rows; the others are those of a fit without them."""
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.normal(size=50), "b": rng.normal(size=50) * 1e6})
+    pdf["y"] = 1 + pdf["a"] - 2e-6 * pdf["b"] + rng.normal(size=50)
+    pdf = pdf.assign(one=3.3, copy=pdf["a"], total=pdf["a"] + 1e-6 * pdf["b"], scaled=pdf["b"] * 7 + 5)
+    df = spark.createDataFrame(pdf)
+    plain = ols_coefficients(df, "y", ["a", "b"]).toPandas().set_index("term")
+    got = ols_coefficients(df, "y", ["one", "a", "copy", "b", "total", "scaled"]).toPandas().set_index("term")
+    for term in ("one", "copy", "total", "scaled"):
+        assert got.loc[term, ["estimate", "std_error", "statistic", "p_value", "conf_low", "conf_high"]].isna().all()
+    for term in ("a", "b", "(Intercept)"):
+        assert got.loc[term].tolist() == pytest.approx(plain.loc[term].tolist(), rel=1e-8)
+    assert set(got["dof"]) == {47}
+
+
+def test_regression_by_group(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"g": [f"g{i % 5}" if i % 5 else None for i in range(200)], "x": rng.normal(size=200), "y": rng.normal(size=200)})
+    pdf.loc[pdf["g"] == "g1", "x"] = 2.0
+    got = ols_coefficients(spark.createDataFrame(pdf), "y", ["x"], by=["g"]).collect()
+    assert len(got) == 10
+    for g in (None, "g2", "g3", "g4"):
+        some = pdf[pdf["g"].isna() if g is None else pdf["g"] == g]
+        slope, base = np.polyfit(some["x"], some["y"], 1)
+        assert {r.term: r.estimate for r in got if r.g == g} == pytest.approx({"x": slope, "(Intercept)": base})
+    assert {r.term: r.estimate is None for r in got if r.g == "g1"} == {"x": True, "(Intercept)": False}
+    assert ols_coefficients(spark.createDataFrame(pdf), "y", ["x"], by=["g"], min_rows=41).count() == 0
+
+
+def test_perfect_fit_and_no_degrees_of_freedom(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(12)], "x double, y double")
+    got = {r.term: r for r in ols_coefficients(df, "y", ["x"]).collect()}
+    assert got["x"].estimate == pytest.approx(2) and got["(Intercept)"].estimate == pytest.approx(1)
+    two = {r.term: r for r in ols_coefficients(df.limit(2), "y", ["x"], min_rows=2).collect()}
+    assert two["x"].estimate == pytest.approx(2) and two["x"].std_error is None and two["x"].p_value is None and two["x"].dof == 0
