@@ -40,6 +40,15 @@ CASES = {
     "<article><p>cut <a href='x": "cut",
     "<p>line<br>break<hr>after": "line break\n\nafter",
     "<title>t</title><body>text": "text",
+    "<div class='layout has-sidebar'><article><p>The body text.</p></article></div>": "The body text.",
+    "<div class='no-comments'><article><p>x": "x",
+    "<div class='sidebar'><main><p>held by a sidebar": "held by a sidebar",
+    "<body class='nav-open'><div id='comments-on'><p>text": "text",
+    "<main><h1>T</h1><p>Long body of the page</p><article class='card'>teaser</article></main>": "T\n\nLong body of the page\n\nteaser",
+    "<div><p>A body in a plain element, of some length</p></div><article>small</article>": "A body in a plain element, of some length\n\nsmall",
+    "<form id=f><article><p>whole page in a form</p></article></form>": "whole page in a form",
+    "<div class='mainNav top-menu'>m</div><div class='cookie-box2'>c</div><p>x</p>": "x",
+    "<article><p>x</p></article><div class='comments-list'><article>a much longer comment than the article is</article></div>": "x",
     "": "", "no tags at all": "no tags at all", "<article></article>": "", "</p></div>x": "x",
     "<article><pre>a\n  b</pre><blockquote>q</blockquote></article>": "a b\n\nq",
 }
@@ -70,6 +79,37 @@ def test_copies_of_an_article_stay(spark):
     assert sorted(set(got)) == [f"Same\n\nShared story.\n\n{i}" for i in range(3)]
 
 
+def test_recurring_subtrees_inside_an_article_go(spark):
+    """A line of every page that stands in articles of different contents."""
+    rows = [page(i, f"<article><h1>Title {i}</h1><p>The long story of number {i} is told here.</p><div>Written by our staff</div>"
+                 f"<p>Read us daily.</p></article>") for i in range(12)]
+    got = {r.page_id: r.text for r in s.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"Title {i}\n\nThe long story of number {i} is told here." for i in range(12)}
+
+
+def test_passages_that_articles_share_stay(spark):
+    rows = [page(i, f"<article><p>The long story of number {i} is told here.</p>{'<p>A shared passage.</p>' if i % 3 == 0 else ''}</article>")
+            for i in range(60)]
+    got = {r.page_id: r.text for r in s.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(("A shared passage." in got[i]) == (i % 3 == 0) for i in range(60))
+
+
+def test_copies_of_an_article_in_varying_surroundings_stay(spark):
+    rows = [page(i, f"<div>seen {i} times</div><article><p>A passage of the copied article.</p><p>And its longest passage of all.</p></article>")
+            for i in range(30)]
+    got = {r.text for r in s.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {"A passage of the copied article.\n\nAnd its longest passage of all."}
+
+
+def test_templates_by_a_join_are_the_same(spark):
+    rows = [page(i, f"<div>Our sidebar</div><p>story {i}</p><ul><li><a href='/'>home</a></ul>") for i in range(20)]
+    rows += [page(i, f"<div>Their sidebar</div><div>story {i}</div>", "b.example") for i in range(20)] + [(1, None, None)]
+    frame = spark.createDataFrame(rows, PAGES).withColumn("_page", F.lit("p")).withColumn("_template", F.lit("t"))
+    shared, joined = ([tuple(r) for r in s.extract(frame, shared_rows=n).orderBy("page_id", "url").collect()] for n in (1000, 0))
+    assert shared == joined and sum(r[-1].startswith("story") for r in shared) == 40
+    assert all(r[3:5] == ("p", "t") for r in shared)
+
+
 def test_copies_of_a_page_are_one_page(spark):
     """Repeated rows and copies under other URLs, without an article, among others of the host."""
     rows = [page(1, "<div>said often</div>")] * 30 + [page(i, "<div>copied</div>") for i in range(100, 130)]
