@@ -188,6 +188,20 @@ def box_stats_hot(spark, sf):
     return rounded(S.box_stats(P.table(spark, sf, "events"), ["event_type"], "value", strategy="hot"))
 
 
+@query("ordered_list_hot", sql("""
+select event_type, count(*) as n, length(string_agg(event_id || ': ' || user_id, ' | ' order by value desc nulls last, event_id || ': ' || user_id desc)) as n_chars,
+       md5(string_agg(event_id || ': ' || user_id, ' | ' order by value desc nulls last, event_id || ': ' || user_id desc)) as digest
+from events group by event_type
+"""))
+def ordered_list_hot(spark, sf):
+    """The digest of all events of a type in order of their value: five lines that hold the whole table."""
+    df = P.table(spark, sf, "events").withColumn("key", F.col("event_id").cast("string"))
+    lists = S.ordered_list(df, ["event_type"], "key", "value", F.col("user_id").cast("string"), strategy="hot")
+    counts = df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(lists, "event_type").select(
+        "event_type", "n", F.length("listing").cast("bigint").alias("n_chars"), F.md5(F.col("listing").cast("binary")).alias("digest"))
+
+
 @query("ordered_list", sql(f"""
 select period, string_agg(entity || ': ' || {shown('value / 1000000', 1)}, ' | ' order by value desc) as listing
 from p1 where entity in ('NATION_0', 'NATION_1', 'NATION_2') group by period

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.classify import event_period
-from panelkit.operators.hotgroups import exact_quantiles
+from panelkit.operators.hotgroups import exact_quantiles, pieces_for
 from panelkit.operators.keys import join_keys
+from panelkit.session import materialise
 from panelkit.spec import PanelSpec
 
 
@@ -157,14 +158,29 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str, strategy: str = "pan
 
 
 def ordered_list(df: DataFrame, by: Sequence[str], label: str, value: str, text: Column, separator: str = " | ",
-                 out: str = "listing") -> DataFrame:
-    """``label: text`` items of each group in one string, highest value first.
+                 out: str = "listing", strategy: str = "panel", pieces: int | None = None) -> DataFrame:
+    """``label: text`` items of each group in one string, highest value first, missing values last.
 
-    ``by`` is a reporting cell: its items are what one line of a report shows.
+    Equal values go by falling text, items without a text are left out. ``"panel"`` takes
+    a group in one task: right for a reporting cell, whose items one line shows. ``"hot"``
+    cuts the order of all rows into stretches, joins the items of a group inside each stretch,
+    and then the stretches' strings, so that no task holds more than a stretch and one string.
     """
-    item = F.struct(F.col(value).alias("v"), F.concat(F.col(label), F.lit(": "), text).alias("t"))
-    items = F.sort_array(F.collect_list(item), asc=False)
-    return df.groupBy(*by).agg(F.concat_ws(separator, F.transform(items, lambda i: i["t"])).alias(out))
+    groups = [F.col(c) for c in by]
+    if strategy == "panel":
+        item = F.struct(F.col(value).alias("v"), F.concat(F.col(label), F.lit(": "), text).alias("t"))
+        items = F.sort_array(F.collect_list(item), asc=False)
+        return df.groupBy(*groups).agg(F.concat_ws(separator, F.transform(items, lambda i: i["t"])).alias(out))
+    rows = df.select(*groups, F.col(value).alias("_v"), F.concat(F.col(label), F.lit(": "), text).alias("_t"))
+    order = [F.col("_v").desc_nulls_last(), F.col("_t").desc_nulls_last()]
+    cut = materialise(rows.repartitionByRange(pieces or pieces_for(df), *[F.col(c) for c in by], *order).withColumn(
+        "_stretch", F.spark_partition_id()), "stretches")
+    # The rows of a group in a stretch are in one partition, so their items are as many as a stretch has at most.
+    inside = F.sort_array(F.collect_list(F.struct(F.col("_v").alias("v"), F.col("_t").alias("t"))), asc=False)
+    parts = cut.groupBy(*by, "_stretch").agg(F.transform(inside, lambda i: i["t"]).alias("_items")).select(
+        *by, "_stretch", F.when(F.exists("_items", lambda t: t.isNotNull()), F.concat_ws(separator, "_items")).alias("_part"))
+    whole = F.array_sort(F.collect_list(F.struct(F.col("_stretch").alias("s"), F.col("_part").alias("p"))))
+    return parts.groupBy(*by).agg(F.concat_ws(separator, F.transform(whole, lambda x: x["p"])).alias(out))
 
 
 def equal_width_bins(df: DataFrame, by: Sequence[str], value: str, n: int = 5, out: str = "bin") -> DataFrame:

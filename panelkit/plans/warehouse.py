@@ -19,7 +19,7 @@ from panelkit.operators.forecast import forecast_auto
 from panelkit.plans import enriched, marts, reports, staging
 from panelkit.plans.domain import DEFAULT, Domain
 from panelkit.sources.csv import TOTAL_LABELS, filter_total_rows, read_csv_table
-from panelkit.sources.tables import path_exists, read_table, write_table
+from panelkit.sources.tables import path_exists, read_table, write_measured, write_table
 from panelkit.spec import PanelSpec
 
 log = logging.getLogger(__name__)
@@ -92,16 +92,29 @@ def load(spark: SparkSession, paths: Mapping[str, str], out: str) -> dict[str, i
     return rows
 
 
-def run(spark: SparkSession, out: str, domain: Domain = DEFAULT) -> dict[str, DataFrame]:
-    """Build staged, enriched and mart tables from the raw ones under ``out``."""
+def run(spark: SparkSession, out: str, domain: Domain = DEFAULT, failures: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """Build staged, enriched and mart tables from the raw ones under ``out``.
+
+    With ``failures`` the standard checks are made on the way, and their failures put
+    there by name: those of rows are summed up while a table is written, keys are
+    counted in one pass over the written table.
+    """
     tables: dict[str, DataFrame] = {}
+    checks = [] if failures is None else standard_checks(domain)
 
     def raw(name: str) -> DataFrame:
         return read_table(spark, f"{out}/raw/{name}")
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, f"{out}/{name}")
+        own = [c for c in checks if c.table == name]
+        keys = [c for c in own if isinstance(c, Q.Unique)]
+        scalars = [c for c in own if not isinstance(c, Q.Unique)]
+        found = write_measured(df, f"{out}/{name}", {f"c{i}": Q.measured(c) for i, c in enumerate(scalars)})
         tables[name] = read_table(spark, f"{out}/{name}")
+        if failures is not None:
+            failures.update({c.name: failures.get(c.name, 0) + found[f"c{i}"] for i, c in enumerate(scalars)})
+            if keys:
+                failures.update({r["check"]: r["failures"] for r in Q.unique_counts(tables[name], keys).collect()})
         return tables[name]
 
     people = put("staging/population", staging.stage_population(raw("population"), domain))

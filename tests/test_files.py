@@ -173,3 +173,56 @@ def test_long_titles(spark, tmp_path):
     (tmp_path / "a.csv").write_text("t" * 200_000 + "\nk,v\nx,1\n")
     assert table_of(spark, tmp_path, skip_rows=1) == [("x", "1")]
     assert table_of(spark, tmp_path, skip_rows=1, multi_line=True) == [("x", "1")]
+
+
+def failing(spark, n):
+    """A frame whose last row can not be computed."""
+    return spark.range(n).select(F.when(F.col("id") < n - 1, F.col("id")).otherwise(F.raise_error(F.lit("no such row"))).alias("id"))
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(10), path)
+    with pytest.raises(Exception, match="no such row"):
+        tables.write_table(failing(spark, 5), path)
+    assert tables.read_table(spark, path).count() == 10
+    assert [x.name for x in tmp_path.iterdir()] == ["t"]
+    # A table may be replaced by what is read from it.
+    assert tables.write_table(tables.read_table(spark, path).where("id < 3"), path) == 3
+    assert tables.read_table(spark, path).count() == 3
+
+
+def test_metrics_of_a_write(spark, tmp_path):
+    found = tables.write_measured(spark.range(10), str(tmp_path / "t"), {"odd": F.count_if(F.col("id") % 2 == 1), "most": F.max("id")})
+    assert found == {"rows": 10, "odd": 5, "most": 9}
+
+
+def test_published_versions(spark, tmp_path):
+    path, now = str(tmp_path / "mart"), [0.0]
+    first = tables.publish(spark.range(1), path)
+    reader = tables.Published(spark, path, max_age=300, clock=lambda: now[0])
+    old = reader.read()
+    second = tables.publish(spark.range(2), path)
+    assert reader.read() is old and old.count() == 1 and reader.version == first
+    now[0] = 299.9
+    assert reader.read().count() == 1
+    now[0] = 300.0
+    assert reader.read().count() == 2 and reader.version == second == tables.current_version(spark, path)
+    # Looked again, nothing new: the same frame for another 300 seconds.
+    now[0] = 700.0
+    same = reader.read()
+    assert reader.read() is same
+    with pytest.raises(Exception, match="no such row"):
+        tables.publish(failing(spark, 5), path)
+    assert tables.current_version(spark, path) == second and tables.Published(spark, path).read().count() == 2
+    tables.publish(spark.range(3), path)
+    kept = sorted(x.name for x in (tmp_path / "mart").iterdir() if x.name.startswith("version-") and any(x.glob("*.parquet")))
+    assert first not in kept and second in kept and tables.Published(spark, path).read().count() == 3
+
+
+def test_keys_are_counted_in_one_pass(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, None, 2), (None, "a", 2), (None, "a", 2), (2, "b", None)], "x int, y string, z int")
+    checks = [Q.Unique("t", c) for c in (("x",), ("y", "x"), ("x", "y"), ("z",), ("x", "y", "z"), ("x",))]
+    found = Q.unique_counts(df, checks)
+    assert [r["failures"] for r in found.collect()] == [Q.failing_rows({"t": df}, c).count() for c in checks]
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1

@@ -98,6 +98,18 @@ def test_all_78_checks(refreshed):
     assert failed == {}
 
 
+def test_checks_while_writing(spark, refreshed, tmp_path):
+    """The same results as by reading every table again, and the failures of a rule that does not hold."""
+    import shutil
+
+    source = next(iter(refreshed[1].values())).inputFiles()[0].removeprefix("file://").split("/staging/")[0]
+    shutil.copytree(f"{source}/raw", tmp_path / "raw")
+    failures = {}
+    tables = warehouse.run(spark, str(tmp_path), failures=failures)
+    again = {r["check"]: 0 for r in warehouse.check(tables).collect()}
+    assert failures == again and len(failures) >= 79
+
+
 def test_overview(refreshed):
     rows = refreshed[1]["marts/focus_overview"].orderBy("fiscal_year").collect()
     assert [r.fiscal_year for r in rows] == list(YEARS)

@@ -151,3 +151,14 @@ def test_pivot_and_coverage(spark, rows):
     assert [tuple(r) for r in shape.pivot_heatmap(df, p, [1, 2]).collect()] == [("a", 2.0, 4.0), ("b", 3.0, None)]
     assert rows(shape.pivot_gap(df, p, "a", "b"), "t", "gap") == [(1, -1.0), (2, None)]
     assert rows(shape.coverage(df, p, ["v"]), "e", "n_rows", "n_periods", "has_v") == [("a", 2, 2, True), ("b", 1, 1, True)]
+
+
+def test_ordered_list_of_hot_groups(spark):
+    """A third of all rows in one group, equal values, missing values and texts: as by sorting in one task."""
+    rows = [("hot" if i % 3 == 0 else f"g{i % 40}", f"e{i}" if i % 17 else None, None if i % 11 == 0 else float(i * 37 % 50)) for i in range(3000)]
+    df = spark.createDataFrame([*rows, (None, "x", 1.0), ("empty", None, 1.0)], "t string, e string, v double").repartition(4)
+    text = F.coalesce(F.format_string("%.1f", "v"), F.lit("none"))
+    plain = {r.t: r.listing for r in shape.ordered_list(df, ["t"], "e", "v", text).collect()}
+    hot = shape.ordered_list(df, ["t"], "e", "v", text, strategy="hot", pieces=13)
+    assert {r.t: r.listing for r in hot.collect()} == plain
+    assert plain["empty"] == "" and plain[None] == "x: 1.0"
