@@ -210,6 +210,21 @@ def forecast_auto_aicc(spark, sf):
     return rounded(O.forecast_auto(millions(spark, sf), P.P1, H, choose="aicc"), 3)
 
 
+@query("forecast_models")
+def forecast_models(spark, sf):
+    """The best of six smoothing models for every nation by likelihood; tests compare them with a plain version."""
+    return rounded(O.forecast_auto(millions(spark, sf), P.P1, H, choose="models"), 3)
+
+
+@query("forecast_models_customers")
+def forecast_models_customers(spark, sf):
+    """The same for the yearly spending of every customer: as many series as customers, fitted together."""
+    spent = P.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("period"), F.col("o_totalprice").alias("value"))
+    yearly = spent.groupBy("entity", "period").agg((F.sum(F.floor(F.col("value") * 100 + 0.5)) / 100000).alias("value"))
+    return rounded(O.forecast_auto(yearly, P.P1, H, choose="models"), 3)
+
+
 @query("forecast_compare", sql(f"""
 select entity, (aicc.last_t + k)::integer as period,
        {", ".join(f"{r(f'level + slope * k + {z} * spread', 3)} as ets_{c}" for c, z in (("yhat", "0"), ("lo80", "-1.28"), ("hi80", "1.28"), ("lo95", "-1.96"), ("hi95", "1.96")))},

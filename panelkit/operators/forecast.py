@@ -1,8 +1,8 @@
 """Short-horizon forecasts and trend tests for every series of a panel.
 
 The linear and ARIMA models are closed forms over aggregates, so Spark combines
-them before it shuffles. Exponential smoothing needs an optimiser and runs once
-per series in a grouped map; a series there has one row per period.
+them before it shuffles. Exponential smoothing needs an optimiser, which moves all
+series of a group at once; a series there has one row per period.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.functions.numeric import bound, t_quantile, two_sided_p
+from panelkit.operators.hotgroups import pieces_for
+from panelkit.operators.smoothing import MODELS, best_smooth_many, choose_model, smooth_many, smoothing_steps
 from panelkit.spec import PanelSpec
 
 # Send the grouped-map functions below to the workers by value: executors then
@@ -29,6 +31,8 @@ ETS_NAME = "Exponential Smoothing (additive trend)"
 ARIMA_NAME = "ARIMA(1,1,0)"
 LINEAR_NAME = "Linear extrapolation"
 MIN_POINTS = 4
+# Groups of series that are fitted together, for each piece of the input.
+SERIES_GROUPS = 4
 
 FORECAST_COLUMNS = ("step", "period", "yhat", "lo80", "hi80", "lo95", "hi95", "model", "success")
 
@@ -185,115 +189,73 @@ def trend_test(df: DataFrame, p: PanelSpec, h: int = 3, level: float = 0.95) ->
 
 # --- exponential smoothing, per series --------------------------------------
 
-def _smoothing_steps(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray | None):
-    """The recursion on the data and on unit starts, point by point.
-
-    One-step errors are linear in the initial level and trend; the rows of what
-    is yielded are that linear map: errors, level and trend for the data from a zero
-    start, then for each unit start without data.
-    """
-    trend = beta is not None
-    starts = 2 if trend else 1
-    level = np.zeros((starts + 1, len(alpha)))
-    slope = np.zeros((starts + 1, len(alpha)))
-    level[1] = 1.0
-    if trend:
-        slope[2] = 1.0
-    target = np.zeros((starts + 1, 1))
-    for value in y:
-        ahead = level + slope
-        target[0] = value
-        error = target - ahead
-        new_level = ahead + alpha * error
-        if trend:
-            slope = slope + beta * (new_level - level - slope)
-        level = new_level
-        yield error, level, slope
-
-
 def smooth(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray | None):
-    """Fit level (and trend) smoothing for many parameter pairs at once.
+    """Fit level (and trend) smoothing of one series for many parameter pairs at once.
 
     Sums of products of the errors give, by least squares, the best start for
     each pair, so the memory does not depend on the length of the series.
     Returns the sum of squares, start, last level and last trend per pair.
     """
-    starts = 2 if beta is not None else 1
-    products = np.zeros((len(alpha), starts + 1, starts + 1))
-    error = level = slope = np.zeros((starts + 1, len(alpha)))
-    for error, level, slope in _smoothing_steps(y, alpha, beta):
-        products += error.T[:, :, None] * error.T[:, None, :]
-    gram, cross = products[:, 1:, 1:], products[:, 1:, 0]
-    start = -np.linalg.solve(gram + 1e-12 * np.eye(starts), cross[..., None])[..., 0]
-    whole = np.concatenate([np.ones((len(alpha), 1)), start], axis=1)
-    sse = np.maximum(np.einsum("pi,pij,pj->p", whole, products, whole), 0.0)
-    return sse, start, np.einsum("ip,pi->p", level, whole), np.einsum("ip,pi->p", slope, whole)
+    sse, start, level, slope = smooth_many(np.asarray(y, float)[None], alpha[None], None if beta is None else beta[None])
+    return sse[0], start[0], level[0], slope[0]
 
 
 def residuals(y: np.ndarray, alpha: float, beta: float | None, start: np.ndarray) -> np.ndarray:
     """The one-step errors of one fitted pair."""
     whole = np.concatenate([[1.0], start])
-    steps = _smoothing_steps(y, np.array([alpha]), None if beta is None else np.array([beta]))
-    return np.array([float(whole @ error[:, 0]) for error, _, _ in steps])
+    steps = smoothing_steps(np.asarray(y, float)[None], np.array([[alpha]]), None if beta is None else np.array([[beta]]))
+    return np.array([float(whole @ error[:, 0, 0]) for error, _, _ in steps])
 
 
 def best_smooth(y: np.ndarray, trend: bool, points: int = 21, rounds: int = 3) -> dict:
-    """Grid search over the smoothing weights, refined around the best cell.
+    """``best_smooth_many`` of one series."""
+    found = best_smooth_many(np.asarray(y, float)[None], trend, points, rounds)
+    return {k: v[0] if v[0].ndim else float(v[0]) for k, v in found.items()}
 
-    The trend weight applies to changes of the level, and lies in (0, 1). Sums of
-    squares that agree to eight digits are equal; then the earlier round, the
-    smaller trend weight and the smaller level weight win.
-    """
-    centre, width = (0.5, 0.5), 0.4999
-    best, noise = None, 1e-6 * float(y @ y)
-    for _ in range(rounds):
-        axis = np.linspace(-width, width, points)
-        alphas = np.clip(centre[0] + axis, 1e-4, 0.9999)
-        if trend:
-            betas = np.clip(centre[1] + axis, 1e-4, 0.9999)
-            alpha, beta = (g.ravel() for g in np.meshgrid(alphas, betas))
-        else:
-            alpha, beta = alphas, None
-        sse, start, level, slope = smooth(y, alpha, beta)
-        keys = [float(f"{x:.7e}") for x in sse + noise]
-        i = int(np.argmin(keys))
-        if best is None or keys[i] < best["key"]:
-            best = {"key": keys[i], "start": start[i], "level": float(level[i]), "slope": float(slope[i]),
-                    "alpha": float(alpha[i]), "beta": float(beta[i]) if trend else 0.0}
-        centre, width = (best["alpha"], best["beta"] if trend else 0.5), 2 * width / (points - 1)
-    # The sums lose digits where the fit is close; the errors themselves do not.
-    best["resid"] = residuals(y, best["alpha"], best["beta"] if trend else None, best["start"])
-    best["sse"] = float(best["resid"] @ best["resid"])
-    return best
+
+def ets_many(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray]:
+    """Additive-trend forecasts of many series and their spreads, which grow with sqrt(step)."""
+    fit = best_smooth_many(y, trend=True)
+    steps = np.arange(1, h + 1)
+    yhat = fit["level"][:, None] + fit["slope"][:, None] * steps
+    return yhat, np.std(fit["resid"], axis=1, ddof=1)[:, None] * np.sqrt(steps)
 
 
 def ets_steps(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray]:
-    """Additive-trend forecast and its spread, which grows with sqrt(step)."""
-    fit = best_smooth(y, trend=True)
-    steps = np.arange(1, h + 1)
-    yhat = fit["level"] + fit["slope"] * steps
+    """``ets_many`` of one series."""
+    yhat, spread = ets_many(np.asarray(y, float)[None], h)
     if not np.all(np.isfinite(yhat)):
         raise ArithmeticError("smoothing did not converge")
-    return yhat, np.std(fit["resid"], ddof=1) * np.sqrt(steps)
+    return yhat[0], spread[0]
 
 
-def aicc_steps(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray, str]:
-    """The better of level and additive trend by corrected AIC, with model variances."""
-    n, steps, found = len(y), np.arange(1, h + 1), []
+def aicc_many(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The better of level and additive trend by corrected AIC for many series, with model variances."""
+    n, steps = y.shape[1], np.arange(1, h + 1)
+    if n - 3 - 1 <= 0:
+        raise ArithmeticError("too few points to choose a model")
+    best = np.full(len(y), np.inf)
+    yhat, spread, names = np.zeros((len(y), h)), np.zeros((len(y), h)), [""] * len(y)
     for trend, k in ((False, 3), (True, 5)):
         if n - k - 1 <= 0:
             continue
-        fit = best_smooth(y, trend)
-        score = n * np.log(max(fit["sse"], 1e-300) / n) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
-        found.append((score, trend, k, fit))
-    if not found:
-        raise ArithmeticError("too few points to choose a model")
-    _, trend, k, fit = min(found, key=lambda f: f[0])
-    a, b = fit["alpha"], fit["alpha"] * fit["beta"]
-    growth = (steps - 1) * (a * a + a * b * steps + b * b * steps * (2 * steps - 1) / 6)
-    sigma2 = fit["sse"] / max(n - k + 1, 1)
-    name = "ETS(A,A,N)" if trend else "ETS(A,N,N)"
-    return fit["level"] + fit["slope"] * steps, np.sqrt(sigma2 * (1 + growth)), name
+        fit = best_smooth_many(y, trend)
+        score = n * np.log(np.maximum(fit["sse"], 1e-300) / n) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
+        a, b = fit["alpha"][:, None], (fit["alpha"] * fit["beta"])[:, None]
+        growth = (steps - 1) * (a * a + a * b * steps + b * b * steps * (2 * steps - 1) / 6)
+        sigma2 = fit["sse"] / max(n - k + 1, 1)
+        wins = score < best
+        best[wins] = score[wins]
+        yhat[wins] = (fit["level"][:, None] + fit["slope"][:, None] * steps)[wins]
+        spread[wins] = np.sqrt(sigma2[:, None] * (1 + growth))[wins]
+        names = [("ETS(A,A,N)" if trend else "ETS(A,N,N)") if w else old for w, old in zip(wins, names)]
+    return yhat, spread, names
+
+
+def aicc_steps(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray, str]:
+    """``aicc_many`` of one series."""
+    yhat, spread, names = aicc_many(np.asarray(y, float)[None], h)
+    return yhat[0], spread[0], names[0]
 
 
 def arima_steps(y: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray]:
@@ -340,9 +302,39 @@ def forecast_one(t: np.ndarray, y: np.ndarray, h: int, mode: str):
     return None
 
 
+def forecast_many(series: list[tuple[np.ndarray, np.ndarray]], h: int, mode: str, min_points: int) -> list[tuple | None]:
+    """(model, forecast, spread) of every series of times and values, or None; series of one length are fitted together."""
+    found: list[tuple | None] = [None] * len(series)
+    lengths: dict[int, list[int]] = {}
+    for i, (_, y) in enumerate(series):
+        if len(y) >= min_points:
+            lengths.setdefault(len(y), []).append(i)
+    for places in lengths.values():
+        y = np.stack([series[i][1] for i in places])
+        with np.errstate(all="ignore"):
+            try:
+                if mode == "models":
+                    yhat, spread, number, _ = choose_model(y, h)
+                    names = [MODELS[m][0] if m >= 0 else None for m in number]
+                elif mode == "aicc":
+                    yhat, spread, names = aicc_many(y, h)
+                else:
+                    yhat, spread = ets_many(y, h)
+                    names = [ETS_NAME] * len(y)
+            except (ArithmeticError, ValueError, np.linalg.LinAlgError):
+                names = [None] * len(places)
+        for k, i in enumerate(places):
+            if names[k] is not None and np.all(np.isfinite(yhat[k])):
+                found[i] = names[k], yhat[k], spread[k]
+            elif mode != "models":
+                # One by one, as a series that can not be fitted must not take others with it.
+                found[i] = forecast_one(*series[i], h, mode)
+    return found
+
+
 def _per_series(df: DataFrame, p: PanelSpec, h: int, min_points: int, mode: str) -> DataFrame:
-    # One mean per period first: combined before the shuffle, and a group in
-    # the grouped map is then no longer than the number of periods.
+    # One mean per period first: combined before the shuffle. Series are then dealt into
+    # groups that a task fits together; there are more groups the larger the input is.
     rows = _observed(df, p).where(F.col("t").isNotNull()).groupBy(*p.series, "t").agg(F.avg("v").alias("v"))
     series = list(p.series)
     by_name = {f.name: f.dataType for f in rows.schema.fields}
@@ -354,22 +346,33 @@ def _per_series(df: DataFrame, p: PanelSpec, h: int, min_points: int, mode: str)
     )
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = {c: pdf[c].iloc[0] for c in series}
-        pdf = pdf.dropna(subset=["v"]).sort_values("t")
-        t, y = pdf["t"].to_numpy(float), pdf["v"].to_numpy(float)
-        found = forecast_one(t, y, h, mode) if len(y) >= min_points else None
-        if found is None:
-            return pd.DataFrame([{**key, "step": None, "period": None, "yhat": None, "lo80": None, "hi80": None,
-                                  "lo95": None, "hi95": None, "model": "None", "success": False}])
-        model, yhat, spread = found
+        which = pdf.groupby(series, dropna=False, sort=False).ngroup().to_numpy() if series else np.zeros(len(pdf), int)
+        t, v = pdf["t"].to_numpy(float), pdf["v"].to_numpy(float)
+        order = np.lexsort((t, which))
+        t, v, which = t[order], v[order], which[order]
+        begins = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+        ends = np.append(begins[1:], len(which))
+        points = [(t[x:y][~np.isnan(v[x:y])], v[x:y][~np.isnan(v[x:y])]) for x, y in zip(begins, ends)]
+        found = forecast_many(points, h, mode, min_points)
         steps = np.arange(1, h + 1)
-        return pd.DataFrame({
-            **key, "step": steps, "period": int(t[-1]) + steps, "yhat": yhat,
-            "lo80": yhat - Z80 * spread, "hi80": yhat + Z80 * spread,
-            "lo95": yhat - Z95 * spread, "hi95": yhat + Z95 * spread, "model": model, "success": True,
-        })
-
-    return rows.groupBy(*series).applyInPandas(fit, schema)
+        keys, out = [], {c: [] for c in schema.names[len(series):]}
+        for first, (at, _), one in zip(order[begins], points, found):
+            n = h if one else 1
+            keys.extend([first] * n)
+            yhat, spread = (one[1], one[2]) if one else ([None], None)
+            values = {"step": steps if one else [None], "period": int(at[-1]) + steps if one else [None], "yhat": yhat,
+                      "model": [one[0] if one else "None"] * n, "success": [bool(one)] * n}
+            for name, z in (("lo80", -Z80), ("hi80", Z80), ("lo95", -Z95), ("hi95", Z95)):
+                values[name] = yhat + z * spread if one else [None]
+            for c, x in values.items():
+                out[c].extend(list(x))
+        back = {c: pdf[c].iloc[keys].to_numpy() for c in series}
+        return pd.DataFrame({**back, **{c: pd.Series(out[c], dtype=object if c in ("model", "success") else "Int32" if c in ("step", "period") else float)
+                                        for c in schema.names[len(series):]}})
+
+    groups = SERIES_GROUPS * pieces_for(df)
+    dealt = rows.withColumn("_deal", F.pmod(F.xxhash64(*series) if series else F.lit(0), F.lit(groups)))
+    return dealt.groupBy("_deal").applyInPandas(fit, schema)
 
 
 def forecast_ets(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = MIN_POINTS) -> DataFrame:
@@ -378,9 +381,10 @@ def forecast_ets(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = MIN_
 
 
 def forecast_auto(df: DataFrame, p: PanelSpec, h: int = 3, min_points: int = MIN_POINTS, choose: str = "chain") -> DataFrame:
-    """Smoothing, else ARIMA, else a line (``chain``), or level against trend by corrected AIC (``aicc``)."""
-    if choose not in ("chain", "aicc"):
-        raise ValueError("choose must be 'chain' or 'aicc'")
+    """Smoothing, else ARIMA, else a line (``chain``); level against trend by corrected AIC (``aicc``); or
+    the best of the six smoothing models without season by likelihood and corrected AIC (``models``)."""
+    if choose not in ("chain", "aicc", "models"):
+        raise ValueError("choose must be 'chain', 'aicc' or 'models'")
     return _per_series(df, p, h, min_points, choose)
 
 

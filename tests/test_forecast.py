@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import forecast as O
+from panelkit.operators import smoothing as S
 from panelkit.operators.regression import ols_coefficients
 from panelkit.spec import PanelSpec
 
@@ -245,3 +246,117 @@ def test_perfect_fit_and_no_degrees_of_freedom(spark):
     assert got["x"].estimate == pytest.approx(2) and got["(Intercept)"].estimate == pytest.approx(1)
     two = {r.term: r for r in ols_coefficients(df.limit(2), "y", ["x"], min_rows=2).collect()}
     assert two["x"].estimate == pytest.approx(2) and two["x"].std_error is None and two["x"].p_value is None and two["x"].dof == 0
+
+
+def test_batches_give_the_single_answers():
+    """Series fitted together have the numbers they have alone."""
+    rng = np.random.default_rng(6)
+    y = np.cumsum(rng.normal(1, 2, (30, 9)), axis=1) + 50
+    for trend in (False, True):
+        many = S.best_smooth_many(y, trend)
+        for i in range(30):
+            one = O.best_smooth(y[i], trend)
+            assert all(np.allclose(many[k][i], one[k], rtol=1e-9, atol=1e-9) for k in ("alpha", "beta", "sse", "level", "slope"))
+    yhat, spread, number, score = S.choose_model(y, 3)
+    for i in (0, 7, 29):
+        alone = S.choose_model(y[i:i + 1], 3)
+        assert np.allclose(yhat[i], alone[0][0]) and np.allclose(spread[i], alone[1][0]) and number[i] == alone[2][0]
+
+
+def plain_gain(y, relative, trend, alpha, share, phi, level, slope):
+    """-2 log likelihood but for a constant, point by point as in the textbook."""
+    beta = alpha * share if trend != "none" else 0.0
+    phi = phi if trend == "damped" else 1.0
+    slope = slope if trend != "none" else 0.0
+    total = logs = 0.0
+    for value in y:
+        mean = level + phi * slope
+        if relative and mean <= 0:
+            return np.inf
+        error = (value - mean) / mean if relative else value - mean
+        if relative:
+            level, slope = mean * (1 + alpha * error), phi * slope + beta * mean * error
+            logs += 2 * np.log(mean)
+        else:
+            level, slope = mean + alpha * error, phi * slope + beta * error
+        total += error * error
+    return len(y) * np.log(total) + logs
+
+
+def plain_best(y, relative, trend, rng):
+    """The best of many random points, each improved by ever smaller random steps."""
+    best, at = np.inf, None
+    low, high = np.array([1e-4, 1e-4, 0.8, y.min() - 2 * y.std(), -2 * y.std()]), np.array([0.9999, 0.9999, 0.98, y.max() + 2 * y.std(), 2 * y.std()])
+    for _ in range(6):
+        x = rng.uniform(low, high)
+        x[3], x[4] = y[0], (y[-1] - y[0]) / len(y) * rng.integers(0, 2)
+        value, size = plain_gain(y, relative, trend, *x), 0.4
+        for k in range(700):
+            if k % 70 == 69:
+                size /= 2.5
+            step = np.clip(x + rng.normal(0, size, 5) * (high - low) * (rng.random(5) < 0.5), low, high)
+            found = plain_gain(y, relative, trend, *step)
+            if found < value:
+                x, value = step, found
+        if value < best:
+            best, at = value, x
+    return best, at
+
+
+def test_six_models_match_plain_search():
+    """The likelihood of every model is at least that of a long random search, so the winner by corrected AIC is the plain one."""
+    rng = np.random.default_rng(12)
+    shapes = [lambda t: 100 + 0 * t, lambda t: 50 + 4 * t, lambda t: 20 * 1.1 ** t, lambda t: 80 + 30 * (1 - 0.8 ** t)]
+    y = np.stack([shapes[i % 4](np.arange(14.0)) * (1 + rng.normal(0, 0.02 + 0.03 * (i % 3), 14)) for i in range(12)])
+    t = y.shape[1]
+    warm = {}
+    for name, relative, trend, k in S.MODELS:
+        fit = S._fit(y, relative, trend, warm[trend] if relative else None)
+        if not relative:
+            warm[trend] = fit
+        for i in range(len(y)):
+            share = fit["beta"][i] / fit["alpha"][i]
+            own = plain_gain(y[i], relative, trend, fit["alpha"][i], share, fit["phi"][i], fit["level0"][i], fit["slope0"][i])
+            assert own == pytest.approx(fit["gain"][i], abs=1e-6)
+            assert fit["gain"][i] <= plain_best(y[i], relative, trend, rng)[0] + 0.05, (name, i)
+
+
+def test_variances_by_class():
+    """Simulated paths of both error kinds have the variances of the formulas."""
+    rng = np.random.default_rng(5)
+    for relative in (False, True):
+        alpha, beta, phi, sigma, n = 0.4, 0.15, 0.9, 0.05 if relative else 2.0, 200_000
+        level, slope = np.full(n, 100.0), np.full(n, 3.0)
+        paths = []
+        for _ in range(3):
+            mean = level + phi * slope
+            e = rng.normal(0, sigma, n) * (mean if relative else 1)
+            paths.append(mean + e)
+            level, slope = mean + alpha * e, phi * slope + beta * e
+        mean = 100 + 3 * np.cumsum(0.9 ** np.arange(1, 4))
+        got = S.variances(mean[None], np.array([sigma ** 2]), np.array([alpha]), np.array([beta]), np.array([phi]), relative)[0]
+        assert np.allclose(got, np.var(paths, axis=1), rtol=0.02)
+        assert np.allclose(np.mean(paths, axis=1), mean, rtol=0.01)
+
+
+def test_six_models_in_spark(spark):
+    rng = np.random.default_rng(7)
+    growing = [100 * 1.2 ** i * (1 + rng.normal(0, 0.01)) for i in range(14)]
+    df = frame(spark, flat=50 + rng.normal(0, 1, 14), steep=5 * np.arange(14) + rng.normal(0, 1, 14), growing=growing,
+               short=[1, 2, 3], few=[1, 3, 2, 4], negative=-np.arange(14.0) + rng.normal(0, 1, 14))
+    got = {}
+    for r in O.forecast_auto(df, p, choose="models").collect():
+        got.setdefault(r.e, []).append(r)
+    assert {e: rows[0].model for e, rows in got.items() if e in ("flat", "short", "few")} == {"flat": got["flat"][0].model, "short": "None", "few": "None"}
+    assert got["flat"][0].model in ("ETS(A,N,N)", "ETS(M,N,N)") and "A,N" in got["steep"][0].model and "M" not in got["negative"][0].model
+    assert all(len(rows) == 3 and all(r.lo95 < r.lo80 < r.yhat < r.hi80 < r.hi95 for r in rows) for e, rows in got.items() if e not in ("short", "few"))
+
+
+def test_very_many_series_in_one_run(spark):
+    """One job fits 20,000 series in batches; a group without a name is a series of its own."""
+    df = spark.range(20_000 * 6).select(
+        F.when(F.col("id") % 20_000 > 0, (F.col("id") % 20_000).cast("string")).alias("e"), (2000 + F.floor(F.col("id") / 20_000)).cast("int").alias("t"),
+        (F.xxhash64("id") % 1000 / 100 + 50).alias("v"))
+    got = O.forecast_ets(df, p, h=1)
+    assert got.where("success").count() == 20_000
+    assert got.where("e is null").count() == 1
