@@ -18,6 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.llm.names import free_names
 from panelkit.session import materialise
 
 # Weight of a shard, or the shards of a rack, or the racks of a region, by name.
@@ -43,6 +44,10 @@ def weight_of(tree: Tree | float) -> float:
     return sum(map(weight_of, tree.values())) if isinstance(tree, Mapping) else float(tree)
 
 
+def _depth(tree: Tree | float) -> int:
+    return 1 + max(map(_depth, tree.values()), default=0) if isinstance(tree, Mapping) else 0
+
+
 def draw(key: Sequence[Column], children: Mapping[str, Tree | float], path: str) -> Column:
     """The name of the child that wins the draw at node ``path``."""
     def score(name: str, below: Tree | float) -> Column:
@@ -67,6 +72,7 @@ def descend(df: DataFrame, key: Sequence[str], tree: Tree, out: str = "shard") -
     """
     columns = [F.col(f"`{c}`") for c in key]
     level: dict[str, Tree | float] = {"": tree}
+    at = free_names([*df.columns, out], *[f"_at_{i}" for i in range(_depth(tree))])
     step = 0
     while any(isinstance(node, Mapping) for node in level.values()):
         if not all(isinstance(node, Mapping) for node in level.values()):
@@ -77,13 +83,13 @@ def descend(df: DataFrame, key: Sequence[str], tree: Tree, out: str = "shard") -
             if step == 0:
                 chosen = pick
             else:
-                here = F.col(f"_at_{step - 1}_{out}") == path
+                here = F.col(at[step - 1]) == path
                 chosen = F.when(here, pick) if chosen is None else chosen.when(here, pick)
-        df = df.withColumn(f"_at_{step}_{out}", chosen)
+        df = df.withColumn(at[step], chosen)
         level = {f"{path}/{name}": below for path, node in level.items() for name, below in node.items()}
         step += 1
-    name = F.element_at(F.split(F.col(f"_at_{step - 1}_{out}"), "/"), -1)
-    return df.withColumn(out, name).drop(*[f"_at_{i}_{out}" for i in range(step)])
+    name = F.element_at(F.split(F.col(at[step - 1]), "/"), -1)
+    return df.withColumn(out, name).drop(*at)
 
 
 def number_within(df: DataFrame, group: str, out: str = "slot") -> DataFrame:
@@ -93,12 +99,13 @@ def number_within(df: DataFrame, group: str, out: str = "slot") -> DataFrame:
     one partition holds are numbered together, and the counts of the partitions
     before it are added; so no task sees a whole group. Null is a group as well.
     """
-    placed = df.withColumns({"_piece": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    piece, row, key, of, n, shift, place = free_names([*df.columns, out], "_piece", "_row", "_group", "_of", "_n", "_shift", "_place")
+    placed = df.withColumns({piece: F.spark_partition_id(), row: F.monotonically_increasing_id()})
     placed = materialise(placed, "numbered")
-    counts = placed.groupBy(F.col(group).alias("_group"), F.col("_piece").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.select("_group", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy("_piece", group).orderBy("_row")
-    numbered = placed.withColumn("_place", F.row_number().over(inside))
-    return numbered.join(shift, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_piece") == F.col("_of"))).select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("_shift") + F.col("_place") - 1).cast("bigint").alias(out))
+    counts = placed.groupBy(F.col(f"`{group}`").alias(key), F.col(piece).alias(of)).agg(F.count(F.lit(1)).alias(n))
+    earlier = Window.partitionBy(key).orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(key, of, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(shift))
+    inside = Window.partitionBy(piece, F.col(f"`{group}`")).orderBy(row)
+    numbered = placed.withColumn(place, F.row_number().over(inside))
+    return numbered.join(shifts, F.col(f"`{group}`").eqNullSafe(F.col(key)) & (F.col(piece) == F.col(of))).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col(shift) + F.col(place) - 1).cast("bigint").alias(out))

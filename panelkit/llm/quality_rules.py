@@ -107,22 +107,32 @@ def statistics(df: DataFrame, text: str = "text", features: str = "features") ->
     return df.mapInArrow(run, schema)
 
 
-def sample(labels: DataFrame, key: str, label: str, bound: int) -> DataFrame:
-    """About ``bound`` labelled rows, chosen by the hash of their key; all of them if there are fewer."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).cast("int").alias(label))
-    share = bound / max(known.count(), bound)
-    return known if share == 1 else known.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
+def sample(stats: DataFrame, labels: DataFrame, key: str, label: str, features: str, bound: int) -> DataFrame:
+    """Features and labels of ``bound`` documents at most; all of them if there are fewer.
+
+    A key has its highest label. Rows of equal key and features count once. Documents are chosen
+    by the hash of both after they have met their labels, so a key with very many documents is
+    sampled like any others.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.max(F.col(label).cast("int")).alias("_label"))
+    rows = stats.select(F.col(f"`{key}`").alias("_key"), F.col(features).alias("_x")).withColumn("_hash", F.xxhash64("_key", "_x"))
+    rows = rows.join(known, "_key")
+    many = rows.select("_key", "_hash").distinct().count()
+    if many > bound:
+        rows = rows.where(F.pmod("_hash", F.lit(1_000_000)) < int(0.95 * bound / many * 1_000_000))
+    return rows.dropDuplicates(["_key", "_hash"]).orderBy("_key", "_hash").limit(bound).select("_label", "_x")
 
 
 def fit_trees(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", features: str = "features",
               bound: int = SAMPLE) -> Forest:
-    """Trees for the probability of label 1, from about ``bound`` labelled rows.
+    """Trees for the probability of label 1, from at most ``bound`` labelled rows.
 
     Without labelled rows, or with one label only, the trees are a constant.
     """
-    rows = stats.select(key, features).join(sample(labels, key, label, bound), key).orderBy(key).select(label, features).collect()
-    x = np.array([r[features] for r in rows], float).reshape(len(rows), len(FEATURES))
-    return fit(x, np.array([r[label] for r in rows], float), np.array(list(FEATURES.values())))
+    rows = sample(stats, labels, key, label, features, bound).collect()
+    x = np.array([r["_x"] for r in rows], float).reshape(len(rows), len(FEATURES))
+    return fit(x, np.array([r["_label"] for r in rows], float), np.array(list(FEATURES.values())))
 
 
 def score(stats: DataFrame, forest: Forest, features: str = "features", out: str = "score") -> DataFrame:
@@ -143,8 +153,11 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     The rules reject documents under 20 words, and those with over 30 % of words
     in repeated windows. Of the others, those stay that the trees give 0.5 or more;
-    with no labels of both kinds all of them stay.
+    with no labels of both kinds all of them stay. Other columns pass through; names
+    of the new ones are refused.
     """
+    if clash := {"score", "base_failed", "kept"} & set(docs.columns):
+        raise ValueError(f"the frame already has columns {sorted(clash)}")
     stats = materialise(statistics(docs, text), "statistics")
     forest = fit_trees(stats, labels, key, bound=bound)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))

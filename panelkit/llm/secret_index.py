@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm.names import free_names
 from panelkit.llm.trigram_query import Clause, trigram_query
 
 # Put around a match while its place is found; a text's own are replaced first by
@@ -70,7 +71,7 @@ def queries_of(rules: Sequence[Rule]) -> tuple[list[str], list[list[Clause]]]:
 def postings(df: DataFrame, grams: Sequence[str], doc: Column, text: str = "text") -> DataFrame:
     """Rows ``gram`` (its number) and ``doc``: the index of ``grams`` over lower-case texts."""
     # Exploded, the lower-case text is a column of its own and not computed again for every trigram.
-    low = df.select(doc.alias("doc"), F.explode(F.array(F.lower(text))).alias("_low"))
+    low = df.select(doc.alias("doc"), F.explode(F.array(F.lower(F.col(f"`{text}`")))).alias("_low"))
     held = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]))
     return low.select("doc", F.explode(held).alias("gram"))
 
@@ -125,22 +126,23 @@ def scan(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", out:
         raise ValueError(f"the frame already has a column {out}")
     grams, queries = queries_of(rules)
     # Documents with one key would share their candidates, which verification settles.
-    named = df.withColumn("_doc", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    index = postings(named, grams, F.col("_doc"), text)
-    found = candidates(index, grams, queries).withColumnsRenamed({"doc": "_doc", "rules": "_rules"})
-    joined = named.join(found, "_doc", "left")
+    doc, held, whole, *places = free_names([*df.columns, out], "_doc", "_rules", "_clean", *[f"_spans_{i}" for i in range(len(rules))])
+    named = df.withColumn(doc, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    index = postings(named, grams, F.col(doc), text)
+    found = candidates(index, grams, queries).withColumnsRenamed({"doc": doc, "rules": held})
+    joined = named.join(found, doc, "left")
     clean = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     marked = F.contains(clean, F.lit(OPEN)) | F.contains(clean, F.lit(CLOSE))
-    joined = joined.withColumn("_clean", F.when(marked, F.translate(clean, OPEN + CLOSE, STAND_IN * 2)).otherwise(clean))
+    joined = joined.withColumn(whole, F.when(marked, F.translate(clean, OPEN + CLOSE, STAND_IN * 2)).otherwise(clean))
     none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint,kind:string>>")
     for i, rule in enumerate(rules):
-        place = spans_of(F.col("_clean"), i, rule)
+        place = spans_of(F.col(whole), i, rule)
         if queries[i]:
-            place = F.when(F.col("_rules").bitwiseAND(F.lit(1 << i)) != 0, place).otherwise(none)
+            place = F.when(F.col(held).bitwiseAND(F.lit(1 << i)) != 0, place).otherwise(none)
         else:
-            place = F.when(F.regexp_like("_clean", F.lit(rule.pattern)), place).otherwise(none)
-        joined = joined.withColumn(f"_spans_{i}", place)
-    every = F.array_sort(F.concat(*[f"_spans_{i}" for i in range(len(rules))]))
+            place = F.when(F.regexp_like(whole, F.lit(rule.pattern)), place).otherwise(none)
+        joined = joined.withColumn(places[i], place)
+    every = F.array_sort(F.concat(*places))
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], every.alias(out))
 
 

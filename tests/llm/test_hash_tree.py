@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import math
+import struct
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from panelkit.llm import hash_tree
@@ -66,3 +69,39 @@ def test_edge_cases(spark, documents):
     assert hash_tree.number_within(hash_tree.descend(documents([]), ["doc_id"], hash_tree.regular_tree(3)), "shard").collect() == []
     with pytest.raises(ValueError, match="depth"):
         hash_tree.descend(rows, ["doc_id"], {"a": {"0": 1.0}, "1": 1.0})
+
+
+def plain_xxhash64(values, seed=42):
+    """Hash of a long and strings as Spark chains them: each column's hash is the next one's seed."""
+    for v in values:
+        seed = xxhash.xxh64(struct.pack("<q", v) if isinstance(v, int) else v.encode(), seed=seed).intdigest()
+    return seed
+
+
+def plain_place(key, tree, path=""):
+    """The same descent, one key at a time."""
+    while isinstance(tree, dict):
+        if len(tree) == 1:
+            name = next(iter(tree))
+        else:
+            draws = []
+            for child, below in tree.items():
+                u = ((plain_xxhash64([key, f"{path}/{child}"]) >> 11) + 0.5) / (1 << 53)
+                draws.append((-math.log(u) / hash_tree.weight_of(below), child))
+            name = min(draws)[1]
+        path, tree = f"{path}/{name}", tree[name]
+    return path.rsplit("/", 1)[1]
+
+
+def test_placement_matches_independent_draws(spark):
+    weighted = {"a": {"r": {"0": 1.0, "1": 2.5}, "s": {"2": 0.5}}, "b": {"t": {"3": 3.0, "4": 1.0, "5": 0.25}}}
+    for tree in (hash_tree.regular_tree(16), hash_tree.regular_tree(17), weighted):
+        rows = hash_tree.descend(spark.range(500), ["id"], tree).collect()
+        assert {r.id: r.shard for r in rows} == {i: plain_place(i, tree) for i in range(500)}
+
+
+def test_columns_of_helpers_pass_through(spark):
+    names = ["_piece", "_row", "_group", "_of", "_n", "_shift", "_place", "_at_0", "_at_1", "_at_2"]
+    frame = spark.range(5).select("id", *[F.lit(n).alias(n) for n in names])
+    rows = hash_tree.number_within(hash_tree.descend(frame, ["id"], hash_tree.regular_tree(16)), "shard").collect()
+    assert len(rows) == 5 and all(r[n] == n for r in rows for n in names)

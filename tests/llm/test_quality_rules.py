@@ -100,3 +100,24 @@ def test_edge_cases(spark, documents):
     assert quality_rules.judge(documents([]), labels.limit(0)).collect() == []
     with pytest.raises(ValueError, match="n_words"):
         quality_rules.statistics(documents([(1, "a")]).withColumn("n_words", F.lit(1)))
+
+
+def test_a_hot_key_is_sampled(spark, documents):
+    """One labelled key with many documents: no more rows than the bound, and repeated ones once."""
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], LABELS)
+    rows = documents([(1, f"text {'word ' * (i % 400)}{i}") for i in range(500)] + [(1, "same")] * 300)
+    stats = quality_rules.statistics(rows)
+    got = quality_rules.sample(stats, labels, "doc_id", "quality", "features", 10).collect()
+    assert 0 < len(got) <= 10 and {r._label for r in got} == {1}
+    few = quality_rules.sample(stats.where("n_words = 1"), labels, "doc_id", "quality", "features", 10).collect()
+    assert len(few) == 1
+
+
+def test_columns_of_helpers_pass_through(spark, documents):
+    names = ["_key", "_label", "_hash", "_x", "_score"]
+    frame = documents([(1, "a b")]).select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    row = quality_rules.judge(frame, spark.createDataFrame([], LABELS)).first()
+    assert all(row[n] == n for n in names)
+    for name in ("score", "kept", "base_failed"):
+        with pytest.raises(ValueError, match=name):
+            quality_rules.judge(frame.withColumn(name, F.lit(1)), spark.createDataFrame([], LABELS))

@@ -134,3 +134,10 @@ def test_edge_cases(spark, documents):
 def test_no_python_in_the_plan(spark, documents):
     plan = secret_index.redact(secret_index.scan(documents([(1, "a")])))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_columns_of_helpers_pass_through(spark, documents):
+    names = ["_doc", "_rules", "_clean", "_spans_0", "doc", "rules", "gram", "_low", "_w0"]
+    frame = documents([(1, "token=abcdefgh")]).select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    row = secret_index.redact(secret_index.scan(frame)).first()
+    assert row.text == "[secret]" and all(row[n] == n for n in names)
