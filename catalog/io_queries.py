@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from catalog import panels as P
 from catalog.registry import query
 from catalog.sql import sql
-from panelkit.session import shared_folder
+from panelkit.session import scratch_folder, shared_folder
 from panelkit.sources import csv, tables
 
 LONG, TEXT, DOUBLE = T.LongType(), T.StringType(), T.DoubleType()
@@ -82,3 +82,21 @@ def export_table(spark, sf):
                       sort=["entity", "period"])
     names = {"Entity": TEXT, "Year": LONG, "Revenue (cents)": LONG, "Lines": LONG}
     return csv.read_csv_table(spark, path, schema(**names))
+
+
+@query("bucketed_join", """
+select o_orderpriority, count(*) as n_orders, sum(n_lines)::bigint as n_lines, sum(cents)::bigint as cents
+from orders join (select l_orderkey, count(*) as n_lines, sum(cast(round(l_extendedprice * 100) as bigint)) as cents from lineitem group by 1)
+     on l_orderkey = o_orderkey
+group by 1
+""")
+def bucketed_join(spark, sf):
+    """Lines summed per order and joined with orders; both tables are kept in buckets of orders, so neither is shuffled again."""
+    mark = uuid.uuid4().hex
+    lines = P.table(spark, sf, "lineitem").select("l_orderkey", F.floor(F.col("l_extendedprice") * 100 + 0.5).alias("cents"))
+    lines = tables.write_bucketed(lines, f"lines_{mark}", f"{scratch_folder(spark)}/lines-{mark}", ["l_orderkey"], 8)
+    orders = tables.write_bucketed(P.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), f"orders_{mark}",
+                                   f"{scratch_folder(spark)}/orders-{mark}", ["o_orderkey"], 8)
+    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("cents").alias("cents"))
+    joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("n_lines").alias("n_lines"), F.sum("cents").alias("cents"))

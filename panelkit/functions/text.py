@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from functools import lru_cache
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -50,6 +51,7 @@ def partial_period_flag(c: Column | str) -> Column:
     return F.coalesce(F.trim(as_col(c)).like("%(%)%"), F.lit(False))
 
 
+@lru_cache(1)
 def _accent_table() -> tuple[str, str]:
     """Each letter with marks and its base letter, by the canonical decompositions of all of Unicode."""
     accented, base = [], []
@@ -62,12 +64,9 @@ def _accent_table() -> tuple[str, str]:
     return "".join(accented), "".join(base)
 
 
-_ACCENTED, _BASE = _accent_table()
-
-
 def fold_accents(c: Column | str) -> Column:
     """Replace letters with marks by their base letters and drop combining marks."""
-    return F.regexp_replace(F.translate(as_col(c), _ACCENTED, _BASE), r"\p{Mn}", "")
+    return F.regexp_replace(F.translate(as_col(c), *_accent_table()), r"\p{Mn}", "")
 
 
 def show_number(c: Column | str, digits: int = 1, signed: bool = False, missing: str = "N/A") -> Column:

@@ -24,6 +24,7 @@ def yoy(df: DataFrame, p: PanelSpec, digits: int | None = None, pct_digits: int
 
     The previous row of the series counts as the previous period, also across
     a gap. ``require_adjacent`` accepts it only when its period is one less.
+    A series has one row per period; the order of rows that repeat one is arbitrary.
     """
     w = p.over_time()
     previous = F.lag(p.value).over(w)

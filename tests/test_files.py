@@ -226,3 +226,23 @@ def test_keys_are_counted_in_one_pass(spark):
     found = Q.unique_counts(df, checks)
     assert [r["failures"] for r in found.collect()] == [Q.failing_rows({"t": df}, c).count() for c in checks]
     assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    left = spark.range(1000).selectExpr("id % 97 as k", "id as v")
+    right = spark.range(97).selectExpr("id as key", "id * 2 as w")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = tables.write_bucketed(left, "bucketed_a", f"{tmp_path}/a", ["k"], 4)
+        tables.write_bucketed(right, "bucketed_b", f"{tmp_path}/b", ["key"], 4)
+        b = tables.read_bucketed(spark, "bucketed_again", f"{tmp_path}/b", right.schema, ["key"], 4)
+        both = a.groupBy("k").agg(F.sum("v").alias("v")).join(b, F.col("k") == F.col("key"))
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert both.count() == 97 and both.agg(F.sum("v")).first()[0] == sum(range(1000))
+        assert len(list((tmp_path / "a").glob("part-*.parquet"))) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("bucketed_a", "bucketed_b", "bucketed_again"):
+            spark.sql(f"drop table if exists {name}")
