@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.llm.names import free_names
+from panelkit.llm.workers import tidy
 from panelkit.session import materialise
 
 # Labelled documents that weights and the final model are fitted on, about; terms that get a weight, at most.
@@ -38,6 +41,8 @@ LEAST_RATIO, LEAST_DOCS = 4.0, 5
 # Folds: remainder of the key's CRC-32; documents of fold 0 are never learnt from.
 FOLDS = 5
 MEMO = 1 << 18
+# Terms that a task counts before it hands them on.
+COUNTED = 1 << 17
 # Characters whose trigrams are counted together.
 STRETCH = 1 << 20
 
@@ -64,7 +69,6 @@ SIGN_COST, DROP_SIGN, DROP_DIGIT, DROP_REPEAT, EARNED = 0.5, 1.5, 10.0, 0.5, 2.5
 DROP_FIRST, PLAIN_DIGIT = 4.0, 1.5
 # How much less likely than the best a cut into words may be that still gives words, of so many letters at most.
 NEAR, LONGEST = 3.0, 32
-BEAM = 24
 SPACED = re.compile(r"(?<![^\W_])[\w@$!|+]([ .\-_*])[\w@$!|+](?:\1[\w@$!|+])+(?![^\W_])")
 REPEATED = re.compile(r"(.)\1\1")
 # Marks that end a sentence, and numbers with separators: as what they are they cost nothing.
@@ -72,6 +76,40 @@ ENDING = re.compile(r"[!|+]+\Z")
 NUMERAL = re.compile(r"[+$€£¥]?\d+(?:[ .,:/_*×+-]\d+)+[%€£¥$+!]*")
 READABLE = frozenset(SIGNS)
 
+# What SPACED looks at in a character: bit 1 a letter of a run, bit 2 a letter or digit, the rest which separator.
+# The last entry stands for everything beyond, which may be any of the first two.
+APART = " .-_*"
+KINDS = np.array([(c.isalnum() or c in "_@$!|+") | c.isalnum() << 1 | (APART.find(c) + 1) << 2 for c in map(chr, range(0x250))] + [1], np.uint8)
+
+
+def run_starts(texts: list[str]) -> Iterator[list[int]]:
+    """For every text the places where ``SPACED`` can match, found in all texts at once."""
+    joined = "\n".join(texts)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    places = np.zeros(0, np.int64)
+    if len(points) > 4:
+        kinds = KINDS[np.minimum(points, len(KINDS) - 1)]
+        apart = kinds >> 2
+        found = (apart[1:-3] == apart[3:-1]) & (apart[1:-3] > 0)
+        found &= (kinds[:-4] & kinds[2:-2] & kinds[4:] & 1).astype(bool)
+        found[1:] &= kinds[:-5] & 2 == 0
+        places = np.flatnonzero(found)
+    cuts = np.searchsorted(places, ends).tolist()
+    first = 0
+    for start, cut in zip((ends - [len(t) + 1 for t in texts]).tolist(), cuts):
+        yield (places[first:cut] - start).tolist()
+        first = cut
+
+
+def runs(text: str, starts: list[int]) -> Iterator[re.Match]:
+    """The matches of ``SPACED`` in a text, from the places where it can match."""
+    end = 0
+    for at in starts:
+        if at >= end and (m := SPACED.match(text, at)):
+            end = m.end()
+            yield m
+
 
 def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Rows ``gram`` and ``n``: counts of letter trigrams over all texts, edges of words included."""
@@ -99,6 +137,7 @@ def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
             count()
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(total[there])], ["gram", "n"])
+        tidy()
 
     per_task = df.select(F.col(f"`{text}`")).mapInArrow(run, "gram int, n long")
     return per_task.groupBy("gram").agg(F.sum("n").alias("n"))
@@ -118,11 +157,17 @@ def language_model(counts: DataFrame, weight: float = 5.0) -> np.ndarray:
 
 
 class Restorer:
-    """Restores single words by Viterbi decoding."""
+    """Restores single words by Viterbi decoding.
+
+    A state is the pair of the last two letters. A path keeps its letters as a chain of
+    (letter, chain before), which paths share, so a step costs the same wherever it is in
+    a word, and no state is given up before the end.
+    """
 
     def __init__(self, model: np.ndarray) -> None:
-        # Nested lists: single look-ups in an array cost more than the step itself.
-        self.model = model.tolist()
+        # Lists, one of them flat: single look-ups in an array cost more than the step itself.
+        self.model, self.flat = model.tolist(), model.ravel().tolist()
+        self.coded: dict[str, list[tuple[str, int, float]]] = {}
 
     def arcs(self, char: str) -> list[tuple[str, float]]:
         """What a character can stand for, with costs."""
@@ -131,45 +176,57 @@ class Restorer:
         found = [(x, SIGN_COST) for x in SIGNS.get(char, "")]
         return [*found, ("", DROP_DIGIT if char.isdigit() else DROP_SIGN if found else 0.0)]
 
+    def coded_arcs(self, char: str) -> list[tuple[str, int, float]]:
+        """The same with codes; those of the model's characters are kept."""
+        known = self.coded.get(char)
+        if known is None:
+            known = [(x, CODE.get(x, OTHER), cost) for x, cost in self.arcs(char)]
+            if char in CODE or char in SIGNS:
+                self.coded[char] = known
+        return known
+
     def decode(self, word: str, several: bool = False) -> str:
         """The likeliest restored form of a word in lower case; with ``several``, of words written without a break."""
         return self.best(word, several)[1]
 
     def best(self, word: str, several: bool = False, first: float | None = None) -> tuple[float, str]:
         """The likeliest form and its score; ``first`` is the cost of leaving out a sign at the start."""
-        model = self.model
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        model = self.flat
+        paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         for i, char in enumerate(word):
-            arcs = self.arcs(char)
+            arcs = self.coded_arcs(char)
             if first is not None and i == 0:
-                arcs = [(x, cost if x else first) for x, cost in arcs]
+                arcs = [(x, c, cost if x else first) for x, c, cost in arcs]
             run = char == word[i - 1] if i else False
-            long = run and (word[i + 1:i + 2] == char or word[i - 2:i - 1] == char)
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, out) in paths.items():
-                options = arcs
-                if long and out and any(x == out[-1] for x, _ in arcs):
-                    options = [*arcs, ("", DROP_REPEAT)]
-                for letter, cost in options:
+            letters = {x for x, _, _ in arcs} if run and (word[i + 1:i + 2] == char or word[i - 2:i - 1] == char) else ()
+            new: dict[int, tuple[float, tuple | None]] = {}
+            for state, (score, out) in paths.items():
+                options = [*arcs, ("", 0, DROP_REPEAT)] if letters and out and out[0] in letters else arcs
+                for letter, code, cost in options:
                     if letter:
-                        c = CODE.get(letter, OTHER)
-                        key, value = (b, c), (score - cost + EARNED + model[a][b][c], out + letter)
+                        key, value = state % SIZE * SIZE + code, score - cost + EARNED + model[state * SIZE + code]
+                        if key not in new or value > new[key][0]:
+                            new[key] = value, (letter, out)
                     else:
-                        key, value = (a, b), (score - cost, out)
-                    if key not in new or value > new[key]:
-                        new[key] = value
+                        value = score - cost
+                        if state not in new or value > new[state][0]:
+                            new[state] = value, out
             if several and i + 1 < len(word):
                 # The edge of a word, then a new one.
-                for (a, b), (score, out) in list(new.items()):
-                    if b:
-                        key, value = (b, 0), (score + model[a][b][0], out + " ")
-                        if key not in new or value > new[key]:
-                            new[key] = value
-            if len(new) > BEAM:
-                new = dict(sorted(new.items(), key=lambda p: p[1], reverse=True)[:BEAM])
+                for state, (score, out) in list(new.items()):
+                    if state % SIZE:
+                        key, value = state % SIZE * SIZE, score + model[state * SIZE]
+                        if key not in new or value > new[key][0]:
+                            new[key] = value, (" ", out)
             paths = new
         # After a break the edge is there already.
-        return max((score + (model[a][b][0] if b or not out else 0.0), out) for (a, b), (score, out) in paths.items())
+        score, chain = max(((score + (model[state * SIZE] if state % SIZE or out is None else 0.0), out)
+                            for state, (score, out) in paths.items()), key=lambda p: p[0])
+        found = []
+        while chain is not None:
+            letter, chain = chain
+            found.append(letter)
+        return score, "".join(reversed(found))
 
     def restore(self, word: str) -> str:
         """A word without white space as it was meant; empty if it is a number or no word."""
@@ -178,8 +235,10 @@ class Restorer:
     def readings(self, word: str) -> list[str]:
         """The word as it was meant, and its reading with marks at the end as letters where that scores higher."""
         low = word.lower()
-        core = low.strip(PUNCTUATION)
         whole = low.strip(SOFT)
+        if whole.isalpha() and not REPEATED.search(whole):
+            return [whole]
+        core = low.strip(PUNCTUATION)
         bare = ENDING.sub("", whole)
         if not any(c.isalpha() for c in whole):
             return [self.unlettered(whole)]
@@ -208,19 +267,19 @@ class Restorer:
         free = ENDING.sub("", word)
         plain = 0.0 if NUMERAL.fullmatch(word) else -sum(PLAIN_DIGIT if c.isdigit() else DROP_SIGN for c in free if c in READABLE)
         score, out = max(self.best(free), self.best(word)) if free else self.best(word)
-        return out if score > plain + self.model[0][0][0] else ""
+        return out if score > plain + self.flat[0] else ""
 
     def near_words(self, letters: str) -> list[str]:
         """Words of every cut of ``letters`` that is about as likely as the best one."""
-        model, n = self.model, len(letters)
+        model, n = self.flat, len(letters)
         codes = [CODE.get(x, OTHER) for x in letters]
 
         def words_from(i: int) -> Iterator[tuple[int, float]]:
             """Ends and scores of the words that start at ``i``."""
             score, a, b = 0.0, codes[i - 1] if i else 0, 0
             for j in range(i, min(n, i + LONGEST)):
-                score, a, b = score + model[a][b][codes[j]], b, codes[j]
-                yield j + 1, score + model[a][b][0]
+                score, a, b = score + model[(a * SIZE + b) * SIZE + codes[j]], b, codes[j]
+                yield j + 1, score + model[(a * SIZE + b) * SIZE]
 
         # Words are scored again for each use, as a list of all would be long for a long run.
         before, after = [0.0] + [-np.inf] * n, [-np.inf] * n + [0.0]
@@ -231,14 +290,14 @@ class Restorer:
             after[i] = max(score + after[j] for j, score in words_from(i))
         return [letters[i:j] for i in range(n) for j, score in words_from(i) if before[i] + score + after[j] >= before[n] - NEAR]
 
-    def spaced(self, text: str) -> list[str]:
-        """Words whose letters are set apart by one kind of sign.
+    def spaced(self, text: str, starts: list[int] | None = None) -> list[str]:
+        """Words whose letters are set apart by one kind of sign; ``starts`` are the places of ``run_starts``.
 
         A run counts as one word, as one after a word of one letter, and as several
         words in all likely cuts; what more than one reading has counts once.
         """
         out: list[str] = []
-        for m in SPACED.finditer(text):
+        for m in runs(text, next(run_starts([text])) if starts is None else starts):
             x = m.group().lower().replace(m.group(1), "")
             if any(c.isalpha() for c in x):
                 readings = [self.best(w, several, self.first(w))[1].split() for w in (x, x[1:]) for several in (False, True)]
@@ -282,9 +341,18 @@ class Reader:
         self.memo: dict[str, float] = {}
 
     def weigh(self, word: str) -> float:
-        return max((self.weights.get(t, 0.0) for t in terms_of(word)), default=0.0) if word else 0.0
-
-    def evidence(self, text: str | None) -> list[float]:
+        # The same as over ``terms_of``, without a list of them.
+        weight, size = self.weights.get, len(word)
+        best = weight(f"={word}", 0.0) if word else 0.0
+        for n in OPENINGS:
+            if size <= n:
+                break
+            found = weight(word[:n], 0.0)
+            if found > best:
+                best = found
+        return best
+
+    def evidence(self, text: str | None, starts: list[int] | None = None) -> list[float]:
         words = text.split() if text else []
         found = list(map(self.memo.get, words))
         if None in found:
@@ -295,46 +363,85 @@ class Reader:
                         self.memo.clear()
                     if len(words[i]) < 64:
                         self.memo[words[i]] = weight
-        apart = self.restorer.spaced(text) if text else []
+        apart = self.restorer.spaced(text, starts) if text else []
         hits = [w for w in found if w] + [w for w in map(self.weigh, apart) if w]
         n, total = len(words), sum(hits)
         return [np.log1p(len(hits)), np.log1p(n), np.log((len(hits) + 0.3) / (n + 30)), total / (n + 30), max(hits, default=0.0)]
 
 
+def with_starts(texts: Iterable[str | None]) -> Iterator[tuple[str, list[int]]]:
+    """Every text, null as empty, with the places of its runs; a bounded stretch of texts is looked at together."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text or "")
+        size += len(some[-1])
+        if size >= STRETCH:
+            yield from zip(some, run_starts(some))
+            some, size = [], 0
+    if some:
+        yield from zip(some, run_starts(some))
+
+
 def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % FOLDS == 0
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, bound: int) -> DataFrame:
-    """Texts and labels of about ``bound`` documents outside fold 0, chosen by the hash of their key."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key))).select(
-        key, F.col(label).cast("int").alias("_label"))
-    share = bound / max(known.count(), bound)
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
-    # About ``bound`` keys and labels, so this side's size does not depend on the data.
-    return docs.select(key, text).join(F.broadcast(known), key).select(F.col(key).alias("_key"), F.col(text).alias("_text"), "_label")
+    """``_key``, ``_text`` and ``_label`` of about ``bound`` documents outside fold 0, never more than a little over it.
+
+    A key has its highest label. Rows of equal key and text count once. Documents are chosen by
+    the hash of key and text after they have met their labels, so a key with very many documents
+    is sampled like any others.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key))).groupBy(
+        F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("_label"))
+    rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).withColumn("_hash", F.xxhash64("_key", "_text"))
+    many = rows.select("_key", "_hash").join(known, "_key").select("_key", "_hash").distinct().count()
+    if many > bound:
+        # A share of 95 % of the bound: chance adds a few hundredths of it at most.
+        rows = rows.where(F.pmod("_hash", F.lit(1_000_000)) < int(0.95 * bound / many * 1_000_000))
+    return rows.join(known, "_key").dropDuplicates(["_key", "_hash"]).drop("_hash")
 
 
 def term_weights(sample: DataFrame, model: Broadcast) -> dict[str, float]:
     """Log ratios of use in toxic and other documents, for terms used clearly more in toxic ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.value)
+        # Uses of a term, and documents that use it, by term and label.
+        seen: dict[tuple[str, int], list[int]] = {}
+        # What words read as, in a bounded memo that only saves time.
+        known: dict[str, tuple[int, list[str]]] = {}
+
+        def read(words: list[str]) -> tuple[int, list[str]]:
+            return len(words), [t for w in words if w for t in terms_of(w)]
+
+        def counted() -> pa.RecordBatch:
+            found = pa.RecordBatch.from_arrays(
+                [pa.array([t for t, _ in seen], pa.string()), pa.array([y for _, y in seen], pa.int32()),
+                 pa.array([n for n, _ in seen.values()], pa.int64()), pa.array([k for _, k in seen.values()], pa.int64())],
+                ["term", "label", "n", "docs"])
+            seen.clear()
+            return found
+
         for batch in batches:
-            seen: Counter[tuple[str, int]] = Counter()
-            docs: Counter[tuple[str, int]] = Counter()
-            for text, label in zip(batch.column("_text").to_pylist(), batch.column("_label").to_pylist()):
-                words = [r for w in (text or "").split() for r in restorer.readings(w)] + (restorer.spaced(text) if text else [])
-                own = Counter(t for w in words if w for t in terms_of(w))
-                own[""] = len(words)
+            for (text, starts), label in zip(with_starts(batch.column("_text").to_pylist()), batch.column("_label").to_pylist()):
+                words = text.split()
+                for word in words:
+                    if word not in known:
+                        known[word] = read(restorer.readings(word))
+                found = [*map(known.__getitem__, words), read(restorer.spaced(text, starts))]
+                own = Counter(chain.from_iterable(terms for _, terms in found))
+                own[""] = sum(n for n, _ in found)
+                if len(known) > MEMO // 4:
+                    known.clear()
                 for term, n in own.items():
-                    seen[term, label] += n
-                    docs[term, label] += 1
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t for t, _ in keys], pa.string()), pa.array([y for _, y in keys], pa.int32()),
-                 pa.array([seen[k] for k in keys], pa.int64()), pa.array([docs[k] for k in keys], pa.int64())],
-                ["term", "label", "n", "docs"])
+                    both = seen.setdefault((term, label), [0, 0])
+                    both[0] += n
+                    both[1] += 1
+                if len(seen) >= COUNTED:
+                    yield counted()
+        yield counted()
+        tidy()
 
     rows = sample.mapInArrow(run, "term string, label int, n long, docs long")
     sides = rows.groupBy("term").agg(*[F.sum(F.when(F.col("label") == y, F.col(c)).otherwise(0)).alias(f"{c}{y}")
@@ -366,17 +473,20 @@ def evidence_column(model: Broadcast, weights: Broadcast, text: Column) -> Colum
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader(model.value, weights.value)
         for some in texts:
-            yield some.map(reader.evidence)
+            yield pd.Series([reader.evidence(text, starts) for text, starts in with_starts(some)], dtype=object)
+        del reader
+        tidy()
 
     return of(text)
 
 
-def fit_judge(sample: DataFrame, model: Broadcast) -> Judge:
-    """Weights and final model from labelled documents; without both labels the score is their share."""
+def fit_judge(sample: DataFrame, model: Broadcast, bound: int = SAMPLE) -> Judge:
+    """Weights and final model from labelled documents, of which at most ``bound`` rows of numbers reach the driver;
+    without both labels the score is their share."""
     sample = materialise(sample, "labelled")
     weights = term_weights(sample, model)
     shared = sample.sparkSession.sparkContext.broadcast(weights)
-    rows = sample.select("_key", "_label", evidence_column(model, shared, F.col("_text")).alias("x")).orderBy("_key", "_label").collect()
+    rows = sample.select("_key", "_label", evidence_column(model, shared, F.col("_text")).alias("x")).orderBy("_key", "x").limit(bound).collect()
     x, y = np.array([r.x for r in rows], float).reshape(len(rows), 5), np.array([r._label for r in rows], float)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 2)
@@ -395,19 +505,20 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     out. Equal rows stay separate rows, an empty frame stays empty. Other columns
     pass through; names of the new ones are refused.
     """
-    if clash := {"held_out", "score", "predicted", "_x"} & set(docs.columns):
+    if clash := {"held_out", "score", "predicted"} & set(docs.columns):
         raise ValueError(f"the frame already has columns {sorted(clash)}")
     context = docs.sparkSession.sparkContext
     model = context.broadcast(language_model(trigram_counts(docs, text)))
-    fitted = fit_judge(labelled(docs, labels, key, text, label, bound), model)
+    fitted = fit_judge(labelled(docs, labels, key, text, label, bound), model, bound)
     weights, shared = context.broadcast(fitted.weights), context.broadcast(fitted)
 
     @F.pandas_udf(T.DoubleType())
     def score(x: pd.Series) -> pd.Series:
         return pd.Series(shared.value.score(np.array(x.to_list(), float).reshape(len(x), 5)))
 
-    read = docs.withColumn("_x", evidence_column(model, weights, F.col(f"`{text}`")))
-    scored = read.withColumn("score", score("_x")).drop("_x")
+    found, = free_names(docs.columns, "_x")
+    read = docs.withColumn(found, evidence_column(model, weights, F.col(f"`{text}`")))
+    scored = read.withColumn("score", score(F.col(found))).drop(found)
     return scored.withColumns({
         "held_out": F.coalesce(held_out(F.col(f"`{key}`")), F.lit(False)),
         "predicted": (F.col("score") >= 0.5).cast("int")})

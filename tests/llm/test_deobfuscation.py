@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 import zlib
 from itertools import product
 
@@ -170,3 +171,46 @@ def test_edge_cases(spark, documents):
     assert d.judge(documents([]), none).collect() == []
     with pytest.raises(ValueError, match="score"):
         d.judge(documents([(1, "a")]).withColumn("score", F.lit(1)), none)
+
+
+def test_runs_are_those_of_the_expression():
+    pick = np.random.default_rng(3)
+    parts = list("ab1@$!|+é日_ .-*\n") + ["i d i o t", "i.d.i.o.t", "a-b-c", "(x y z)", "語 a b"]
+    texts = ["".join(pick.choice(parts, pick.integers(0, 14))) for _ in range(3000)] + ["", "a b c", "a"]
+    found = [[m.span() for m in d.runs(t, starts)] for t, starts in d.with_starts(texts)]
+    assert found == [[m.span() for m in d.SPACED.finditer(t)] for t in texts]
+
+
+def test_long_words_take_time_in_proportion(model):
+    """No step copies what came before: a word of ten times the length takes about ten times as long."""
+    restorer, times = d.Restorer(model), []
+    for n in (5_000, 50_000):
+        start = time.process_time()
+        restorer.best("a1b4" * n)
+        times.append(time.process_time() - start)
+    assert times[1] < 30 * times[0]
+
+
+def test_decoding_keeps_every_state(model):
+    """A run of signs with very many readings is decoded as by trying all of them."""
+    restorer = d.Restorer(model)
+    assert restorer.decode("1|!6") == plain_decode(restorer, "1|!6")
+    assert restorer.decode("6a1!e5") == plain_decode(restorer, "6a1!e5")
+
+
+def test_a_hot_key_is_sampled(spark, documents):
+    """One labelled key with many documents: the sample stays near its bound, and repeated rows count once."""
+    labels = spark.createDataFrame([(1, 1), (1, 0), (1, 1), (3, 0)], "doc_id long, toxic int")
+    rows = documents([(1, f"text {i}") for i in range(2000)] + [(1, "same")] * 500 + [(3, "other")])
+    many = d.labelled(rows, labels, "doc_id", "text", "toxic", 100)
+    got = many.collect()
+    assert 50 < len(got) <= 100 + 40 and len({(r._key, r._text) for r in got}) == len(got)
+    assert {r._label for r in got if r._key == 1} == {1}
+    assert d.labelled(rows.where("text in ('same', 'other')"), labels, "doc_id", "text", "toxic", 100).count() == 2
+
+
+def test_columns_of_helpers_pass_through(spark, documents):
+    names = ["_x", "_key", "_text", "_label", "_hash", "x", "label"]
+    frame = documents([(1, "a b")]).select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    row = d.judge(frame, spark.createDataFrame([], "doc_id long, toxic int")).first()
+    assert all(row[n] == n for n in names)
