@@ -15,33 +15,52 @@ from panelkit.llm.registry import ship, table
 from panelkit.session import materialise
 
 
+# Columns that a stage does not read travel in one struct, so that no name of the input can clash
+# with a column that an operator adds.
+def _apart(docs: DataFrame, *names: str) -> DataFrame:
+    """Columns ``names``, and ``rest`` with all others."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(*names, (F.struct(*others) if others else F.lit(0)).alias("rest"))
+
+
+def _together(rows: DataFrame, docs: DataFrame, *names: str) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*[F.col(c) if c in names else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not judged toxic."""
     ship(spark)
-    judged = deobfuscation.judge(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return judged.where("predicted = 0").select(*docs.columns)
+    judged = deobfuscation.judge(_apart(docs, "doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return _together(judged.where("predicted = 0"), docs, "doc_id", "text")
+
+
+def _numbered(docs: DataFrame, *names: str) -> DataFrame:
+    """The rows written once with a ``number`` of their own, since keys may repeat."""
+    return materialise(_apart(docs, *names).withColumn("number", F.monotonically_increasing_id()), "documents")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and trees keep."""
     ship(spark)
-    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    judged = quality_rules.judge(numbered.select("_row", "doc_id", "text"),
-                                 table(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return numbered.join(judged.where("kept").select("_row"), "_row", "left_semi").select(*docs.columns)
+    rows = _numbered(docs, "doc_id", "text")
+    judged = quality_rules.judge(rows.select("number", "doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return _together(rows.join(judged.where("kept").select("number"), "number", "left_semi"), docs, "doc_id", "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates: the one with the smallest key, a row with a null key last."""
     ship(spark)
-    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    classes = order_minhash.near_duplicates(numbered, "_row")
-    return numbered.join(classes.where("kept").select("_row"), "_row", "left_semi").select(*docs.columns)
+    rows = _numbered(docs, "doc_id", "text")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "number")
+    classes = order_minhash.near_duplicates(rows.select(place.alias("place"), "text"), "place")
+    kept = classes.where("kept").select(F.col("place.number").alias("number"))
+    return _together(rows.join(kept, "number", "left_semi"), docs, "doc_id", "text")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of every secret and ``n_chars`` to match."""
-    clean = secret_index.redact(secret_index.scan(docs))
+    clean = _together(secret_index.redact(secret_index.scan(_apart(docs, "text"))), docs, "text")
     return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
