@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from panelkit.llm.bytewords import ByteWords, mixed, seeds
 from panelkit.llm.components import components
+from panelkit.llm.workers import tidy
 from panelkit.session import materialise
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -178,6 +179,7 @@ def sketches(df: DataFrame, text: str = "text", maker: OrderMinHash | None = Non
             sizes = [max(len(word_hashes(x)) - maker.shingle + 1, 1 if k else 0) for x, k in zip(texts, keys)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in rest), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], schema.names)
+        tidy()
 
     return df.mapInArrow(run, schema)
 
@@ -245,6 +247,8 @@ def _linker(maker: OrderMinHash, least: float) -> Callable[[pd.DataFrame], pd.Da
             copies, sides = cell["copy"].tolist(), cell["side"].tolist()
             for i, j in spanning_links([made[c][0] for c in copies], [made[c][1] for c in copies], sides, least):
                 links.add((min(copies[i], copies[j]), max(copies[i], copies[j])))
+        made.clear()
+        tidy()
         return pd.DataFrame(sorted(links), columns=["a", "b"])
 
     return of

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from panelkit.llm.boosted_trees import Forest, fit
 from panelkit.llm.bytewords import ByteWords, seeds
+from panelkit.llm.workers import tidy
 from panelkit.session import materialise
 
 # Labelled rows that the trees are fitted on, about.
@@ -103,6 +104,7 @@ def statistics(df: DataFrame, text: str = "text", features: str = "features") ->
             columns = [*(batch.column(f.name) for f in rest), *(pa.array(c) for c in counts.T),
                        pa.array([f for _, f in found], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
+        tidy()
 
     return df.mapInArrow(run, schema)
 
