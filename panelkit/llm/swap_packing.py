@@ -2,7 +2,7 @@
 
 Documents are tokenized, ended by a separator and cut only where they exceed a
 sequence. Pieces that fill a sequence are done. The others are dealt into groups
-of a few thousand, evenly and whatever their document; each group is packed by
+of a few thousand, all with the same mix of sizes; each group is packed by
 itself: best fit gives a start; then the bins are filled one by one from all
 emptier ones, and the emptiest bins give their pieces away. A piece moves to a
 fuller bin, or is exchanged one for one, two for one or one for two with pieces of
@@ -26,11 +26,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
+from panelkit.llm.hash_tree import number_within
+from panelkit.llm.names import free_names
+from panelkit.llm.prefix_bpe import byte_symbols
+from panelkit.llm.workers import tidy
 from panelkit.session import materialise
 
 # Pieces of a group, and the share of its bins that may be packed again in the next round.
@@ -38,16 +43,19 @@ GROUP = 4096
 AGAIN = 0.25
 # A bin is worth packing again while this share of it is free.
 SLACK = 0.02
+# What the last token of a word ends with (a fixed value).
+WORD_END = "</w>"
 # Emptiest bins tried in vain, one after the other, before the search of a group ends.
 PATIENCE = 8
-# Words of the memo before a new one is begun; the last full one is kept beside it.
-MEMO = 1 << 19
+# Words of the memo before a new one is begun; the last full one is kept beside it. Longer words are not kept.
+MEMO = 1 << 18
+LONGEST = 64
 # Characters whose words are looked up together.
-STRETCH = 1 << 21
+STRETCH = 1 << 22
 
 
 # A word that the tokenizer cuts into its letters and the sign behind them, if any.
-PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]?)").fullmatch
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
 
 
 class WordTokenizer:
@@ -57,6 +65,17 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # The same model for words spelt in small letters and the stand-ins of bytes, with a space between them.
+        self.model = Tokenizer.from_str(spec)
+        self.model.no_truncation()
+        self.model.no_padding()
+        self.model.encode_special_tokens = True
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = CharDelimiterSplit(" ")
+        self.symbols = {b: c for c, b in byte_symbols().items()} | {32: " "}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -68,54 +87,47 @@ class WordTokenizer:
             return [text]
         return text.split()
 
-    def _code(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of words by the library. Plain ones are given to it as one text, which costs it less a word."""
-        plain, pieces, odd = [], [0], []
-        for word in words:
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of words that the memo lacks into it. Plain ones are given to the library as one text, cut into
+        letters and signs, which costs it less a word."""
+        memo, older = self.memo, self.older
+        memo.update({w: older[w] for w in words & older.keys()})
+        plain, parts, pieces, odd = [], [], [0], []
+        for word in words - memo.keys():
             match = PLAIN(word)
             if match is None:
                 odd.append(word)
-            else:
-                plain.append(word)
-                pieces.append(pieces[-1] + 1 + bool(match[1]))
-        out = {}
+                continue
+            plain.append(word)
+            parts.append(match[1])
+            if match[2]:
+                parts.append(match[2])
+            pieces.append(len(parts))
         if plain:
-            coded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4").tobytes()
-            ends = (4 * np.searchsorted(coded.word_ids, pieces)).tolist()
-            out = {w: ids[x:y] for w, x, y in zip(plain, ends, ends[1:])}
+            spelt = " ".join(parts).lower().encode().decode("latin-1").translate(self.symbols)
+            ids = np.array(self.model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+            # Every part ends with the one token that ends a word.
+            ends = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
+            if len(ends) != len(parts) + 1:
+                raise ValueError("the tokenizer does not mark the ends of words")
+            ids, at = ids.tobytes(), (4 * ends[pieces]).tolist()
+            memo.update(zip(plain, [ids[x:y] for x, y in zip(at, at[1:])]))
         for word, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            out[word] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
-        return out
+            memo[word] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
 
-    def _look_up(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of words that the memo lacks."""
-        older = self.older
-        found = {w: older[w] for w in words if w in older}
-        found.update(self._code([w for w in words if w not in found]))
-        if len(self.memo) + len(found) > MEMO:
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.memo) > MEMO:
             self.older, self.memo = self.memo, {}
+        words_of = [self._words(t) for t in texts]
+        new = set().union(*words_of) - self.memo.keys()
+        self._learn(new)
+        ids_of = self.memo.__getitem__
+        out = [b"".join(map(ids_of, words)) for words in words_of]
         # Whole texts are not worth keeping.
-        self.memo.update(found if max(map(len, found)) < 64 else {w: ids for w, ids in found.items() if len(w) < 64})
-        return found
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        look, missing, open_, done = self.memo.get, set(), [], []
-        for text in texts:
-            words = self._words(text)
-            ids = list(map(look, words))
-            gaps = [i for i, x in enumerate(ids) if x is None]
-            if gaps:
-                unknown = [words[i] for i in gaps]
-                missing.update(unknown)
-                open_.append((ids, gaps, unknown))
-            done.append(ids)
-        if missing:
-            found = self._look_up(missing)
-            for ids, gaps, unknown in open_:
-                for i, w in zip(gaps, unknown):
-                    ids[i] = found[w]
-        return [b"".join(ids) for ids in done]
+        for word in new:
+            if len(word) > LONGEST:
+                del self.memo[word]
+        return out
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Packed little-endian unsigned 32-bit ids of every text, a bounded stretch at a time."""
@@ -184,6 +196,10 @@ def token_pieces(df: DataFrame, path: str, capacity: int, end: int, text: str =
                 columns.append(pa.array(cuts, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([*(kept.column(f.name) for f in rest), *columns],
                                              [*(f.name for f in rest), *(f.name for f in new)])
+        # The worker may serve another stage next; reading the file again costs a task little.
+        del coder
+        _TOKENIZERS.clear()
+        tidy()
 
     return df.mapInArrow(run, T.StructType([*rest, *new]))
 
@@ -298,15 +314,18 @@ def pack_group(sizes: list[int], capacity: int) -> list[list[int]]:
     return empty_bins(fill_up(best_fit(sizes, capacity), sizes, capacity), sizes, capacity)
 
 
-def _packer(size: str, capacity: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _packer(size: str, capacity: int, last: bool, number: str, place: str, open_: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def of(rows: pd.DataFrame) -> pd.DataFrame:
-        return _pack_frame(rows, size, capacity, last)
+        # Bins depend on nothing but the sizes of the group.
+        rows = rows.sort_values(size, ascending=False, kind="stable", ignore_index=True)
+        numbers, places, again = _pack_sizes(rows[size].tolist(), capacity, last)
+        return rows.assign(**{number: np.array(numbers, np.int64), place: np.array(places, np.int64), open_: np.array(again, bool)})
 
     return of
 
 
-def _pack_frame(rows: pd.DataFrame, size: str, capacity: int, last: bool) -> pd.DataFrame:
-    sizes = rows[size].tolist()
+def _pack_sizes(sizes: list[int], capacity: int, last: bool) -> tuple[list[int], list[int], list[bool]]:
+    """The bin of every item, its place there, and whether the bin is packed again."""
     bins = pack_group(sizes, capacity)
     fills = [sum(sizes[i] for i in b) for b in bins]
     loose = [b for b in sorted(range(len(bins)), key=lambda b: (fills[b], b)) if capacity - fills[b] >= SLACK * capacity]
@@ -317,7 +336,22 @@ def _pack_frame(rows: pd.DataFrame, size: str, capacity: int, last: bool) -> pd.
         for i in items:
             number[i], offset[i], open_[i] = b, at, b in again
             at += sizes[i]
-    return rows.assign(_bin=np.array(number, np.int64), _offset=np.array(offset, np.int64), _open=open_)
+    return number, offset, open_
+
+
+def dealt(df: DataFrame, size: str, groups: int, out: str) -> DataFrame:
+    """Add ``out``, a group from 0, so that every group has the same mix of sizes.
+
+    All rows are numbered by falling size and dealt in turn. Rows of one size differ in
+    nothing that matters, so the sizes of a group do not depend on how the frame is split.
+    """
+    key, n, before, slot = free_names(df.columns, "_size", "_n", "_before", "_slot")
+    counts = df.groupBy(F.col(size).alias(key)).agg(F.count(F.lit(1)).alias(n))
+    # One row per size.
+    larger = Window.orderBy(F.col(key).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(key, F.coalesce(F.sum(n).over(larger), F.lit(0)).alias(before))
+    numbered = number_within(df, size, slot).join(F.broadcast(counts), F.col(size) == F.col(key))
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], ((F.col(before) + F.col(slot)) % groups).alias(out))
 
 
 def pack(df: DataFrame, capacity: int, size: str = "length", sequence: str = "sequence_id", offset: str = "offset",
@@ -326,29 +360,32 @@ def pack(df: DataFrame, capacity: int, size: str = "length", sequence: str = "se
 
     ``size`` is an integer from 1 to ``capacity``; anything else is an error.
     Sequences hold at most ``capacity``; places are gapless from 0. Equal rows
-    are separate pieces. An empty frame stays empty. Other columns pass through.
+    are separate pieces. How many sequences there are depends on the sizes alone.
+    An empty frame stays empty. Other columns pass through, whatever their names;
+    only those of the two new columns are refused.
     """
     if clash := {sequence, offset} & set(df.columns):
         raise ValueError(f"the frame already has columns {sorted(clash)}")
+    row, of, number, place, open_ = free_names([*df.columns, sequence, offset], "_id", "_group", "_bin", "_offset", "_open")
     wrong = F.col(size).isNull() | (F.col(size) < 1) | (F.col(size) > capacity)
     sized = df.withColumn(size, F.when(wrong, F.raise_error(F.lit(f"{size} must be from 1 to {capacity}"))).otherwise(F.col(size)))
-    rows = materialise(sized, "pieces").withColumn("_id", F.monotonically_increasing_id())
+    rows = materialise(sized, "pieces").withColumn(row, F.monotonically_increasing_id())
     columns = [F.col(f"`{c}`") for c in df.columns]
     done = [rows.where(F.col(size) == capacity).select(
-        *columns, F.col("_id").alias(sequence), F.lit(0).cast("bigint").alias(offset))]
-    todo = rows.where(F.col(size) < capacity)
-    schema = T.StructType([*todo.schema.fields, T.StructField("_group", T.LongType()), T.StructField("_bin", T.LongType()),
-                           T.StructField("_offset", T.LongType()), T.StructField("_open", T.BooleanType())])
+        *columns, F.col(row).alias(sequence), F.lit(0).cast("bigint").alias(offset))]
+    todo = rows.where(F.col(size) < capacity).select(*columns)
+    schema = T.StructType([*todo.schema.fields, T.StructField(of, T.LongType()), T.StructField(number, T.LongType()),
+                           T.StructField(place, T.LongType()), T.StructField(open_, T.BooleanType())])
     level, count = 1, todo.count()
     while count:
         groups = -(-count // group)
-        dealt = todo.withColumn("_group", F.pmod(F.xxhash64("_id", F.lit(level)), F.lit(groups)).cast("bigint"))
         last = groups == 1
-        packed = materialise(dealt.groupBy("_group").applyInPandas(_packer(size, capacity, last), schema), "packed")
+        packer = _packer(size, capacity, last, number, place, open_)
+        packed = materialise(dealt(todo, size, groups, of).groupBy(of).applyInPandas(packer, schema), "packed")
         # Levels and groups share a number with the bin; sequences of one piece have small numbers.
-        name = F.lit(level << 58) + F.shiftleft(F.col("_group"), 24) + F.col("_bin")
-        done.append(packed.where(~F.col("_open")).select(*columns, name.alias(sequence), F.col("_offset").alias(offset)))
-        todo = packed.where("_open").drop("_group", "_bin", "_offset", "_open")
+        name = F.lit(level << 58) + F.shiftleft(F.col(of), 24) + F.col(number)
+        done.append(packed.where(~F.col(open_)).select(*columns, name.alias(sequence), F.col(place).alias(offset)))
+        todo = packed.where(F.col(open_)).select(*columns)
         level, count = level + 1, 0 if last else todo.count()
     out = done[0]
     for more in done[1:]:

@@ -112,6 +112,39 @@ def test_groups_and_rounds_keep_every_piece(spark):
     assert len(bins) <= fewest(sizes, 100) * 1.03 + 1
 
 
+def test_sequences_do_not_depend_on_how_the_rows_are_split(spark):
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 100, 700).tolist()
+    frame = spark.createDataFrame(list(enumerate(sizes)), "id long, length long")
+    found = {n: swap_packing.pack(frame.repartition(n, "id"), 100, group=50).select("sequence_id").distinct().count() for n in (1, 2, 8)}
+    assert len(set(found.values())) == 1
+
+
+def test_groups_have_the_same_mix(spark):
+    frame = spark.createDataFrame([(s, "x") for s in [7] * 40 + [5] * 41 + [1] * 3], "length long, _slot string").repartition(5)
+    mixes = defaultdict(list)
+    for r in swap_packing.dealt(frame, "length", 4, "group").collect():
+        mixes[r.group].append(r.length)
+    assert sorted(map(len, mixes.values())) == [21, 21, 21, 21]
+    assert all(m.count(7) == 10 and m.count(5) in (10, 11) for m in mixes.values())
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["_id", "_group", "_bin", "_offset", "_open", "_size", "_n", "_before", "_slot", "_piece", "_row", "_place", "_of", "_shift"]
+    frame = spark.createDataFrame([(3, *names), (8, *names)], ["length", *names])
+    rows = swap_packing.pack(frame, 8).collect()
+    assert sorted(r.length for r in rows) == [3, 8] and all(r[n] == n for r in rows for n in names)
+
+
+def test_memo_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(swap_packing, "MEMO", 4)
+    coder = swap_packing.WordTokenizer(library.to_str())
+    texts = ["The cat and the dog, and a very odd Ornithorhynchus!"] * 3 + ["Élan and the end."]
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_assembled_ids(spark, documents, library):
     texts = ["a few words", "some more of them", None, "", "word " * 50]
     pieces = swap_packing.token_pieces(documents(list(enumerate(texts))), PATH, capacity=20, end=0, ids="ids")
