@@ -14,7 +14,6 @@ groups, until one group is left. A task holds one group.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -35,7 +34,8 @@ from tokenizers.pre_tokenizers import CharDelimiterSplit
 from panelkit.llm.hash_tree import number_within
 from panelkit.llm.names import free_names
 from panelkit.llm.prefix_bpe import byte_symbols
-from panelkit.llm.workers import tidy
+from panelkit.llm.word_memo import Learnt, WordMemo
+from panelkit.llm.workers import one_thread, tidy
 from panelkit.session import materialise
 
 # Pieces of a group, and the share of its bins that may be packed again in the next round.
@@ -47,11 +47,11 @@ SLACK = 0.02
 WORD_END = "</w>"
 # Emptiest bins tried in vain, one after the other, before the search of a group ends.
 PATIENCE = 8
-# Words of the memo before a new one is begun; the last full one is kept beside it. Longer words are not kept.
-MEMO = 1 << 18
+# Words of the memo before half of them go. Longer words are not kept.
+MEMO = 1 << 19
 LONGEST = 64
 # Characters whose words are looked up together.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 
 
 # A word that the tokenizer cuts into its letters and the sign behind them, if any.
@@ -76,8 +76,7 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(1 + max(vocabulary.values()), bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memo = WordMemo(MEMO, LONGEST, self._learn)
 
     def _words(self, text: str | None) -> list[str]:
         if not text:
@@ -87,18 +86,15 @@ class WordTokenizer:
             return [text]
         return text.split()
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of words that the memo lacks into it. Plain ones are given to the library as one text, cut into
-        letters and signs, which costs it less a word."""
-        memo, older = self.memo, self.older
-        memo.update({w: older[w] for w in words & older.keys()})
+    def _learn(self, words: list[str]) -> Iterator[Learnt]:
+        """Plain words are given to the library as one text, cut into letters and signs, which costs it less a word."""
         plain, parts, pieces, odd = [], [], [0], []
-        for word in words - memo.keys():
+        for i, word in enumerate(words):
             match = PLAIN(word)
             if match is None:
-                odd.append(word)
+                odd.append(i)
                 continue
-            plain.append(word)
+            plain.append(i)
             parts.append(match[1])
             if match[2]:
                 parts.append(match[2])
@@ -110,24 +106,20 @@ class WordTokenizer:
             ends = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
             if len(ends) != len(parts) + 1:
                 raise ValueError("the tokenizer does not mark the ends of words")
-            ids, at = ids.tobytes(), (4 * ends[pieces]).tolist()
-            memo.update(zip(plain, [ids[x:y] for x, y in zip(at, at[1:])]))
-        for word, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            memo[word] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
+            yield plain, ids, np.diff(ends[pieces])
+        if odd:
+            coded = [np.array(c.ids, "<u4") for c in
+                     self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False)]
+            yield odd, np.concatenate(coded), np.array([len(x) for x in coded], np.int64)
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.memo) > MEMO:
-            self.older, self.memo = self.memo, {}
-        words_of = [self._words(t) for t in texts]
-        new = set().union(*words_of) - self.memo.keys()
-        self._learn(new)
-        ids_of = self.memo.__getitem__
-        out = [b"".join(map(ids_of, words)) for words in words_of]
-        # Whole texts are not worth keeping.
-        for word in new:
-            if len(word) > LONGEST:
-                del self.memo[word]
-        return out
+        words, ends = [], [0]
+        for text in texts:
+            words += self._words(text)
+            ends.append(len(words))
+        ids, at = self.memo.ids_of(words)
+        ids, at = ids.tobytes(), (4 * at[ends]).tolist()
+        return [ids[x:y] for x, y in zip(at, at[1:])]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Packed little-endian unsigned 32-bit ids of every text, a bounded stretch at a time."""
@@ -148,6 +140,7 @@ _TOKENIZERS: dict[str, WordTokenizer] = {}
 def tokenizer_of(shared: Broadcast) -> WordTokenizer:
     """One tokenizer per worker process and file."""
     mark, spec = shared.value
+    one_thread()
     if mark not in _TOKENIZERS:
         _TOKENIZERS.clear()
         _TOKENIZERS[mark] = WordTokenizer(spec)
