@@ -22,12 +22,14 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 from panelkit.llm.prefix_bpe import byte_symbols
+from panelkit.llm.word_memo import Learnt, WordMemo
+from panelkit.llm.workers import one_thread
 
-# Words of the memo before a new one is begun; the last full one is kept beside it. Longer words are not kept.
-MEMO = 1 << 18
+# Words of the memo before half of them go. Longer words are not kept.
+MEMO = 1 << 19
 LONGEST = 48
 # Characters whose words are looked up together.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 
 # Letters, digits and signs whose runs are words in every version of Unicode; an apostrophe may begin a word of its own.
 LETTERS, DIGITS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9", r"!-&(-/:-@\[-`{-~"
@@ -69,57 +71,45 @@ class ByteTokenizer:
         # The stand-ins of space and line feed in byte-level vocabularies.
         self.opens = np.zeros(1 + max(vocabulary.values()), bool)
         self.opens[[i for t, i in vocabulary.items() if t[0] in "ĠĊ"]] = True
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memo = WordMemo(MEMO, LONGEST, self._learn)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(c.ids, "<u4").tobytes() for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(c.ids, "<u4") for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, stretches: list[str]) -> bytes:
+    def _words(self, stretches: list[str]) -> np.ndarray:
         """The ids of plain stretches, one behind the other."""
         words = WORDS("".join([w if w[0] == "\n" else " " + w for w in stretches]))
         spelt = "\0".join(words).encode().decode("latin-1").translate(self.symbols)
-        return np.array(self.model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4").tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of stretches that the memo lacks into it."""
-        memo, older = self.memo, self.older
-        memo.update({w: older[w] for w in words & older.keys()})
-        new = words - memo.keys()
-        plain = [w for w in new if PLAIN(w)]
-        odd = list(new.difference(plain))
-        for new, ids in ((plain, self._words), (odd, lambda x: self._whole(["".join([w if w[0] == "\n" else " " + w for w in x])])[0])):
-            if not new:
+        return np.array(self.model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+
+    def _others(self, stretches: list[str]) -> np.ndarray:
+        return self._whole(["".join([w if w[0] == "\n" else " " + w for w in stretches])])[0]
+
+    def _learn(self, stretches: list[str]) -> Iterator[Learnt]:
+        """The ids of plain stretches and of others, each kind in one text."""
+        plain = [PLAIN(w) is not None for w in stretches]
+        for way, kind in ((self._words, True), (self._others, False)):
+            places = [i for i, x in enumerate(plain) if x == kind]
+            if not places:
                 continue
-            ids = ids(new)
-            at = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")])).tolist()
-            if len(at) != len(new):
+            ids = way([stretches[i] for i in places])
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) != len(places):
                 raise ValueError("the tokenizer does not cut ahead of every space and line feed")
-            at.append(len(ids))
-            memo.update(zip(new, [ids[x:y] for x, y in zip(at, at[1:])]))
+            yield places, ids, np.diff(at, append=len(ids))
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        words_of, words, whole = [], set(), []
+        words, ends, whole = [], [0], []
         for text in texts:
             if text and runs_free(text) and not (self.marks and self.marks(text)):
-                cut = (text if text[0] in " \n" else "\n" + text).replace("\n", " \n").split(" ")
-                del cut[0]
-                words.update(cut)
-                words_of.append(cut)
+                words += (text if text[0] in " \n" else "\n" + text).replace("\n", " \n").split(" ")[1:]
             else:
                 whole.append(text)
-                words_of.append(None)
-        if len(self.memo) > MEMO:
-            self.older, self.memo = self.memo, {}
-        new = words - self.memo.keys()
-        self._learn(new)
-        ids_of, others = self.memo.__getitem__, iter(self._whole(whole))
+            ends.append(len(words))
+        ids, at = self.memo.ids_of(words)
+        ids, at, others = ids.tobytes(), (4 * at[ends]).tolist(), iter(self._whole(whole))
         # The line feed put ahead of a first word is one token.
-        out = [next(others) if w is None else b"".join(map(ids_of, w))[0 if t[0] in " \n" else 4:] for t, w in zip(texts, words_of)]
-        for word in new:
-            if len(word) > LONGEST:
-                del self.memo[word]
-        return out
+        return [ids[x if t[0] in " \n" else x + 4:y] if y > x else next(others).tobytes() for t, x, y in zip(texts, at, at[1:])]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of every text, a bounded stretch at a time."""
@@ -146,6 +136,7 @@ def share(spark: SparkSession, path: str) -> Broadcast:
 def coder_of(shared: Broadcast, special_text: bool = False) -> ByteTokenizer:
     """One tokenizer per worker process, file and treatment of special tokens."""
     mark, spec = shared.value
+    one_thread()
     if (mark, special_text) not in _CODERS:
         _CODERS.clear()
         _CODERS[mark, special_text] = ByteTokenizer(spec, special_text)

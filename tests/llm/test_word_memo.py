@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from panelkit.llm import byte_tokens
 from panelkit.llm.word_memo import WordMemo
 
 
@@ -46,6 +47,30 @@ def test_used_words_stay():
     assert learnt.count("often") == 1 and len(memo.numbers) <= 6
 
 
+class Spy:
+    """A tokenizer that lists the texts it gets."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_frequent_word_goes_to_the_library_once(monkeypatch):
+    monkeypatch.setattr(byte_tokens, "MEMO", 20)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        coder = byte_tokens.ByteTokenizer(f.read())
+    coder.model = Spy(coder.model)
+    often = " ".join(["first", *["ornithorhynchus"] * 1000])
+    rare = [" ".join(["first", *(f"{a}{b}{c}" for b in "abcde" for c in "abcde")]) for a in "fghij"]
+    texts = [often, *rare, often]
+    got = [next(coder.encode([t])) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [coder.tokenizer.encode(t).ids for t in texts]
+    assert sum(t.count("ornithorhynchus") for t in coder.model.texts) == 1
+
+
 MEASURE = """
 import sys
 import numpy as np
